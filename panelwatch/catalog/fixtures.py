@@ -14,30 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 AS_OF = date(2002, 3, 1)
 
 PANEL = r'''
-WITH li AS (
-  SELECT l_suppkey * 4 + l_partkey % 4 AS gvkey,
-         CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
-         l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_partkey
-  FROM lineitem
-), f AS (
-  SELECT gvkey, date, year(date) AS year, month(date) AS month,
-         max(l_extendedprice / l_quantity) AS px, sum(l_quantity) AS qty,
-         max(l_extendedprice) AS rev, min(l_discount) AS dmin, max(l_discount) AS dmax,
-         max(l_tax) AS tmax, min(l_tax) AS tmin, min(l_quantity) AS qmin
-  FROM li GROUP BY gvkey, date
-), k AS (
-  SELECT *,
-    CASE WHEN gvkey % 5 = 0 AND year >= 1999 THEN 0.0625 ELSE 1.0 END AS decay,
-    CASE WHEN gvkey % 5 = 1 AND year >= 2000 THEN 4.0 ELSE 1.0 END AS surge
-  FROM f
-  WHERE NOT (gvkey % 6 = 2 AND date >= DATE '2000-07-01')
-    AND NOT (gvkey % 6 = 4 AND date >= DATE '2001-04-01')
-    AND NOT (gvkey % 12 = 6 AND date >= DATE '2001-07-01')
-    AND NOT (gvkey % 7 = 3 AND date BETWEEN DATE '1997-01-01' AND DATE '1997-06-30')
-    AND NOT (gvkey % 7 = 5 AND date BETWEEN DATE '1998-01-01' AND DATE '1998-04-30')
-    AND NOT (gvkey % 7 = 6 AND year = 1999 AND month NOT IN (1, 6))
-    AND NOT (gvkey % 9 = 1 AND date < DATE '1997-01-01')
-)
 SELECT CAST(gvkey AS BIGINT) AS gvkey, CAST(1 + gvkey % 3 AS INT) AS iid, date,
   CAST(year AS INT) AS year, CAST(month AS INT) AS month, 'USA' AS excntry,
   CASE WHEN dmin = 0.1 AND tmin = 0.08 THEN -1.0 ELSE 1.0 END
@@ -59,7 +35,30 @@ SELECT CAST(gvkey AS BIGINT) AS gvkey, CAST(1 + gvkey % 3 AS INT) AS iid, date,
   CAST(qmin AS INT) % 10 AS f_score,
   0.05 - tmax AS ni_ar1, dmin - 0.02 * decay AS eqnpo_me,
   CAST(year - 1996 + gvkey % 5 AS DOUBLE) AS age
-FROM k
+FROM (
+  SELECT *,
+    CASE WHEN gvkey % 5 = 0 AND year >= 1999 THEN 0.0625 ELSE 1.0 END AS decay,
+    CASE WHEN gvkey % 5 = 1 AND year >= 2000 THEN 4.0 ELSE 1.0 END AS surge
+  FROM (
+    SELECT gvkey, date, year(date) AS year, month(date) AS month,
+           max(l_extendedprice / l_quantity) AS px, sum(l_quantity) AS qty,
+           max(l_extendedprice) AS rev, min(l_discount) AS dmin, max(l_discount) AS dmax,
+           max(l_tax) AS tmax, min(l_tax) AS tmin, min(l_quantity) AS qmin
+    FROM (
+      SELECT l_suppkey * 4 + l_partkey % 4 AS gvkey,
+             CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
+             l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_partkey
+      FROM lineitem
+    ) AS li GROUP BY gvkey, date
+  ) AS f
+  WHERE NOT (gvkey % 6 = 2 AND date >= DATE '2000-07-01')
+    AND NOT (gvkey % 6 = 4 AND date >= DATE '2001-04-01')
+    AND NOT (gvkey % 12 = 6 AND date >= DATE '2001-07-01')
+    AND NOT (gvkey % 7 = 3 AND date BETWEEN DATE '1997-01-01' AND DATE '1997-06-30')
+    AND NOT (gvkey % 7 = 5 AND date BETWEEN DATE '1998-01-01' AND DATE '1998-04-30')
+    AND NOT (gvkey % 7 = 6 AND year = 1999 AND month NOT IN (1, 6))
+    AND NOT (gvkey % 9 = 1 AND date < DATE '1997-01-01')
+) AS k
 '''
 
 NAMES_USA = r'''
@@ -94,16 +93,6 @@ FROM events WHERE event_id % 10 IN (0, 3, 6)
 '''
 
 RESPONSES = r'''
-WITH b AS (
-  SELECT event_id AS seq, user_id AS gvkey,
-    'Verify event ' || CAST(event_id AS VARCHAR(20)) || ' ' || props AS prompt,
-    '{"verified": ' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END
-      || ', "actual_event_type": "acquisition", "actual_date": '
-      || CASE event_id % 5 WHEN 0 THEN 'null' WHEN 1 THEN '"N/A"' WHEN 2 THEN '""' ELSE '"2015-03-04"' END
-      || ', "llm_confidence": "high", "details": "d' || CAST(event_id AS VARCHAR(20))
-      || '", "acquirer": null, "acquisition_price": ' || CAST(event_id % 90 AS VARCHAR(10)) || '}' AS js
-  FROM events WHERE event_id % 10 = 5 OR event_id % 10 = 8
-)
 SELECT seq, gvkey, prompt,
   CASE seq % 7 WHEN 0 THEN 'Here:' || chr(10) || '```json' || chr(10) || js || chr(10) || '```'
     WHEN 1 THEN '```' || chr(10) || js || chr(10) || '``` done'
@@ -113,7 +102,16 @@ SELECT seq, gvkey, prompt,
     WHEN 5 THEN '{"verified": true, "details": '
     ELSE '  ' || js || '  ' END AS response_text,
   CASE WHEN seq % 101 = 0 THEN 'Error 429: rate_limit exceeded' WHEN seq % 97 = 0 THEN 'connection reset' END AS error_text
-FROM b
+FROM (
+  SELECT event_id AS seq, user_id AS gvkey,
+    'Verify event ' || CAST(event_id AS VARCHAR(20)) || ' ' || props AS prompt,
+    '{"verified": ' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END
+      || ', "actual_event_type": "acquisition", "actual_date": '
+      || CASE event_id % 5 WHEN 0 THEN 'null' WHEN 1 THEN '"N/A"' WHEN 2 THEN '""' ELSE '"2015-03-04"' END
+      || ', "llm_confidence": "high", "details": "d' || CAST(event_id AS VARCHAR(20))
+      || '", "acquirer": null, "acquisition_price": ' || CAST(event_id % 90 AS VARCHAR(10)) || '}' AS js
+  FROM events WHERE event_id % 10 = 5 OR event_id % 10 = 8
+) AS b
 '''
 
 # Flagged events whose answers are in ``responses`` (same ``seq``); the date is text, as in a file.
@@ -127,7 +125,15 @@ SELECT seq, gvkey,
 FROM responses
 '''
 
-TABLES = ("lineitem", "orders", "events")
+# The provided table (or view above) each text reads.
+SOURCES = {
+    "panel": "lineitem",
+    "names_usa": "orders",
+    "names_global": "orders",
+    "verdicts": "events",
+    "responses": "events",
+    "flagged": "responses",
+}
 VIEWS = {
     "panel": PANEL,
     "names_usa": NAMES_USA,
@@ -144,13 +150,17 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._known: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
-        for source in TABLES:
-            self.table(source).createOrReplaceTempView(source)
-        if name == "flagged":
-            self.view("responses").createOrReplaceTempView("responses")
-        return self.spark.sql(VIEWS[name])
+        """The provided table or the text of that name; texts are analysed once per folder."""
+        if name not in self._known:
+            if name in VIEWS:
+                self.view(SOURCES[name]).createOrReplaceTempView(SOURCES[name])
+                self._known[name] = self.spark.sql(VIEWS[name])
+            else:
+                self._known[name] = self.table(name)
+        return self._known[name]

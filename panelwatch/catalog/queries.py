@@ -36,17 +36,17 @@ def plain(df: DataFrame) -> DataFrame:
     """Result types every engine shares: dates as text, whole numbers as long, doubles to 6 places."""
     out = []
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
+            c = f"string({c})"
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("long")
+            c = f"bigint({c})"
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6)
+            c = f"round(double({c}), 6)"
         elif isinstance(f.dataType, T.ArrayType):
-            c = F.array_join(c.cast("array<string>"), "; ")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            c = f"array_join(cast({c} AS array<string>), '; ')"
+        out.append(f"{c} AS `{f.name}`")
+    return df.selectExpr(*out)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

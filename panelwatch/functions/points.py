@@ -27,31 +27,27 @@ def usable(rules: list[Rule], columns: list[str]) -> list[Rule]:
     return [rule for rule in rules if set(rule.needs) <= set(columns)]
 
 
+def points_sql(rules: list[Rule]) -> str:
+    cases = (
+        "CASE " + " ".join(f"WHEN {t.holds} THEN {t.points}" for t in rule.tiers) + " ELSE 0 END" for rule in rules
+    )
+    return " + ".join(["0", *cases])
+
+
+def reasons_sql(rules: list[Rule]) -> str:
+    """Reasons of all rules that hold, in rule order, joined by '; '."""
+    cases = (
+        "CASE " + " ".join(f"WHEN {t.holds} THEN {t.reason or 'NULL'}" for t in rule.tiers) + " END" for rule in rules
+    )
+    return f"array_join(array_compact(cast(array({', '.join(cases)}) AS array<string>)), '; ')"
+
+
 def total_points(rules: list[Rule]) -> Column:
-    total = F.lit(0)
-    for rule in rules:
-        points = F.lit(0)
-        for tier in reversed(rule.tiers):
-            points = F.when(F.expr(tier.holds), F.lit(tier.points)).otherwise(points)
-        total = total + points
-    return total
-
-
-def reason_list(rules: list[Rule]) -> Column:
-    texts = []
-    for rule in rules:
-        text = F.lit(None).cast("string")
-        for tier in reversed(rule.tiers):
-            if tier.reason is not None:
-                text = F.when(F.expr(tier.holds), F.expr(tier.reason)).otherwise(text)
-        texts.append(text)
-    if not texts:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*texts))
+    return F.expr(points_sql(rules))
 
 
 def joined_reasons(rules: list[Rule]) -> Column:
-    return F.array_join(reason_list(rules), "; ")
+    return F.expr(reasons_sql(rules))
 
 
 def with_score(df: DataFrame, rules: list[Rule], score: str, reasons: str | None = None) -> DataFrame:

@@ -49,9 +49,9 @@ class Features:
         )
 
 
-def exact(column: str) -> Column:
+def exact(column: str) -> str:
     """Ratio as a decimal, so that its sums do not depend on the order of addition."""
-    return F.col(column).cast("decimal(38,18)")
+    return f"cast({column} AS decimal(38,18))"
 
 
 def firm_features(panel: DataFrame, wanted: Features, key: str = "gvkey", hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -65,35 +65,31 @@ def firm_features(panel: DataFrame, wanted: Features, key: str = "gvkey", hot_ro
     read = {*wanted.last, *wanted.recent, *wanted.before_last, "price", *ROW_ORDER} - {key}
     tail = last_rows(panel.select(key, *sorted(read)), TAIL, key)
 
-    def among_last(column, k):
-        return F.when(F.col("rn") <= k, column)
-
-    newest, oldest = F.col("rn") == 1, F.col("rn") == TAIL
     picked = [
-        F.max(F.when(newest, F.col("date"))).alias("last_date"),
-        F.max(F.when(newest, F.col("price"))).alias("last_price"),
-        F.max(F.when(oldest, F.col("price"))).alias("tail_first_price"),
+        "max(CASE WHEN rn = 1 THEN date END) AS last_date",
+        "max(CASE WHEN rn = 1 THEN price END) AS last_price",
+        f"max(CASE WHEN rn = {TAIL} THEN price END) AS tail_first_price",
     ]
-    picked += [F.max(F.when(newest, F.col(c))).alias(f"{c}_last") for c in wanted.last]
-    for column, ks in wanted.recent.items():
-        picked += [F.avg(among_last(F.col(column), k)).alias(f"{column}_m{k}") for k in ks]
-    for column, k in wanted.before_last.items():
+    picked += [f"max(CASE WHEN rn = 1 THEN {c} END) AS {c}_last" for c in wanted.last]
+    for c, ks in wanted.recent.items():
+        picked += [f"avg(CASE WHEN rn <= {k} THEN {c} END) AS {c}_m{k}" for k in ks]
+    for c, k in wanted.before_last.items():
         picked += [
-            F.sum(among_last(exact(column), k)).alias(f"_{column}_sum"),
-            F.count(among_last(F.col(column), k)).alias(f"_{column}_n"),
+            f"sum(CASE WHEN rn <= {k} THEN {exact(c)} END) AS _{c}_sum",
+            f"count(CASE WHEN rn <= {k} THEN {c} END) AS _{c}_n",
         ]
-    recent = tail.groupBy(key).agg(*picked)
+    recent = tail.groupBy(key).agg(*map(F.expr, picked))
 
-    counts = [F.count(F.lit(1)).alias("n_rows")]
-    for column in wanted.before_last:
-        counts += [F.sum(exact(column)).alias(f"_{column}_all"), F.count(column).alias(f"_{column}_all_n")]
+    counts = ["count(*) AS n_rows"]
+    for c in wanted.before_last:
+        counts += [f"sum({exact(c)}) AS _{c}_all", f"count({c}) AS _{c}_all_n"]
     history = group_quantiles(
         panel.select(key, *dict.fromkeys([*wanted.medians, *wanted.before_last])),
         key,
         wanted.medians,
         0.5,
         hot_rows,
-        counts,
+        [F.expr(c) for c in counts],
     ).withColumnsRenamed({c: f"{c}_med" for c in wanted.medians})
 
     features = recent.join(history, key)

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import HOT_ROWS, flag_hot
 
-ACCURACY = 1000
+SKETCH_SIZE = 2048
+SKETCH_GROUPS = 64
+FIRST_MARGIN = 0.002
+GRID = 200
 
 
 def group_quantiles(
-    df: DataFrame, key: str, columns: Sequence[str], p: float, hot_rows: int = HOT_ROWS, counts=()
+    df: DataFrame, key: str, columns: Sequence[str], p: float, hot_rows: int = HOT_ROWS, counts: Sequence = ()
 ) -> DataFrame:
     """Per key, the quantile ``p`` of each column (plus any further aggregates in ``counts``).
 
@@ -21,124 +24,129 @@ def group_quantiles(
     groups of ordinary size; the values of keys above ``hot_rows`` rows go through
     :func:`large_quantiles` instead.
     """
+    if not columns:
+        return df.groupBy(key).agg(*counts)
     rows = flag_hot(df, key, hot_rows)
-    quantiles = [F.percentile(F.when(~F.col("_hot"), F.col(c).cast("double")), p).alias(c) for c in columns]
+    quantiles = [F.expr(f"percentile(CASE WHEN NOT _hot THEN double({c}) END, {p}) AS {c}") for c in columns]
     small = rows.groupBy(key).agg(*quantiles, *counts)
-    if not columns:
-        return small
-    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns]))
-    hot_values = rows.where("_hot").select(key, pairs)
+    pairs = ", ".join(f"struct('{c}' AS metric, double({c}) AS value)" for c in columns)
+    hot_values = rows.where("_hot").selectExpr(key, f"inline(array({pairs}))")
     large = large_quantiles(hot_values, [key, "metric"], p)
     # One row per hot key, so at most (rows / hot_rows) rows: bounded for the broadcast.
-    wide = large.groupBy(key).agg(
-        *[F.max(F.when(F.col("metric") == c, F.col("quantile"))).alias(f"_{c}") for c in columns]
-    )
-    filled = {c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in columns}
-    return small.join(F.broadcast(wide), key, "left").withColumns(filled).drop(*[f"_{c}" for c in columns])
+    wide = large.groupBy(key).agg(*[F.expr(f"max(CASE WHEN metric = '{c}' THEN quantile END) AS _{c}") for c in columns])
+    filled = [f"coalesce({c}, _{c}) AS {c}" if c in columns else c for c in small.columns]
+    return small.join(F.broadcast(wide), key, "left").selectExpr(*filled)
 
 
 def column_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
     """One row: the quantile ``p`` over all rows of the column."""
-    values = df.select(F.lit(0).alias("_all"), F.col(column).cast("double").alias("value"))
-    return large_quantiles(values, ["_all"], p).select("quantile")
+    values = df.selectExpr("0 AS everything", f"double({column}) AS value")
+    return large_quantiles(values, ["everything"], p).select("quantile")
 
 
 def large_quantiles(values: DataFrame, keys: Sequence[str], p: float, rounds: int = 2) -> DataFrame:
     """Exact quantile of ``value`` per key, for few keys with any number of rows each.
 
-    Each round sketches the values still in question, counts the rows below and inside a bracket
-    around the wanted rank, and keeps that bracket: about 5 / ACCURACY of the rows remain.  What
-    remains after the last round is counted by value and ranked.  The sketch only decides how much
-    remains; the counted ranks make the answer exact.  ``keys`` must be few (one, or one per hot
-    key), for one row per key is broadcast.
+    Each round sketches the values still in question, picks a bracket [a, b] around the wanted
+    rank, and counts the rows below and up to it.  An end of the range [lo, hi] moves to the
+    bracket only if the counts prove that the wanted rank stays inside, so a poor sketch costs
+    time but never exactness.  The first round leaves about 2 * FIRST_MARGIN of the rows, each
+    further one about 3 / GRID of those; what is left is counted by value and ranked.
+
+    Sketches are merged in two steps, so no task reads one from every scan task.  ``keys`` must be
+    few (one, or one per hot key), for one row per key is broadcast in each step.
     """
-    values = values.where(F.col("value").isNotNull())
-    position = (F.count(F.lit(1)) - 1) * F.lit(float(p))
-    sketched = values.groupBy(*keys).agg(
-        _grid(),
-        F.min("value").alias("lo"),
-        F.max("value").alias("hi"),
-        F.count(F.lit(1)).alias("inside"),
-        F.lit(0).cast("long").alias("below"),
-        position.alias("position"),
-        F.floor(position).alias("low_rank"),
-        F.ceil(position).alias("high_rank"),
-    )
-    for turn in range(rounds):
-        if turn:
-            sketched = _inside(values, ranges, keys).groupBy(*keys).agg(_grid(), *_carried(RANGE))
-        ranges = _narrowed(values, sketched, keys)
-    return _value_at_rank(values, ranges, keys)
+    k = ", ".join(keys)
+    ranges = _narrowed(k, _first_bracket(k, p))
+    for _ in range(rounds - 1):
+        ranges = _narrowed(k, _next_bracket(k, ranges))
+    query = f"SELECT {k}, {_INTERPOLATED} AS quantile FROM {_ranked_rest(k, ranges)}"
+    return values.sparkSession.sql(query, v=values.where("value IS NOT NULL"))
+
 
+# The steps below are nested subqueries over {v}, the table of values.
 
-RANGE = ("lo", "hi", "inside", "below", "position", "low_rank", "high_rank")
+_RANGE = ("lo", "hi", "inside", "below", "position")
+_INTERPOLATED = (
+    "CASE WHEN low = high THEN low "
+    "ELSE low * (1 - (position - floor(position))) + high * (position - floor(position)) END"
+)
 
 
-def _carried(columns: Sequence[str]) -> list:
+def _same(columns: Sequence[str]) -> str:
     """Columns that are constant per key, taken through an aggregation."""
-    return [F.max(c).alias(c) for c in columns]
+    return ", ".join(f"max({c}) AS {c}" for c in columns)
 
 
-def _grid():
-    return F.percentile_approx("value", [i / ACCURACY for i in range(ACCURACY + 1)], ACCURACY).alias("grid")
+def _in_range(k: str, ranges: str, columns: Sequence[str]) -> str:
+    """The values inside the key's current range, with the range's columns."""
+    return (
+        f"(SELECT /*+ BROADCAST(r) */ {k}, value, {', '.join(columns)} "
+        f"FROM {{v}} JOIN {ranges} AS r USING ({k}) WHERE value BETWEEN lo AND hi)"
+    )
 
 
-def _inside(values: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    rows = values.join(F.broadcast(ranges), list(keys))
-    return rows.where(F.col("value").between(F.col("lo"), F.col("hi")))
+def _sketches(k: str, source: str, extra: str) -> str:
+    return (
+        f"(SELECT {k}, kll_sketch_agg_double(value, {SKETCH_SIZE}) AS sketch, {extra} "
+        f"FROM (SELECT *, pmod(spark_partition_id(), {SKETCH_GROUPS}) AS part FROM {source}) GROUP BY {k}, part)"
+    )
 
 
-def _narrowed(values: DataFrame, sketched: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Shrink each range to the sketched bracket [a, b] around its ranks, with exact counts.
+def _at(ranks: Sequence[float]) -> str:
+    points = ", ".join(f"{min(1.0, max(0.0, r))!r}D" for r in ranks)
+    return f"kll_sketch_get_quantile_double(kll_merge_agg_double(sketch), array({points}))"
 
-    An end is moved only if the counts prove that the wanted rank stays inside.
-    """
 
-    def end(rank: str, slack: int):
-        step = (F.col(rank) - F.col("below")) / F.col("inside") * ACCURACY
-        step = F.floor(step) if slack < 0 else F.ceil(step)
-        return F.get("grid", F.greatest(F.lit(0), F.least(F.lit(ACCURACY), step + slack)).cast("int"))
+def _first_bracket(k: str, p: float) -> str:
+    parts = _sketches(k, "{v}", "min(value) AS lo, max(value) AS hi, count(*) AS inside")
+    whole = (
+        f"(SELECT {k}, {_at([p - FIRST_MARGIN, p + FIRST_MARGIN])} AS ends, min(lo) AS lo, max(hi) AS hi, "
+        f"sum(inside) AS inside, 0L AS below, (sum(inside) - 1) * {p!r}D AS position FROM {parts} GROUP BY {k})"
+    )
+    return f"(SELECT {k}, {', '.join(_RANGE)}, ends[0] AS a, ends[1] AS b FROM {whole})"
+
+
+def _next_bracket(k: str, ranges: str) -> str:
+    grid = _at([i / GRID for i in range(GRID + 1)])
+    # Where the two wanted ranks lie in the range, in grid steps, one step of margin on each side.
+    low = f"greatest(0, int(floor((floor(position) - below) / inside * {GRID})) - 1)"
+    high = f"least({GRID}, int(ceil((ceil(position) - below) / inside * {GRID})) + 1)"
+    parts = _sketches(k, _in_range(k, ranges, _RANGE), _same(_RANGE))
+    whole = f"(SELECT {k}, {grid} AS grid, {_same(_RANGE)} FROM {parts} GROUP BY {k})"
+    return f"(SELECT {k}, {', '.join(_RANGE)}, grid[{low}] AS a, grid[{high}] AS b FROM {whole})"
 
-    bracket = sketched.select(*keys, *RANGE, end("low_rank", -2).alias("a"), end("high_rank", 2).alias("b"))
+
+def _narrowed(k: str, bracket: str) -> str:
+    carried = (*_RANGE, "a", "b")
     counted = (
-        _inside(values, bracket, keys)
-        .groupBy(*keys)
-        .agg(
-            *_carried((*RANGE, "a", "b")),
-            F.count_if(F.col("value") < F.col("a")).alias("less"),
-            F.count_if(F.col("value") <= F.col("b")).alias("upto"),
-        )
-        .withColumn("cut_low", F.col("low_rank") >= F.col("below") + F.col("less"))
-        .withColumn("cut_high", F.col("high_rank") < F.col("below") + F.col("upto"))
+        f"(SELECT {k}, {_same(carried)}, count_if(value < a) AS less, count_if(value <= b) AS upto "
+        f"FROM {_in_range(k, bracket, carried)} GROUP BY {k})"
     )
-    dropped = F.when(F.col("cut_low"), F.col("less")).otherwise(0)
-    kept_to = F.when(F.col("cut_high"), F.col("upto")).otherwise(F.col("inside"))
-    return counted.select(
-        *keys,
-        F.when(F.col("cut_low"), F.col("a")).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("cut_high"), F.col("b")).otherwise(F.col("hi")).alias("hi"),
-        (kept_to - dropped).alias("inside"),
-        (F.col("below") + dropped).alias("below"),
-        "position",
-        "low_rank",
-        "high_rank",
+    decided = (
+        "(SELECT *, floor(position) >= below + less AS cut_low, "
+        f"ceil(position) < below + upto AS cut_high FROM {counted})"
+    )
+    return (
+        f"(SELECT {k}, CASE WHEN cut_low THEN a ELSE lo END AS lo, CASE WHEN cut_high THEN b ELSE hi END AS hi, "
+        "CASE WHEN cut_high THEN upto ELSE inside END - CASE WHEN cut_low THEN less ELSE 0 END AS inside, "
+        f"below + CASE WHEN cut_low THEN less ELSE 0 END AS below, position FROM {decided})"
     )
 
 
-def _value_at_rank(values: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    carried = ("below", "position", "low_rank", "high_rank")
-    left = _inside(values, ranges, keys).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("copies"), *_carried(carried))
-    upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = left.withColumn("end", F.col("below") + F.sum("copies").over(upto))
-
-    def at(rank: str):
-        holds = (F.col(rank) >= F.col("end") - F.col("copies")) & (F.col(rank) < F.col("end"))
-        return F.max(F.when(holds, F.col("value")))
-
-    low, high = F.col("at_low"), F.col("at_high")
-    up = F.col("position") - F.col("low_rank")
+def _ranked_rest(k: str, ranges: str) -> str:
+    rest = ("below", "position")
+    holds = "{rank}(position) >= upto - copies AND {rank}(position) < upto"
+    low, high = holds.format(rank="floor"), holds.format(rank="ceil")
+    counted = (
+        f"(SELECT {k}, value, count(*) AS copies, {_same(rest)} "
+        f"FROM {_in_range(k, ranges, rest)} GROUP BY {k}, value)"
+    )
+    ranked = (
+        f"(SELECT *, below + sum(copies) OVER (PARTITION BY {k} ORDER BY value "
+        f"ROWS UNBOUNDED PRECEDING) AS upto FROM {counted})"
+    )
     return (
-        ranked.groupBy(*keys)
-        .agg(at("low_rank").alias("at_low"), at("high_rank").alias("at_high"), *_carried(("position", "low_rank")))
-        .select(*keys, F.when(low == high, low).otherwise(low * (1 - up) + high * up).alias("quantile"))
+        f"(SELECT {k}, max(CASE WHEN {low} THEN value END) AS low, "
+        f"max(CASE WHEN {high} THEN value END) AS high, max(position) AS position FROM {ranked} GROUP BY {k})"
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import answers
-from ..functions.scalars import date_or_null, has_name
+from ..functions.scalars import date_or_null, has_name, number_text
 from ..operators import label, verify
 from ..operators.events import confident_verdicts, in_year, value_counts, verified_acquisitions
 from ..operators.ordered import after_first
@@ -107,7 +107,7 @@ def summary_report(
         "labels",
         F.lit("percent"),
         none,
-        F.format_number("percent", "0.00"),
+        F.expr(number_text("percent", 2)),
     )
     report = dataset.unionByName(total).unionByName(per_value).unionByName(verified)
     return report.unionByName(rows).unionByName(percent)
