@@ -33,7 +33,10 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Result types every engine shares: dates as text, whole numbers as long, doubles to 6 places."""
+    """Result types every engine shares: dates as text, whole numbers as long, doubles to 6 places.
+
+    Scaling before rounding rounds the same binary value in both engines.
+    """
     out = []
     for f in df.schema:
         c = f"`{f.name}`"
@@ -42,7 +45,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = f"bigint({c})"
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = f"round(double({c}), 6)"
+            c = f"round(double({c}) * 1000000) / 1000000"
         elif isinstance(f.dataType, T.ArrayType):
             c = f"array_join(cast({c} AS array<string>), '; ')"
         out.append(f"{c} AS `{f.name}`")
@@ -98,8 +101,8 @@ def acquisitions(i: Inputs) -> DataFrame:
 
 def acquisition_labels(i: Inputs) -> DataFrame:
     return workflows.label_from_acquisitions(panel(i), verdicts(i)).select(
-        "gvkey", "iid", "date", "year", "is_acquired", "acquisition_date", "days_to_acquisition", "acquirer",
-        "acquisition_price", "event_type_verified",
+        "gvkey", "iid", "date", "year", "is_acquired", "acquisition_date",
+        F.col("days_to_acquisition").cast("double"), "acquirer", "acquisition_price", "event_type_verified",
     )
 
 
@@ -117,6 +120,11 @@ def priced(i: Inputs) -> DataFrame:
     return verify.with_cost(i.view("responses"))
 
 
+def _verified_as_text(df: DataFrame) -> DataFrame:
+    """An optional flag as text, as the events file has it."""
+    return df.withColumn("verified", F.col("verified").cast("string"))
+
+
 # Sources and sinks -----------------------------------------------------------------------------
 
 PANEL_COLUMNS = ("gvkey", "iid", "date", "prc", "volume", "stock_ret", "z_score", "f_score", "age")
@@ -233,7 +241,7 @@ def project_essential(i: Inputs) -> DataFrame:
 
 @query
 def pad_event_schema(i: Inputs) -> DataFrame:
-    return ev.event_rows(detectors.detect_split_simple(panel(i)))
+    return ev.event_rows(detectors.detect_split_simple(panel(i))).withColumn("gvkey", F.col("gvkey").cast("double"))
 
 
 def _firms_with_names(i: Inputs) -> DataFrame:
@@ -268,7 +276,7 @@ def filter_label_confidence(i: Inputs) -> DataFrame:
 
 @query
 def ensure_columns(i: Inputs) -> DataFrame:
-    return ev.ensure_columns(i.view("flagged"), ev.VERDICT_SCHEMA)
+    return _verified_as_text(ev.ensure_columns(i.view("flagged"), ev.VERDICT_SCHEMA))
 
 
 @query
@@ -318,7 +326,7 @@ def match_counts(i: Inputs) -> DataFrame:
 def upsert_verdicts(i: Inputs) -> DataFrame:
     """Verdicts with a date written onto all flagged events, over older values."""
     old = flagged(i).withColumn("actual_date", F.lit("1990-01-01")).withColumn("details", F.lit("old"))
-    return verify.upsert_verdicts(old, parsed_answers(i).where(F.col("verified")))
+    return _verified_as_text(verify.upsert_verdicts(old, parsed_answers(i).where(F.col("verified"))))
 
 
 @query
@@ -432,7 +440,7 @@ def usage_stats(i: Inputs) -> DataFrame:
 @query
 def date_gaps(i: Inputs) -> DataFrame:
     rows = ordered.with_previous(raw_panel(i).select("gvkey", "iid", "date"), ["date"])
-    return rows.select("gvkey", "iid", "date", F.datediff("date", "prev.date").alias("gap_days"))
+    return rows.select("gvkey", "iid", "date", F.datediff("date", "prev.date").cast("double").alias("gap_days"))
 
 
 @query
@@ -684,7 +692,7 @@ def extract_json_balanced(i: Inputs) -> DataFrame:
 @query
 def parse_verdict(i: Inputs) -> DataFrame:
     verdict = answers.parse_verdict(answers.balanced_json(F.col("response_text")))
-    return i.view("responses").select("seq", verdict.alias("v")).select("seq", "v.*")
+    return _verified_as_text(i.view("responses").select("seq", verdict.alias("v")).select("seq", "v.*"))
 
 
 @query
@@ -724,7 +732,7 @@ def reverified(i: Inputs) -> DataFrame:
 
 @query
 def reverify_year(i: Inputs) -> DataFrame:
-    return reverified(i)
+    return _verified_as_text(reverified(i))
 
 
 @query

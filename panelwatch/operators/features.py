@@ -50,8 +50,8 @@ class Features:
 
 
 def exact(column: str) -> str:
-    """Ratio as a decimal, so that its sums do not depend on the order of addition."""
-    return f"cast({column} AS decimal(38,18))"
+    """Ratio to 12 places as a decimal, so that its sums do not depend on the order of addition."""
+    return f"cast({column} AS decimal(38,12))"
 
 
 def firm_features(panel: DataFrame, wanted: Features, key: str = "gvkey", hot_rows: int = HOT_ROWS) -> DataFrame:
