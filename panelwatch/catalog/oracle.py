@@ -242,7 +242,7 @@ SELECT gvkey, {six('ami_med', 'ami_126d')}, {six('turn_med', 'turnover_126d')},
   {six('spr_med', 'bidaskhl_21d')} FROM feat
 """)
 oracle("global_quantile", "bounds", f"SELECT {six('spread_p85', 'quantile')} FROM bounds")
-oracle("dataset_range", "bounds", f"SELECT {day('dataset_start')}, {day('dataset_end')} FROM bounds")
+oracle("dataset_bounds", "bounds", f"SELECT {day('dataset_start')}, {day('dataset_end')} FROM bounds")
 oracle("broadcast_global_stats", "feat", f"""
 SELECT gvkey, {day('last_date')}, {day('dataset_start')}, {day('dataset_end')}, {six('spread_p85')}, days AS days_since FROM feat
 """)
@@ -374,7 +374,7 @@ SELECT gvkey, n_rows, {day('last_date')}, CAST(ms AS BIGINT) AS merger_score, mw
 """)
 oracle("detect_single_pass", "single_events names", named(SEVEN, "single_events"))
 oracle("sink_events_csv", "single_events names", named(SEVEN, "single_events"))
-oracle("assign_confidence_band", "verdicts", """
+oracle("confidence_band", "verdicts", """
 SELECT seq, score, actual_event_type,
   CASE actual_event_type WHEN 'bankruptcy' THEN CASE WHEN score >= 60 THEN 'high' WHEN score >= 40 THEN 'medium' ELSE 'low' END
     WHEN 'merger' THEN CASE WHEN score >= 50 THEN 'medium' ELSE 'low' END
@@ -429,9 +429,7 @@ WINDOW w AS (PARTITION BY gvkey ORDER BY date DESC, iid DESC) QUALIFY row_number
 oracle("first_row_value", "pr", f"""
 SELECT gvkey, {day('date', 'first_date')}, {six('age', 'first_age')}, {six('price', 'first_price')} FROM pr WHERE nr = 1
 """)
-oracle("sort_panel", "panel", f"""
-SELECT gvkey, iid, {day('date')}, row_number() OVER (PARTITION BY gvkey, year ORDER BY date, iid) AS place_in_year FROM panel
-""")
+oracle("sort_panel", "panel", f"SELECT gvkey, iid, {day('date')}, {six('prc')} FROM panel ORDER BY gvkey, date, iid")
 oracle("price_index_from_returns", "p", f"""
 SELECT ticker, {day('date')}, {six('stock_ret')}, CASE WHEN stock_ret IS NOT NULL THEN round(100 * product(1 + stock_ret)
   OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING), 6) END AS price FROM p

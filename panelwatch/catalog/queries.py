@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    QUERIES[build.__name__] = build
+    """Register a query under its function's name, without the underscore that avoids a name clash."""
+    QUERIES[build.__name__.rstrip("_")] = build
     return build
 
 
@@ -342,7 +343,7 @@ def broadcast_global_stats(i: Inputs) -> DataFrame:
 
 
 @query
-def dataset_range(i: Inputs) -> DataFrame:
+def dataset_bounds_(i: Inputs) -> DataFrame:
     return dataset_bounds(raw_panel(i))
 
 
@@ -529,9 +530,7 @@ def prev_row_value(i: Inputs) -> DataFrame:
 
 @query
 def sort_panel(i: Inputs) -> DataFrame:
-    """Panel rows with their position in the firm's order, from rows sorted inside partitions."""
-    place = F.row_number().over(Window.partitionBy("gvkey", "year").orderBy("date", "iid"))
-    return raw_panel(i).select("gvkey", "iid", "date", place.alias("place_in_year"))
+    return ordered.in_order(raw_panel(i).select("gvkey", "iid", "date", "prc"))
 
 
 @query
@@ -623,7 +622,7 @@ def score_halt_single(i: Inputs) -> DataFrame:
 
 
 @query
-def assign_confidence_band(i: Inputs) -> DataFrame:
+def confidence_band_(i: Inputs) -> DataFrame:
     score = (F.col("seq") % 90).cast("int")
     return verdicts(i).select(
         "seq", score.alias("score"), "actual_event_type",

@@ -61,7 +61,6 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("column", F.col("n").desc(), "value")
     )
 
 

@@ -95,6 +95,11 @@ def with_running_product(
     )
 
 
+def in_order(panel: DataFrame, key: str = "gvkey", order: Sequence[str] = ROW_ORDER) -> DataFrame:
+    """The whole panel sorted; Spark cuts the sort into ranges, also inside a large firm."""
+    return panel.orderBy(key, *order)
+
+
 def last_rows(df: DataFrame, n: int, key: str = "gvkey", order: Sequence[str] = ROW_ORDER) -> DataFrame:
     """The last ``n`` rows per key with ``rn`` = 1 for the very last."""
     newest_first = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.points import Rule, total_points, usable, joined_reasons, with_score
-from ..functions.scalars import band, confidence_band, number_text
+from ..functions.scalars import band, number_text
 from ..operators.events import EVENT_COLUMNS, best_events, event_rows, union_events
 from ..operators.features import (
     Features,
@@ -40,67 +40,61 @@ def _with_spread(firms: DataFrame, panel: DataFrame) -> DataFrame:
     return firms.withColumn("spread_p85", global_quantile(panel, "bidaskhl_21d", SPREAD_QUANTILE))
 
 
-def _score(firms: DataFrame, rule_set: list[Rule]) -> Column:
-    return total_points(usable(rule_set, firms.columns))
-
-
-def _candidate(
-    firms: DataFrame, rule_set: list[Rule], event_type: str, holds: Column, confidence, priority: int = 1
-) -> Column:
-    """Struct of one possible event of a firm; ``holds`` and ``confidence`` work on its score."""
-    live = usable(rule_set, firms.columns)
-    score = total_points(live)
-    return F.struct(
-        F.lit(event_type).alias("event_type"),
-        F.col("last_date").alias("event_date"),
-        score.alias("detection_score"),
-        confidence(score).alias("confidence"),
-        joined_reasons(live).alias("reasons"),
-        holds.alias("holds"),
-        F.lit(priority).alias("priority"),
-    )
+def _scored(firms: DataFrame, **rule_sets: list[Rule]) -> DataFrame:
+    """Add <name>_score and <name>_reasons per rule set, each computed once per firm."""
+    columns = firms.columns
+    added = {}
+    for name, rule_set in rule_sets.items():
+        live = usable(rule_set, columns)
+        added[f"{name}_score"] = total_points(live)
+        added[f"{name}_reasons"] = joined_reasons(live)
+    return firms.withColumns(added)
 
 
-def _bankruptcy_confidence(score: Column) -> Column:
-    return band(score, (60, "high"), (40, "medium"), floor="low")
+def _candidate(kind: str, holds: str, confidence: str, priority: int = 1) -> str:
+    """SQL struct of one possible event of a scored firm."""
+    return (
+        f"struct('{kind}' AS event_type, last_date AS event_date, {kind}_score AS detection_score, "
+        f"{confidence} AS confidence, {kind}_reasons AS reasons, {holds} AS holds, {priority} AS priority)"
+    )
 
 
-def _merger_confidence(score: Column) -> Column:
-    return band(score, (40, "medium"), floor="low")
+def _graded(score: str, *cuts: tuple[int, str]) -> str:
+    return "CASE " + " ".join(f"WHEN {score} >= {cut} THEN '{label}'" for cut, label in cuts) + " ELSE 'low' END"
 
 
-def _full_bankruptcy(firms: DataFrame, threshold: int) -> Column:
-    holds = _score(firms, rules.BANKRUPTCY) >= threshold
-    return _candidate(firms, rules.BANKRUPTCY, "bankruptcy", holds, _bankruptcy_confidence)
+def _full_bankruptcy(threshold: int) -> str:
+    graded = _graded("bankruptcy_score", (60, "high"), (40, "medium"))
+    return _candidate("bankruptcy", f"bankruptcy_score >= {threshold}", graded)
 
 
-def _full_merger(firms: DataFrame, threshold: int) -> Column:
-    holds = (
-        (F.col("days_since") >= MERGER_MIN_DAYS)
-        & (_score(firms, rules.MERGER) >= threshold)
-        & (_score(firms, rules.NOT_MERGER) < REJECT_MERGER_AT)
-    )
-    return _candidate(firms, rules.MERGER, "merger", holds, _merger_confidence)
+def _full_merger(threshold: int) -> str:
+    holds = f"days_since >= {MERGER_MIN_DAYS} AND merger_score >= {threshold} AND against_score < {REJECT_MERGER_AT}"
+    return _candidate("merger", holds, _graded("merger_score", (40, "medium")))
 
 
-def _flagged(firms: DataFrame, candidates: Sequence[Column], *keep: str) -> DataFrame:
+def _flagged(firms: DataFrame, candidates: Sequence[str], *keep: str) -> DataFrame:
     """One row per candidate that holds, from a single pass over the feature rows."""
-    return firms.select(*keep, F.inline(F.array(*candidates))).where("holds").drop("holds")
+    return firms.selectExpr(*keep, f"inline(array({', '.join(candidates)}))").where("holds").drop("holds")
+
+
+EXTRAS = ("last_price", "price_change_60d")
 
 
 def detect_bankruptcy(panel: DataFrame, names: DataFrame, threshold: int = 50, hot_rows: int = HOT_ROWS) -> DataFrame:
     firms = firm_rows(panel, rules.BANKRUPTCY_FEATURES, dataset_end(panel), hot_rows=hot_rows)
-    firms = _with_spread(firms.where(F.col("n_rows") >= 24), panel)
+    firms = _scored(_with_spread(firms.where("n_rows >= 24"), panel), bankruptcy=rules.BANKRUPTCY)
     firms = firms.withColumn("price_change_60d", F.col("price_change") * 100)
-    flagged = _flagged(firms, [_full_bankruptcy(firms, threshold)], "gvkey", "last_price", "price_change_60d")
-    return attach_names(flagged, names).select(*EVENT_COLUMNS, "last_price", "price_change_60d")
+    flagged = _flagged(firms, [_full_bankruptcy(threshold)], "gvkey", *EXTRAS)
+    return attach_names(flagged, names).select(*EVENT_COLUMNS, *EXTRAS)
 
 
 def detect_merger(panel: DataFrame, names: DataFrame, threshold: int = 40, hot_rows: int = HOT_ROWS) -> DataFrame:
     firms = firm_rows(panel, rules.MERGER_FEATURES, dataset_end(panel), hot_rows=hot_rows)
-    firms = firms.where(F.col("n_rows") >= 24).withColumn("price_change_60d", F.col("price_change") * 100)
-    flagged = _flagged(firms, [_full_merger(firms, threshold)], "gvkey", "last_price", "price_change_60d")
-    return attach_names(flagged, names).select(*EVENT_COLUMNS, "last_price", "price_change_60d")
+    firms = _scored(firms.where("n_rows >= 24"), merger=rules.MERGER, against=rules.NOT_MERGER)
+    firms = firms.withColumn("price_change_60d", F.col("price_change") * 100)
+    flagged = _flagged(firms, [_full_merger(threshold)], "gvkey", *EXTRAS)
+    return attach_names(flagged, names).select(*EVENT_COLUMNS, *EXTRAS)
 
 
 def detect_all(
@@ -108,9 +102,11 @@ def detect_all(
 ) -> DataFrame:
     """Bankruptcies and mergers of the full rule sets from one feature table."""
     wanted = rules.BANKRUPTCY_FEATURES | rules.MERGER_FEATURES
-    firms = firm_rows(panel, wanted, dataset_end(panel), hot_rows=hot_rows).where(F.col("n_rows") >= 24)
-    firms = _with_spread(firms, panel)
-    flagged = _flagged(firms, [_full_bankruptcy(firms, bankruptcy), _full_merger(firms, merger)], "gvkey")
+    firms = firm_rows(panel, wanted, dataset_end(panel), hot_rows=hot_rows).where("n_rows >= 24")
+    firms = _scored(
+        _with_spread(firms, panel), bankruptcy=rules.BANKRUPTCY, merger=rules.MERGER, against=rules.NOT_MERGER
+    )
+    flagged = _flagged(firms, [_full_bankruptcy(bankruptcy), _full_merger(merger)], "gvkey")
     return event_rows(attach_names(flagged, names))
 
 
@@ -120,22 +116,17 @@ def single_pass_scores(panel: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     Firms with fewer than 24 rows, and merger scores of firms that still trade, are 0.
     """
     firms = firm_rows(panel, rules.SINGLE_FEATURES, dataset_end(panel), hot_rows=hot_rows)
-    firms = with_score(firms, rules.SINGLE_BANKRUPTCY, "bankruptcy_score", "bankruptcy_reasons")
-    firms = with_score(firms, rules.SINGLE_MERGER, "merger_score", "merger_reasons")
-    scored = F.col("n_rows") >= 24
-    mergeable = scored & (F.col("days_since") >= SINGLE_MERGER_MIN_DAYS)
-
-    def unless(gate: Column, name: str, empty) -> Column:
-        return F.when(gate, F.col(name)).otherwise(F.lit(empty)).alias(name)
-
-    return firms.select(
+    firms = _scored(firms, bankruptcy=rules.SINGLE_BANKRUPTCY, merger=rules.SINGLE_MERGER)
+    scored = "n_rows >= 24"
+    mergeable = f"{scored} AND days_since >= {SINGLE_MERGER_MIN_DAYS}"
+    return firms.selectExpr(
         "gvkey",
         "n_rows",
         "last_date",
-        unless(scored, "bankruptcy_score", 0),
-        unless(scored, "bankruptcy_reasons", ""),
-        unless(mergeable, "merger_score", 0),
-        unless(mergeable, "merger_reasons", ""),
+        f"CASE WHEN {scored} THEN bankruptcy_score ELSE 0 END AS bankruptcy_score",
+        f"CASE WHEN {scored} THEN bankruptcy_reasons ELSE '' END AS bankruptcy_reasons",
+        f"CASE WHEN {mergeable} THEN merger_score ELSE 0 END AS merger_score",
+        f"CASE WHEN {mergeable} THEN merger_reasons ELSE '' END AS merger_reasons",
     )
 
 
@@ -143,25 +134,19 @@ def single_pass_candidates(
     panel: DataFrame, bankruptcy: int = 50, merger: int = 40, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Possible events of each firm with at least 10 rows, with their priorities."""
-    firms = single_pass_scores(panel, hot_rows).where(F.col("n_rows") >= 10)
-    scores = {"bankruptcy": F.col("bankruptcy_score"), "merger": F.col("merger_score")}
-    holds = {
-        "bankruptcy": scores["bankruptcy"] >= bankruptcy,
-        "merger": (scores["bankruptcy"] < bankruptcy * 0.8) & (scores["merger"] >= merger),
-    }
-    options = [
-        F.struct(
-            F.lit(kind).alias("event_type"),
-            F.col("last_date").alias("event_date"),
-            scores[kind].alias("detection_score"),
-            confidence_band(scores[kind], F.lit(kind)).alias("confidence"),
-            F.col(f"{kind}_reasons").alias("reasons"),
-            holds[kind].alias("holds"),
-            F.lit(priority).alias("priority"),
-        )
-        for priority, kind in enumerate(scores, start=1)
-    ]
-    return _flagged(firms, options, "gvkey")
+    firms = single_pass_scores(panel, hot_rows).where("n_rows >= 10")
+    failed = _candidate(
+        "bankruptcy",
+        f"bankruptcy_score >= {bankruptcy}",
+        _graded("bankruptcy_score", (60, "high"), (40, "medium")),
+    )
+    merged = _candidate(
+        "merger",
+        f"bankruptcy_score < {bankruptcy * 0.8} AND merger_score >= {merger}",
+        _graded("merger_score", (50, "medium")),
+        priority=2,
+    )
+    return _flagged(firms, [failed, merged], "gvkey")
 
 
 def detect_single_pass(
@@ -406,10 +391,9 @@ def detect_bankruptcy_simple(
     panel: DataFrame, as_of: date, threshold: int = 5, key: str = "ticker", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     firms = firm_rows(panel, rules.SIMPLE_BANKRUPTCY_FEATURES, F.lit(as_of), key, hot_rows)
-    firms = firms.where(F.col("n_rows") >= 24)
-    holds = _score(firms, rules.SIMPLE_BANKRUPTCY) >= threshold
-    confidence = lambda score: band(score, (50, "high"), (35, "medium"), floor="low")
-    option = _candidate(firms, rules.SIMPLE_BANKRUPTCY, "bankruptcy", holds, confidence)
+    firms = _scored(firms.where("n_rows >= 24"), bankruptcy=rules.SIMPLE_BANKRUPTCY)
+    graded = _graded("bankruptcy_score", (50, "high"), (35, "medium"))
+    option = _candidate("bankruptcy", f"bankruptcy_score >= {threshold}", graded)
     return _flagged(firms, [option], key, "last_price").drop("priority")
 
 
@@ -417,12 +401,10 @@ def detect_merger_simple(
     panel: DataFrame, as_of: date, threshold: int = 5, key: str = "ticker", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     firms = firm_rows(panel, rules.SIMPLE_MERGER_FEATURES, F.lit(as_of), key, hot_rows)
-    firms = firms.where((F.col("n_rows") >= 24) & (F.col("days_since") >= 90))
-    holds = (_score(firms, rules.SIMPLE_MERGER) >= threshold) & (
-        _score(firms, rules.SIMPLE_NOT_MERGER) < REJECT_MERGER_AT
-    )
-    confidence = lambda score: band(score, (35, "medium"), floor="low")
-    option = _candidate(firms, rules.SIMPLE_MERGER, "merger", holds, confidence)
+    firms = firms.where("n_rows >= 24 AND days_since >= 90")
+    firms = _scored(firms, merger=rules.SIMPLE_MERGER, against=rules.SIMPLE_NOT_MERGER)
+    holds = f"merger_score >= {threshold} AND against_score < {REJECT_MERGER_AT}"
+    option = _candidate("merger", holds, _graded("merger_score", (35, "medium")))
     return _flagged(firms, [option], key, "last_price").drop("priority")
 
 
