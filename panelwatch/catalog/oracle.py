@@ -736,7 +736,7 @@ FROM (SELECT *, length(prompt) // 4 + 5 * (length(response_text) // 4) AS units
 DOLLAR = "0.00000025"  # one unit is a quarter of a millionth
 oracle("request_cost", "priced", """
 SELECT seq, length(prompt) // 4 AS input_tokens, length(response_text) // 4 AS output_tokens,
-  round(cost_units * 0.25, 6) AS micro_dollars, round(CAST(0.0003 AS DOUBLE), 6) AS other_model_cost FROM priced
+  round(cost_units * CAST(0.25 AS DOUBLE), 6) AS micro_dollars, round(CAST(0.0003 AS DOUBLE), 6) AS other_model_cost FROM priced
 """)
 part("running", "priced", """
 SELECT *, CAST(coalesce(sum(cost_units) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before_units FROM priced
@@ -767,8 +767,8 @@ oracle("resume_offset", "flagged_named", f"""
 SELECT seq, gvkey, company_name FROM flagged_named WHERE {HAS_NAME} ORDER BY seq OFFSET 613
 """)
 oracle("verification_cost_estimate", "flagged_named", f"""
-SELECT events, named, least(100, named) AS to_verify, round(least(100, named) * 0.003, 6) AS cost_large,
-  round(least(100, named) * 0.0003, 6) AS cost_small, round(least(100, named) * 0.5 / 60, 6) AS minutes
+SELECT events, named, least(100, named) AS to_verify, round(least(100, named) * CAST(0.003 AS DOUBLE), 6) AS cost_large,
+  round(least(100, named) * CAST(0.0003 AS DOUBLE), 6) AS cost_small, round(least(100, named) * 0.5 / 60, 6) AS minutes
 FROM (SELECT count(*) AS events, count(*) FILTER ({HAS_NAME}) AS named FROM flagged_named)
 """)
 

@@ -64,6 +64,16 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def sum_lines(groups: DataFrame, *lines: tuple[str, str]) -> DataFrame:
+    """(metric, n) from grouped counts: each row adds to its lines, given as (metric SQL, n SQL).
+
+    One pass over a few grouped rows, instead of one query per line over the data.
+    """
+    structs = ", ".join(f"struct({metric} AS metric, bigint({n}) AS n)" for metric, n in lines)
+    spread = groups.selectExpr(f"inline(array({structs}))").where("metric IS NOT NULL")
+    return spread.groupBy("metric").agg(F.sum("n").alias("n"))
+
+
 def best_events(candidates: DataFrame, key: str = "gvkey") -> DataFrame:
     """One event per firm: lowest priority number, then highest score."""
     order = Window.partitionBy(key).orderBy("priority", F.col("detection_score").desc(), "event_date", "reasons")

@@ -145,16 +145,14 @@ def label_events(verdicts: DataFrame) -> DataFrame:
 
 def label_distribution(labeled: DataFrame) -> DataFrame:
     """(label, n, percent of all rows), with one line for all labelled rows."""
-    counts = labeled.groupBy("event_label").agg(F.count(F.lit(1)).alias("n"))
-    everything = counts.agg(
-        F.sum("n").alias("total"),
-        F.coalesce(F.sum(F.when(F.col("event_label") != "none", F.col("n"))), F.lit(0)).alias("n"),
-    )
-    lines = counts.select(F.col("event_label").alias("label"), "n").unionByName(
-        everything.select(F.lit("(labeled rows)").alias("label"), "n")
-    )
-    total = everything.select("total").scalar()
-    return lines.withColumn("percent", F.col("n") / total * 100)
+    counts = labeled.groupBy(F.col("event_label").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per label from here on.
+    whole = counts.withColumn("total", F.sum("n").over(Window.partitionBy()))
+    own = "struct(label AS label, n AS n, total AS total)"
+    labeled_rows = "struct('(labeled rows)' AS label, if(label = 'none', 0L, n) AS n, total AS total)"
+    lines = whole.selectExpr(f"inline(array({own}, {labeled_rows}))")
+    summed = lines.groupBy("label").agg(F.sum("n").alias("n"), F.max("total").alias("total"))
+    return summed.selectExpr("label", "n", "n / total * 100 AS percent")
 
 
 def positives_by_year(labeled: DataFrame) -> DataFrame:

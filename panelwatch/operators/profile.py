@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import number_text
+from .events import sum_lines
 from .normalize import ESSENTIAL
 from .ordered import date_cells
 
@@ -108,15 +109,10 @@ def pattern_summary(patterns: DataFrame) -> DataFrame:
     by_status = patterns.groupBy("status").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_gaps") > 0).alias("gapped")
     )
-    totals = by_status.agg(
-        F.sum("n").alias("total"),
-        F.sum("gapped").alias("gapped"),
-        F.coalesce(F.sum(F.when(F.col("status") == "likely_delisted", F.col("n"))), F.lit(0)).alias("delisted"),
+    return sum_lines(
+        by_status,
+        ("'total_stocks'", "n"),
+        ("'stocks_with_gaps'", "gapped"),
+        ("'likely_delisted'", "CASE WHEN status = 'likely_delisted' THEN n ELSE 0 END"),
+        ("concat('status:', status)", "n"),
     )
-    lines = F.array(
-        F.struct(F.lit("total_stocks").alias("metric"), F.coalesce("total", F.lit(0)).alias("n")),
-        F.struct(F.lit("stocks_with_gaps").alias("metric"), F.coalesce("gapped", F.lit(0)).alias("n")),
-        F.struct(F.lit("likely_delisted").alias("metric"), F.col("delisted").alias("n")),
-    )
-    statuses = by_status.select(F.concat(F.lit("status:"), "status").alias("metric"), "n")
-    return totals.select(F.inline(lines)).unionByName(statuses)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import answers
 from ..functions.scalars import QUEUE_RANK, has_name, lacks_name, rank_of
-from .events import VERDICT_SCHEMA, ensure_columns
+from .events import VERDICT_SCHEMA, ensure_columns, sum_lines
 from .ordered import SEQ_BLOCK, after_first, with_prior_sum
 
 SKIP_DETAILS = "Skipped verification - no company name found in database"
@@ -181,10 +181,11 @@ def usage_stats(requests: DataFrame) -> DataFrame:
 def verdict_summary(verdicts: DataFrame) -> DataFrame:
     """(metric, n): verified, not verified, and the event types among the verified."""
     kinds = verdicts.groupBy("verified", "actual_event_type").agg(F.count(F.lit(1)).alias("n"))
-    outcome = F.when(F.col("verified"), "verified").otherwise("not_verified")
-    totals = kinds.groupBy(outcome.alias("metric")).agg(F.sum("n").alias("n"))
-    found = kinds.where(F.col("verified") & F.col("actual_event_type").isNotNull())
-    return totals.unionByName(found.select(F.concat(F.lit("type:"), "actual_event_type").alias("metric"), "n"))
+    return sum_lines(
+        kinds,
+        ("CASE WHEN verified THEN 'verified' ELSE 'not_verified' END", "n"),
+        ("CASE WHEN verified THEN concat('type:', actual_event_type) END", "n"),
+    )
 
 
 def year_summary(events: DataFrame) -> DataFrame:
@@ -196,12 +197,10 @@ def year_summary(events: DataFrame) -> DataFrame:
         F.count_if(dated).alias("with_date"),
         F.count_if(~dated).alias("no_date"),
     )
-    names = ("total", "verified", "with_date", "no_date")
-    totals = kinds.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
-    lines = totals.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("n")) for c in names])))
-    typed = kinds.where(F.col("actual_event_type").isNotNull() & (F.col("with_date") > 0))
-    return lines.unionByName(
-        typed.select(F.concat(F.lit("type:"), "actual_event_type").alias("metric"), F.col("with_date").alias("n"))
+    return sum_lines(
+        kinds,
+        *[(f"'{name}'", name) for name in ("total", "verified", "with_date", "no_date")],
+        ("CASE WHEN with_date > 0 THEN concat('type:', actual_event_type) END", "with_date"),
     )
 
 

@@ -94,20 +94,14 @@ def summary_report(
     pairs = F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("string").alias("v")) for c in facts])
     dataset = _lines(data.select(F.inline(pairs)), "dataset", F.col("m"), none, F.col("v"))
 
-    counts = value_counts(detected, ["event_type", "confidence"])
-    per_value = _lines(counts, "detection", F.col("column"), F.col("value"), F.col("n"))
-    total = _lines(detected.agg(F.count(F.lit(1)).alias("n")), "detection", F.lit("total"), none, F.col("n"))
+    counts = value_counts(detected.withColumn("total", F.lit("")), ["total", "event_type", "confidence"])
+    found = _lines(counts, "detection", F.col("column"), F.nullif("value", F.lit("")), F.col("n"))
 
     verified = _lines(verify.verdict_summary(verdicts), "verification", F.col("metric"), none, F.col("n"))
 
-    shares = label.label_distribution(labeled)
-    rows = _lines(shares, "labels", F.lit("rows"), F.col("label"), F.col("n"))
-    percent = _lines(
-        shares.where(F.col("label") == "(labeled rows)"),
-        "labels",
-        F.lit("percent"),
-        none,
-        F.expr(number_text("percent", 2)),
+    shares = label.label_distribution(labeled).selectExpr(
+        "inline(array(struct('rows' AS metric, label AS key, string(n) AS value), struct("
+        f"if(label = '(labeled rows)', 'percent', NULL) AS metric, NULL AS key, {number_text('percent', 2)} AS value)))"
     )
-    report = dataset.unionByName(total).unionByName(per_value).unionByName(verified)
-    return report.unionByName(rows).unionByName(percent)
+    labels = _lines(shares.where("metric IS NOT NULL"), "labels", F.col("metric"), F.col("key"), F.col("value"))
+    return dataset.unionByName(found).unionByName(verified).unionByName(labels)
