@@ -151,6 +151,7 @@ class Inputs:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self._known: dict[str, DataFrame] = {}
+        self.stored_panel: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

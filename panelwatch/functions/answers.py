@@ -85,17 +85,22 @@ def is_one_object(json: Column) -> Column:
 def parse_verdict(json: Column) -> Column:
     """Struct of the seven verdict fields, NULL when the text is not one well-formed object.
 
-    Scalars are read as text and then cast, so a price given as text still counts.
+    Scalars are read as text and then cast, so a price given as text still counts.  The lambdas
+    bind the text and the parsed object, so that each is worked out once per row.
     """
-    raw = F.from_json(
-        json,
-        ", ".join(f"{name} STRING" for name in VERDICT_FIELDS) + ", broken STRING",
-        {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"},
-    )
-    fields = [raw[name].alias(name) for name in VERDICT_FIELDS]
-    fields[0] = (F.lower(raw["verified"]) == "true").alias("verified")
-    fields[-1] = raw["acquisition_price"].try_cast("double").alias("acquisition_price")
-    return F.when(is_one_object(json) & raw["broken"].isNull(), F.struct(*fields))
+    fields = ", ".join(f"{name} STRING" for name in VERDICT_FIELDS)
+    options = {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"}
+
+    def parsed(text: Column) -> Column:
+        return F.when(is_one_object(text), F.from_json(text, f"{fields}, broken STRING", options))
+
+    def typed(raw: Column) -> Column:
+        columns = [raw[name].alias(name) for name in VERDICT_FIELDS]
+        columns[0] = (F.lower(raw["verified"]) == "true").alias("verified")
+        columns[-1] = raw["acquisition_price"].try_cast("double").alias("acquisition_price")
+        return F.when(raw.isNotNull() & raw["broken"].isNull(), F.struct(*columns))
+
+    return F.get(F.transform(F.transform(F.array(json), parsed), typed), F.lit(0))
 
 
 def null_if_no_date(text: Column) -> Column:

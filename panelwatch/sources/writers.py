@@ -20,6 +20,16 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(tempfile.mkdtemp(prefix="panelwatch-"), name)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table once and read it back, for work that scans it several times.
+
+    Unlike a cache the copy outlives lost executors, and scans of it still prune columns.
+    """
+    path = scratch_folder(df.sparkSession, f"{name}.parquet")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_events_csv(events: DataFrame, path: str) -> None:
     events.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
