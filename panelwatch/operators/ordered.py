@@ -6,9 +6,9 @@ large share of the panel.  Three ways around that are used here:
 * the last n rows of a firm: Spark limits each group before the shuffle (``WindowGroupLimit``);
 * questions about dates: rows are first grouped to (firm, date) cells, so a firm's window is
   bounded by the calendar and not by its rows;
-* previous rows and running products: a firm with more than ``hot_rows`` rows is cut into one
-  block per date, and the little that must cross a block edge is carried through one row per
-  block.  All other firms stay one block, so they pay for one shuffle only.
+* previous rows and running products: a firm with more than ``hot_rows`` rows is cut into blocks
+  by date and by ranges inside a date, and the little that must cross a block edge is carried
+  through one row per block.  All other firms stay one block, so they pay for one shuffle only.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 SEQ_BLOCK = 100_000
+CLASS_BLOCK = 100_000
 ROW_ORDER = ("date", "iid")
 
 
@@ -37,9 +39,16 @@ def flag_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     return df.join(F.broadcast(hot), key, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
 
-def _in_blocks(df: DataFrame, key: str, date: str, hot_rows: int) -> DataFrame:
-    """Add ``_block``: the date for rows of a hot key, NULL (one block) for all others."""
-    return flag_hot(df, key, hot_rows).withColumn("_block", F.when(F.col("_hot"), F.col(date))).drop("_hot")
+def _in_blocks(df: DataFrame, key: str, order: Sequence[str], hot_rows: int) -> DataFrame:
+    """Add ``_block``: NULL (one block) for an ordinary key, else a stretch of the key's order.
+
+    A hot key is cut by date, and inside a date by ranges of the numeric column that orders it,
+    so a block has at most CLASS_BLOCK distinct positions however many rows the key has.
+    """
+    parts = [F.col(order[0])]
+    if len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.NumericType):
+        parts.append(F.floor(F.col(order[1]) / CLASS_BLOCK).alias("range"))
+    return flag_hot(df, key, hot_rows).withColumn("_block", F.when(F.col("_hot"), F.struct(*parts))).drop("_hot")
 
 
 def with_previous(
@@ -50,7 +59,7 @@ def with_previous(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``prev``: a struct of ``columns`` from the key's previous row, NULL on its first row."""
-    rows = _in_blocks(df, key, order[0], hot_rows)
+    rows = _in_blocks(df, key, order, hot_rows)
     inside = Window.partitionBy(key, "_block").orderBy(*order)
     rows = rows.withColumn("prev", F.lag(F.struct(*columns)).over(inside))
 
@@ -77,7 +86,7 @@ def with_running_product(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the running product of ``factor`` along the key; NULL factors are skipped and stay NULL."""
-    rows = _in_blocks(df, key, order[0], hot_rows).withColumn("_factor", factor)
+    rows = _in_blocks(df, key, order, hot_rows).withColumn("_factor", factor)
     inside = Window.partitionBy(key, "_block").orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_inside", F.product("_factor").over(so_far))

@@ -30,11 +30,11 @@ def reverify_year(
     """
     dated = events.withColumn("_day", date_or_null("event_date"))
     due = after_first(in_year(dated, year, F.col("_day")).where(has_name()), resume_from).select("seq")
-    asked = verify.with_cost(responses.join(due, "seq", "left_semi"), model)
-    processed = verify.before_stop(
-        verify.admit_within_budget(verify.verdicts_from_answers(asked), budget).where("admitted")
-    )
-    return verify.upsert_verdicts(events, processed)
+    asked = responses.join(due, "seq", "left_semi").withColumn("stop", answers.is_stop(F.col("error_text")))
+    # What comes before the first stop does not depend on the budget, so the cheap cut goes first.
+    reached = verify.with_cost(verify.before_stop(asked), model)
+    admitted = verify.admit_within_budget(reached, budget).where("admitted")
+    return verify.upsert_verdicts(events, verify.verdicts_from_answers(admitted))
 
 
 def reverified_year_summary(updated: DataFrame, year: int) -> DataFrame:

@@ -38,9 +38,10 @@ def by_firm(data):
     return firms
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 40])
+@pytest.mark.parametrize("hot_rows, per_block", [(1_000_000, 100), (40, 100), (40, 3)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_previous_row(spark, seed, hot_rows):
+def test_previous_row(spark, monkeypatch, seed, hot_rows, per_block):
+    monkeypatch.setattr(ordered, "CLASS_BLOCK", per_block)
     data = make_panel(seed)
     got = ordered.with_previous(
         spark.createDataFrame(data, SCHEMA).repartition(5), ["price", "date"], hot_rows=hot_rows
