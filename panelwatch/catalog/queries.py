@@ -12,7 +12,8 @@ from ..functions import answers
 from ..functions.scalars import confidence_band, date_or_null, has_name, is_true_text, yyyymmdd, yyyymmdd_or_null
 from ..operators import events as ev
 from ..operators import label, names, normalize, ordered, profile, verify
-from ..operators.features import dataset_bounds, firm_features, Features
+from ..operators.features import Features, dataset_bounds, dataset_end, dataset_start, firm_features
+from ..operators.features import global_quantile as global_quantile_of
 from ..operators.quantiles import column_quantile, group_quantiles
 from ..plans import detectors, workflows
 from ..sources import readers, writers
@@ -341,9 +342,13 @@ def upsert_verdicts(i: Inputs) -> DataFrame:
 def broadcast_global_stats(i: Inputs) -> DataFrame:
     rows = stored_panel(i)
     firms = rows.groupBy("gvkey").agg(F.max("date").alias("last_date"))
-    bounds = dataset_bounds(rows).withColumn("spread_p85", column_quantile(rows, "bidaskhl_21d", 0.85).scalar())
-    # One row by construction, so this is a scalar lookup and not a product of two tables.
-    return firms.join(F.broadcast(bounds)).withColumn("days_since", F.datediff("dataset_end", "last_date"))
+    return firms.withColumns(
+        {
+            "dataset_start": dataset_start(rows),
+            "dataset_end": dataset_end(rows),
+            "spread_p85": global_quantile_of(rows, "bidaskhl_21d", 0.85),
+        }
+    ).withColumn("days_since", F.datediff("dataset_end", "last_date"))
 
 
 # Aggregations ----------------------------------------------------------------------------------
