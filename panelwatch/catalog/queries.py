@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import answers
-from ..functions.scalars import confidence_band, date_or_null, has_name, is_true_text, yyyymmdd, yyyymmdd_or_null
+from ..functions.scalars import confidence_band, date_or_null, has_name, yyyymmdd, yyyymmdd_or_null
 from ..operators import events as ev
 from ..operators import label, names, normalize, ordered, profile, verify
 from ..operators.features import Features, dataset_bounds, dataset_end, dataset_start, firm_features

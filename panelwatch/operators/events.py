@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import LABEL_RANK, date_or_null, has_name, is_true_text, rank_of
+from ..functions.scalars import LABEL_RANK, date_or_null, is_true_text, rank_of
 
 # The columns all detectors share.
 EVENT_SCHEMA = {
@@ -95,7 +95,3 @@ def confident_verdicts(verdicts: DataFrame, minimum: str = "medium") -> DataFram
     """Verified rows whose confidence ranks at least as ``minimum``; unknown words rank 0."""
     rank = F.coalesce(rank_of("llm_confidence", LABEL_RANK), F.lit(0))
     return verdicts.where(is_true_text("verified") & (rank >= LABEL_RANK[minimum]))
-
-
-def named_events(events: DataFrame) -> DataFrame:
-    return events.where(has_name())

@@ -114,3 +114,15 @@ def test_labeled_parquet_is_sorted_by_firm_inside_a_year(spark, tmp_path):
     assert rows(back.select("year", "gvkey", "date")) == sorted(table, key=str)
     files = [p for p in (tmp_path / "l").glob("year=*/*.parquet")]
     assert len(files) <= 2 * 4
+
+
+def test_report_and_labels_as_text(spark, tmp_path):
+    report = spark.createDataFrame(
+        [("labels", "rows", "none", "5"), ("dataset", "total_stocks", None, "2")],
+        "section string, metric string, key string, value string",
+    )
+    writers.write_report_text(report, str(tmp_path / "r"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "r")).collect()] == ["dataset\ttotal_stocks\t\t2", "labels\trows\tnone\t5"]
+    labeled = spark.createDataFrame([(1, date(2000, 1, 1), None)], "gvkey long, date date, acquirer string")
+    writers.write_labeled_csv(labeled, str(tmp_path / "c"))
+    assert rows(readers.read_csv(spark, str(tmp_path / "c"), labeled.schema)) == [(1, date(2000, 1, 1), None)]
