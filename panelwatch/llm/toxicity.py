@@ -5,7 +5,7 @@ its lower-case words, and the first 4, 5 and 6 letters of longer words.  The sco
 P(grade > k); a text is toxic where P(grade > 0) exceeds `cut`.
 
 Training takes at most `sample` labelled texts (20,000; those with the smallest hash of doc_id) and `n_features` features (4,000;
-those with the largest chi-square against the toxic label, 30 at least).  Labels may carry a column of grades.  Where they only say toxic or
+those with the largest chi-square against the toxic label, 20 at least).  Labels may carry a column of grades.  Where they only say toxic or
 not, the grades of toxic texts come from how many telling features they hold: lower, middle and upper third become 1, 2 and 3.
 
 Defined cases: a null or empty text has no features and gets the model's severity without features, which is not toxic.  Texts
@@ -98,7 +98,7 @@ def derived_grades(toxic: np.ndarray, hits: np.ndarray) -> np.ndarray:
     return grades
 
 
-def fit(docs: DataFrame, labels: DataFrame, grade: str | None = None, sample: int = 20_000, n_features: int = 4_000, least_chi: float = 30.0, cut: float = 0.4) -> Severity:
+def fit(docs: DataFrame, labels: DataFrame, grade: str | None = None, sample: int = 20_000, n_features: int = 4_000, least_chi: float = 20.0, cut: float = 0.4) -> Severity:
     """A model of the labelled texts.  labels: doc_id, toxic (0 or 1) and, if named, a column of grades from 0."""
     picked = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max(grade or "toxic").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id").select("text", "toxic", "grade")
