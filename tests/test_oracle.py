@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as driver
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = driver.all_queries(), driver.ORACLE
 
 
 @pytest.fixture(scope="module")
