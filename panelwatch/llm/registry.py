@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import ngram_join, quality_rules, toxicity
+from . import mixing, ngram_join, packing, quality_rules, sharding, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_ngram_join": ngram_join.op4_ngram_join,
+    "op5_packing": packing.op5_packing,
+    "op8_sharding": sharding.op8_sharding,
+    "op10_mixing": mixing.op10_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_mixing": mixing.mixing_sql(),
+}
