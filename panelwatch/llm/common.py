@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +89,23 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
+def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of a partition sorted by keys; only one group and one batch are held."""
+    kept = None
+    for batch in batches:
+        batch = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+        if not len(batch):
+            continue
+        new = np.ones(len(batch), bool)
+        new[1:] = np.any([batch[k].to_numpy()[1:] != batch[k].to_numpy()[:-1] for k in keys], axis=0)
+        starts = np.flatnonzero(new)
+        for i, j in zip(starts[:-1], starts[1:]):
+            yield batch.iloc[i:j]
+        kept = batch.iloc[starts[-1] :]
+    if kept is not None and len(kept):
+        yield kept
+
+
 def min_label_classes(nodes_edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, class) of every node in edges (a, b): the class is the smallest node reachable.
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, min_label_classes, mixed, table, window_hashes, word_hashes, words_of
+from .common import cut, min_label_classes, mixed, sorted_groups, table, window_hashes, word_hashes, words_of
 
 #: Work of one block: its texts, each counted as 800 n-grams at least.
 BLOCK = 400_000
@@ -99,23 +99,6 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return keyed.select("doc_id", "h1", "h2", "s.*")
 
 
-def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The groups of a partition sorted by keys; only one group and one batch are held."""
-    kept = None
-    for batch in batches:
-        batch = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
-        if not len(batch):
-            continue
-        new = np.ones(len(batch), bool)
-        new[1:] = np.any([batch[k].to_numpy()[1:] != batch[k].to_numpy()[:-1] for k in keys], axis=0)
-        starts = np.flatnonzero(new)
-        for i, j in zip(starts[:-1], starts[1:]):
-            yield batch.iloc[i:j]
-        kept = batch.iloc[starts[-1] :]
-    if kept is not None and len(kept):
-        yield kept
-
-
 def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all left with all right sets, by matrix products over the n-grams that both sides hold."""
     a, b = np.concatenate(left), np.concatenate(right)
