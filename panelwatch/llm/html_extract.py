@@ -7,7 +7,8 @@ In the rest each word scores above zero and each tag below, and one linear scan
 
 Weights come from labelled pages, those that mark their article with <article> or <main> (at most `sample` of them, those with
 the smallest hash of page_id): a word weighs the share of such words inside the article, by whether it is inside a link; a tag
-weighs minus `tag_cost` times the share of such tags outside.  Crossing an article's own edge costs `edge_cost`.  A run inside an
+weighs minus `tag_cost` times the share of such tags outside.  On a page that names its article, words elsewhere weigh the share
+that such words have on labelled pages, next to nothing.  Crossing an article's own edge costs `edge_cost`.  A run inside an
 element named as the article is extended to that whole element, so that nothing of it is lost at its ends.
 
 Text: character references decoded, white space (any Unicode white space) inside a block made one space, blocks trimmed and joined
@@ -47,7 +48,7 @@ OFF_NAMES = frozenset(
     "recommended comment comments commentlist reply replies respond disqus discussion widget toolbar pagination pager skip masthead topbar copyright disclaimer".split()
 )
 COMMENT_NAMES = frozenset("comment comments reply replies respond discussion".split())
-LAYOUT_NAMES = frozenset("with has no without layout wrapper container page site".split())
+LAYOUT_NAMES = frozenset("with has no without layout wrapper container page".split())
 ARTICLE_NAMES = frozenset("article content post entry story main".split())
 ARTICLE_TAGS = frozenset(["article", "main"])
 NEVER_OFF = frozenset(["html", "body", "main"])
@@ -64,6 +65,7 @@ NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 class Weights:
     plain_word: float = 1.0
     link_word: float = 0.2
+    outside: float = 0.001
     tags: dict = field(default_factory=lambda: {"a": -4.0, "li": -2.0, "ul": -2.0, "div": -2.0, "td": -2.0, "tr": -2.0, "span": -0.5})
     other_tag: float = -0.05
     edge_cost: float = 200.0
@@ -232,9 +234,11 @@ class Page:
 
     def scores(self, weights: Weights) -> list[float]:
         out = []
-        for kind, name, text, links, _, _ in self.items:
+        named = any(number and not text.isspace() for kind, _, text, _, number, _ in self.items if kind == "text")
+        for kind, name, text, links, number, _ in self.items:
             if kind == "text":
-                out.append(len(text.split()) * (weights.link_word if links else weights.plain_word))
+                place = weights.outside if named and not number else 1.0
+                out.append(len(text.split()) * place * (weights.link_word if links else weights.plain_word))
             elif name == "article":
                 out.append(-weights.edge_cost)
             else:
@@ -295,8 +299,8 @@ def fit(pages: DataFrame, sample: int = 1_000, tag_cost: float = 5.0) -> Weights
         for batch in batches:
             within, outside = Counter(), Counter()
             for page in batch["html"]:
-                for kind, name, text, links, _, inside in Page(page).items:
-                    key = name if kind == "tag" else ("#link" if links else "#word")
+                for kind, name, text, links, number, inside in Page(page).items:
+                    key = name if kind == "tag" else "#out" if not number else "#link" if links else "#word"
                     (within if inside else outside)[key] += 1 if kind == "tag" else len(text.split())
             known = [k for k in within.keys() | outside.keys() if k in BLOCK or k in VOID or k in OFF_TAGS or k[0] == "#" or len(k) <= 6 and k.isalpha()]
             yield pd.DataFrame({"name": known, "within": [within[k] for k in known], "outside": [outside[k] for k in known]})
@@ -308,7 +312,8 @@ def fit(pages: DataFrame, sample: int = 1_000, tag_cost: float = 5.0) -> Weights
     share = {k: (a + 1) / (a + b + 2) for k, (a, b) in found.items()}
     base = Weights()
     tags = base.tags | {k: -max(0.02, tag_cost * (1 - s)) for k, s in share.items() if k[0] != "#"}
-    return Weights(max(0.5, share.get("#word", 1.0)), max(0.05, share["#link"]) if "#link" in share else base.link_word, tags, base.other_tag, base.edge_cost)
+    plain, link = max(0.5, share.get("#word", 1.0)), max(0.05, share.get("#link", base.link_word))
+    return Weights(plain, min(link, plain), min(0.01, max(0.001, share.get("#out", 0.0))), tags, base.other_tag, base.edge_cost)
 
 
 def text_of(weights: Weights):
