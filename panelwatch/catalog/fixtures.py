@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 AS_OF = date(2002, 3, 1)
 
 PANEL = r'''
-SELECT CAST(gvkey AS BIGINT) AS gvkey, CAST(1 + gvkey % 3 AS INT) AS iid, date,
+SELECT CAST(gvkey AS BIGINT) AS gvkey, CAST(1 + gvkey % 3 + 3 * share AS INT) AS iid, date,
   CAST(year AS INT) AS year, CAST(month AS INT) AS month, 'USA' AS excntry,
   CASE WHEN dmin = 0.1 AND tmin = 0.08 THEN -1.0 ELSE 1.0 END
     * CASE WHEN gvkey % 5 IN (1, 3) THEN 20.0 + 20.0 * dmax ELSE px / 1000.0 * decay END AS prc,
@@ -40,40 +40,45 @@ FROM (
     CASE WHEN gvkey % 5 = 0 AND year >= 1999 THEN 0.0625 ELSE 1.0 END AS decay,
     CASE WHEN gvkey % 5 = 1 AND year >= 2000 THEN 4.0 ELSE 1.0 END AS surge
   FROM (
-    SELECT gvkey, date, year(date) AS year, month(date) AS month,
+    SELECT gvkey, share, date, year(date) AS year, month(date) AS month,
            max(l_extendedprice / l_quantity) AS px, sum(l_quantity) AS qty,
            max(l_extendedprice) AS rev, min(l_discount) AS dmin, max(l_discount) AS dmax,
            max(l_tax) AS tmax, min(l_tax) AS tmin, min(l_quantity) AS qmin
     FROM (
-      SELECT l_suppkey * 4 + l_partkey % 4 AS gvkey,
-             CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
-             l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_partkey
-      FROM lineitem
-    ) AS li GROUP BY gvkey, date
+      SELECT gvkey, share, l_extendedprice, l_quantity, l_discount, l_tax,
+        CASE WHEN gvkey % 6 = 2 AND shipped >= DATE '2000-07-01' THEN make_date(year(shipped) - 3, month(shipped), 1)
+             WHEN gvkey % 6 = 4 AND shipped >= DATE '2001-04-01' THEN make_date(year(shipped) - 4, month(shipped), 1)
+             WHEN gvkey % 12 = 6 AND shipped >= DATE '2001-07-01' THEN make_date(year(shipped) - 5, month(shipped), 1)
+             WHEN gvkey % 7 = 3 AND shipped BETWEEN DATE '1997-01-01' AND DATE '1997-06-30' THEN make_date(1996, month(shipped), 1)
+             WHEN gvkey % 7 = 5 AND shipped BETWEEN DATE '1998-01-01' AND DATE '1998-04-30' THEN make_date(1997, month(shipped), 1)
+             WHEN gvkey % 7 = 6 AND year(shipped) = 1999 THEN make_date(1999, CASE WHEN month(shipped) < 6 THEN 1 ELSE 6 END, 1)
+             WHEN gvkey % 9 = 1 AND shipped < DATE '1997-01-01' THEN make_date(year(shipped) + 2, month(shipped), 1)
+             ELSE shipped END AS date
+      FROM (
+        SELECT l_suppkey * 4 + l_partkey % 4 AS gvkey,
+               CASE WHEN (l_suppkey * 4 + l_partkey % 4) % 8 = 3 THEN l_linenumber % 2 ELSE 0 END AS share,
+               CAST(date_trunc('month', l_shipdate) AS DATE) AS shipped,
+               l_extendedprice, l_quantity, l_discount, l_tax
+        FROM lineitem
+      ) AS li
+    ) AS moved GROUP BY gvkey, share, date
   ) AS f
-  WHERE NOT (gvkey % 6 = 2 AND date >= DATE '2000-07-01')
-    AND NOT (gvkey % 6 = 4 AND date >= DATE '2001-04-01')
-    AND NOT (gvkey % 12 = 6 AND date >= DATE '2001-07-01')
-    AND NOT (gvkey % 7 = 3 AND date BETWEEN DATE '1997-01-01' AND DATE '1997-06-30')
-    AND NOT (gvkey % 7 = 5 AND date BETWEEN DATE '1998-01-01' AND DATE '1998-04-30')
-    AND NOT (gvkey % 7 = 6 AND year = 1999 AND month NOT IN (1, 6))
-    AND NOT (gvkey % 9 = 1 AND date < DATE '1997-01-01')
 ) AS k
 '''
 
 NAMES_USA = r'''
-SELECT o_custkey AS gvkey, o_orderkey AS seq,
+SELECT CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 1000000 ELSE o_custkey END AS gvkey, o_orderkey AS seq,
   CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS datadate,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'Firm ' || CAST(o_custkey AS VARCHAR(20)) || ' ' || o_orderpriority END AS conm
-FROM orders WHERE o_custkey % 3 <> 0
+FROM orders
 '''
 
 NAMES_GLOBAL = r'''
-SELECT o_custkey AS gvkey, o_orderkey AS seq,
+SELECT CASE WHEN o_custkey % 2 = 1 THEN o_custkey + 2000000 ELSE o_custkey END AS gvkey, o_orderkey AS seq,
   CASE WHEN o_orderkey % 11 = 0 THEN 'not-a-date' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)) END AS datadate_raw,
   CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN '   '
        ELSE 'Global ' || CAST(o_custkey AS VARCHAR(20)) || ' ' || o_orderstatus END AS conm
-FROM orders WHERE o_custkey % 2 = 0
+FROM orders
 '''
 
 VERDICTS = r'''
@@ -89,7 +94,7 @@ SELECT event_id AS seq, user_id AS gvkey,
   'note ' || CAST(event_id AS VARCHAR(20)) AS details,
   'Acquirer ' || CAST(event_id % 17 AS VARCHAR(10)) AS acquirer,
   CASE WHEN event_id % 6 = 0 THEN NULL ELSE value END AS acquisition_price
-FROM events WHERE event_id % 10 IN (0, 3, 6)
+FROM events
 '''
 
 RESPONSES = r'''
@@ -101,28 +106,28 @@ SELECT seq, gvkey, prompt,
     WHEN 4 THEN 'No information found.'
     WHEN 5 THEN '{"verified": true, "details": '
     ELSE '  ' || js || '  ' END AS response_text,
-  CASE WHEN seq % 101 = 0 THEN 'Error 429: rate_limit exceeded' WHEN seq % 97 = 0 THEN 'connection reset' END AS error_text
+  CASE WHEN seq % 701 = 700 THEN 'Error 429: rate_limit exceeded' WHEN seq % 97 = 96 THEN 'connection reset' END AS error_text
 FROM (
-  SELECT event_id AS seq, user_id AS gvkey,
+  SELECT CASE WHEN event_id % 10 = 9 THEN event_id + 1000000000 ELSE event_id END AS seq, user_id AS gvkey,
     'Verify event ' || CAST(event_id AS VARCHAR(20)) || ' ' || props AS prompt,
     '{"verified": ' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END
       || ', "actual_event_type": "acquisition", "actual_date": '
       || CASE event_id % 5 WHEN 0 THEN 'null' WHEN 1 THEN '"N/A"' WHEN 2 THEN '""' ELSE '"2015-03-04"' END
       || ', "llm_confidence": "high", "details": "d' || CAST(event_id AS VARCHAR(20))
       || '", "acquirer": null, "acquisition_price": ' || CAST(event_id % 90 AS VARCHAR(10)) || '}' AS js
-  FROM events WHERE event_id % 10 = 5 OR event_id % 10 = 8
+  FROM events
 ) AS b
 '''
 
-# Flagged events whose answers are in ``responses`` (same ``seq``); the date is text, as in a file.
+# Flagged events; their answers have the same ``seq``, one in ten has none; the date is text, as in a file.
 FLAGGED = r'''
-SELECT seq, gvkey,
-  CASE WHEN seq % 2 = 0 THEN 'bankruptcy' ELSE 'merger' END AS event_type,
-  CAST(1995 + seq % 7 AS VARCHAR(10)) || '-0' || CAST(1 + seq % 9 AS VARCHAR(10)) || '-01' AS event_date,
-  CAST(40 + seq % 50 AS INT) AS detection_score,
-  CASE seq % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' ELSE 'very_low' END AS confidence,
-  CASE WHEN seq % 9 = 0 THEN NULL ELSE 'rule ' || CAST(seq % 17 AS VARCHAR(10)) END AS reasons
-FROM responses
+SELECT event_id AS seq, user_id AS gvkey,
+  CASE WHEN event_id % 2 = 0 THEN 'bankruptcy' ELSE 'merger' END AS event_type,
+  CAST(1995 + event_id % 7 AS VARCHAR(10)) || '-0' || CAST(1 + event_id % 9 AS VARCHAR(10)) || '-01' AS event_date,
+  CAST(40 + event_id % 50 AS INT) AS detection_score,
+  CASE event_id % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' ELSE 'very_low' END AS confidence,
+  CASE WHEN event_id % 9 = 0 THEN NULL ELSE 'rule ' || CAST(event_id % 17 AS VARCHAR(10)) END AS reasons
+FROM events
 '''
 
 # The provided table (or view above) each text reads.
@@ -132,7 +137,7 @@ SOURCES = {
     "names_global": "orders",
     "verdicts": "events",
     "responses": "events",
-    "flagged": "responses",
+    "flagged": "events",
 }
 VIEWS = {
     "panel": PANEL,
@@ -151,7 +156,6 @@ class Inputs:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self._known: dict[str, DataFrame] = {}
-        self.stored_panel: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -41,7 +41,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "names_global": ((), fx.NAMES_GLOBAL),
     "verdicts": ((), fx.VERDICTS),
     "responses": ((), fx.RESPONSES),
-    "flagged": (("responses",), fx.FLAGGED),
+    "flagged": ((), fx.FLAGGED),
 }
 
 
@@ -77,11 +77,12 @@ def six(column: str, alias: str | None = None) -> str:
 
 
 part("p", "panel", "SELECT *, prc AS price, CAST(gvkey AS VARCHAR) || '_' || CAST(iid AS VARCHAR) AS ticker FROM panel")
-part("pr", "p", """
+for _name, _key in (("pr", "gvkey"), ("pr_t", "ticker")):
+    part(_name, "p", f"""
 SELECT *, lag(price) OVER w AS prev_price, lag(volume) OVER w AS prev_volume, lag(date) OVER w AS prev_date,
-  row_number() OVER w AS nr, count(*) OVER (PARTITION BY gvkey) AS n_rows,
+  row_number() OVER w AS nr, count(*) OVER (PARTITION BY {_key}) AS n_rows, max(date) OVER (PARTITION BY {_key}) AS newest,
   lead(date) OVER w AS next_date
-FROM p WINDOW w AS (PARTITION BY gvkey ORDER BY date, iid)
+FROM p WINDOW w AS (PARTITION BY {_key} ORDER BY date, iid)
 """)
 part("bounds", "panel", """
 SELECT min(date) AS dataset_start, max(date) AS dataset_end, quantile_cont(bidaskhl_21d, 0.85) AS spread_p85 FROM panel
@@ -201,7 +202,8 @@ LAST = (
     "bidaskhl_21d", "at_be", "debt_me", "f_score", "ni_ar1",
 )
 EXACT = "CAST(CAST(eqnpo_me AS DECIMAL(18,12)) AS DECIMAL(38,12))"
-part("feat", "p bounds", f"""
+for _name, _key in (("feat", "gvkey"), ("feat_t", "ticker")):
+    part(_name, "p bounds", f"""
 SELECT f.*, b.*, CAST(b.dataset_end - f.last_date AS BIGINT) AS days,
   CASE WHEN p24 = 0 AND last_price < 0 THEN -CAST('inf' AS DOUBLE) WHEN p24 = 0 AND last_price > 0 THEN CAST('inf' AS DOUBLE)
        WHEN p24 <> 0 THEN (last_price - p24) / p24 END AS pc,
@@ -211,7 +213,7 @@ SELECT f.*, b.*, CAST(b.dataset_end - f.last_date AS BIGINT) AS days,
   CASE WHEN dol_med > 0 THEN dol_6 / dol_med END AS dol_rise,
   CASE WHEN spr_med > 0 THEN (spr_6 - spr_med) / spr_med END AS spr_r
 FROM (
-  SELECT gvkey, any_value(ticker) AS ticker, count(*) AS n_rows, max(date) AS last_date,
+  SELECT {_key}, count(*) AS n_rows, max(date) AS last_date,
     max(price) FILTER (rn = 1) AS last_price, max(price) FILTER (rn = 24) AS p24,
     {', '.join(f'max({c}) FILTER (rn = 1) AS {c}' for c in LAST)},
     avg(ami_126d) FILTER (rn <= 12) AS ami_12, avg(turnover_126d) FILTER (rn <= 12) AS turn_12,
@@ -221,7 +223,7 @@ FROM (
     sum({EXACT}) FILTER (rn > 5) AS pay_sr, count(eqnpo_me) FILTER (rn > 5) AS pay_nr,
     quantile_cont(ami_126d, 0.5) AS ami_med, quantile_cont(turnover_126d, 0.5) AS turn_med,
     quantile_cont(dolvol_126d, 0.5) AS dol_med, quantile_cont(bidaskhl_21d, 0.5) AS spr_med
-  FROM (SELECT *, row_number() OVER (PARTITION BY gvkey ORDER BY date DESC, iid DESC) AS rn FROM p) GROUP BY gvkey
+  FROM (SELECT *, row_number() OVER (PARTITION BY {_key} ORDER BY date DESC, iid DESC) AS rn FROM p) GROUP BY {_key}
 ) f CROSS JOIN bounds b
 """)
 oracle("last_and_nth_last", "feat", f"""
@@ -400,7 +402,7 @@ SIMPLE_M = rules_sql([
     [("ni_be > 0", 8, "'Positive ROE'")],
     [("old > 90", 15, "'Trading stopped ' || old || ' days ago (3+ months)'")],
 ])
-part("aged", "feat", f"SELECT *, CAST({AS_OF} - last_date AS BIGINT) AS old FROM feat WHERE n_rows >= 24")
+part("aged", "feat_t", f"SELECT *, CAST({AS_OF} - last_date AS BIGINT) AS old FROM feat_t WHERE n_rows >= 24")
 oracle("detect_bankruptcy_simple", "aged", f"""
 SELECT ticker, {six('last_price')}, 'bankruptcy' AS event_type, {day('last_date', 'event_date')}, CAST(s AS BIGINT) AS detection_score,
   CASE WHEN s >= 50 THEN 'high' WHEN s >= 35 THEN 'medium' ELSE 'low' END AS confidence, why AS reasons
@@ -434,8 +436,9 @@ oracle("price_index_from_returns", "p", f"""
 SELECT ticker, {day('date')}, {six('stock_ret')}, CASE WHEN stock_ret IS NOT NULL THEN round(100 * product(1 + stock_ret)
   OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING), 6) END AS price FROM p
 """)
-part("gaps", "pr", """
-SELECT *, CAST(date - prev_date AS BIGINT) AS gap_days FROM pr WHERE n_rows >= 10
+for _name, _rows in (("gaps", "pr"), ("gaps_t", "pr_t")):
+    part(_name, _rows, f"""
+SELECT *, CAST(date - prev_date AS BIGINT) AS gap_days FROM {_rows} WHERE n_rows >= 10
 """)
 part("islands", "gaps", """
 SELECT gvkey, min(prev_date) AS start_date, max(date) AS end_date, CAST(sum(gap_days) AS BIGINT) AS total_gap_days,
@@ -463,7 +466,7 @@ oracle("detect_halt", "halts names", named(
 oracle("score_halt_single", "gaps", f"""
 SELECT gvkey, CAST(s AS BIGINT) AS score, gap_days || '-day gap; Trading resumed' || CASE WHEN gap_days < 180 THEN '; Short halt' ELSE '' END AS reasons,
   {day('date', 'halt_date')}
-FROM (SELECT *, 25 + CASE WHEN gap_days < 180 THEN 10 ELSE 0 END AS s FROM gaps WHERE gap_days >= 120 AND nr < n_rows)
+FROM (SELECT *, 25 + CASE WHEN gap_days < 180 THEN 10 ELSE 0 END AS s FROM gaps WHERE gap_days >= 120 AND date < newest)
 QUALIFY row_number() OVER (PARTITION BY gvkey ORDER BY s DESC, date) = 1
 """)
 SIMPLE_HALT = rules_sql([
@@ -471,13 +474,14 @@ SIMPLE_HALT = rules_sql([
     [("nr < n_rows", 15, "'Trading resumed'")],
     [("gap_days < 180", 10, "'Short gap (likely halt)'"), ("gap_days < 365", 5, "'Medium gap'")],
 ])
-oracle("detect_halt_simple", "gaps", f"""
+oracle("detect_halt_simple", "gaps_t", f"""
 SELECT ticker, 'halt' AS event_type, {day('prev_date', 'event_date')}, {day('date', 'halt_end_date')}, CAST(s AS BIGINT) AS detection_score,
   CASE WHEN s >= 25 THEN 'medium' ELSE 'low' END AS confidence, why AS reasons, gap_days
-FROM (SELECT *, {SIMPLE_HALT[0]} AS s, {SIMPLE_HALT[1]} AS why FROM gaps WHERE gap_days >= 90)
+FROM (SELECT *, {SIMPLE_HALT[0]} AS s, {SIMPLE_HALT[1]} AS why FROM gaps_t WHERE gap_days >= 90)
 """)
-part("firsts", "pr bounds", """
-SELECT gvkey, ticker, date, age, price, CAST(date - dataset_start AS BIGINT) / 30.0 AS months FROM pr CROSS JOIN bounds WHERE nr = 1
+for _name, _rows in (("firsts", "pr"), ("firsts_t", "pr_t")):
+    part(_name, f"{_rows} bounds", f"""
+SELECT gvkey, ticker, date, age, price, CAST(date - dataset_start AS BIGINT) / 30.0 AS months FROM {_rows} CROSS JOIN bounds WHERE nr = 1
 """)
 YOUNG = f"'Young firm (age ' || {f1('age')} || 'y), appeared ' || {f1('months')} || ' months after dataset start'"
 part("ipos", "firsts", f"""
@@ -485,14 +489,15 @@ SELECT gvkey, 'ipo' AS event_type, date AS event_date, 100 AS detection_score, '
 FROM firsts WHERE months >= 18 AND age < 3
 """)
 oracle("detect_ipo", "ipos names", named(f"{SEVEN}, {six('first_price')}", "ipos"))
-oracle("detect_ipo_simple", "firsts", f"""
+oracle("detect_ipo_simple", "firsts_t", f"""
 SELECT ticker, CASE WHEN age >= 2 THEN 'uncertain_ipo' ELSE 'ipo' END AS event_type, {day('date', 'event_date')},
   CAST(100 AS BIGINT) AS detection_score, CASE WHEN age < 2 THEN 'high' ELSE 'medium' END AS confidence,
   CASE WHEN age < 2 THEN {YOUNG} WHEN age >= 2 THEN 'Firm age ' || {f1('age')} || 'y, appeared ' || {f1('months')} || ' months after dataset start'
     ELSE 'Appeared ' || {f1('months')} || ' months after dataset start' END AS reasons, {six('price', 'first_price')}
-FROM firsts WHERE months >= 6
+FROM firsts_t WHERE months >= 6
 """)
-part("splits", "pr", f"""
+for _name, _rows in (("splits", "pr"), ("splits_t", "pr_t")):
+    part(_name, _rows, f"""
 SELECT gvkey, ticker, 'stock_split' AS event_type, date AS event_date, 15 + CASE WHEN spike THEN 10 ELSE 0 END AS detection_score,
   'medium' AS confidence,
   'Price drop ' || {f1('change * 100')} || '% (matches ' || split_type || ')' || CASE WHEN spike THEN '; Volume spike' ELSE '' END AS reasons,
@@ -500,14 +505,14 @@ SELECT gvkey, ticker, 'stock_split' AS event_type, date AS event_date, 15 + CASE
 FROM (SELECT *, CASE WHEN abs(change + 0.5) < 0.02 THEN '2:1 split' WHEN abs(change + 0.67) < 0.02 THEN '3:1 split'
         WHEN abs(change + 0.75) < 0.02 THEN '4:1 split' END AS split_type,
         coalesce(prev_volume > 0 AND volume > prev_volume * 1.5, false) AS spike
-      FROM (SELECT *, {CHANGE} AS change FROM pr))
+      FROM (SELECT *, {CHANGE} AS change FROM {_rows}))
 WHERE split_type IS NOT NULL
 """)
 SIMPLE_SEVEN = f"ticker, {SEVEN}"
 oracle("detect_stock_split", "splits names", named(f"{SEVEN}, split_type", "splits"))
-oracle("detect_split_simple", "splits", f"SELECT {SIMPLE_SEVEN}, split_type FROM splits")
-oracle("pad_event_schema", "splits", f"""
-SELECT CAST(NULL AS DOUBLE) AS gvkey, CAST(NULL AS VARCHAR) AS company_name, {SEVEN} FROM splits
+oracle("detect_split_simple", "splits_t", f"SELECT {SIMPLE_SEVEN}, split_type FROM splits_t")
+oracle("pad_event_schema", "splits_t", f"""
+SELECT CAST(NULL AS DOUBLE) AS gvkey, CAST(NULL AS VARCHAR) AS company_name, {SEVEN} FROM splits_t
 """)
 JUMP = "CASE WHEN prev_price > 0 THEN (price - prev_price) / prev_price END"
 ERRORS = rules_sql([
@@ -522,10 +527,10 @@ ERRORS_SIMPLE = rules_sql([
     [("abs(jump) > 10", 15, f"'Extreme jump ' || {f0('jump * 100')} || '%'")],
     [("volume = 0", 5, "'Zero volume'")],
 ])
-for _name, _rules, _least in (("errors", ERRORS, 10), ("errors_simple", ERRORS_SIMPLE, 3)):
-    part(_name, "pr", f"""
+for _name, _rows, _rules, _least in (("errors", "pr", ERRORS, 10), ("errors_simple", "pr_t", ERRORS_SIMPLE, 3)):
+    part(_name, _rows, f"""
 SELECT gvkey, ticker, 'data_error' AS event_type, date AS event_date, s AS detection_score, 'high' AS confidence, why AS reasons, price
-FROM (SELECT *, {_rules[0]} AS s, {_rules[1]} AS why FROM (SELECT *, {JUMP} AS jump FROM pr)) WHERE s >= {_least}
+FROM (SELECT *, {_rules[0]} AS s, {_rules[1]} AS why FROM (SELECT *, {JUMP} AS jump FROM {_rows})) WHERE s >= {_least}
 """)
 oracle("detect_data_errors", "errors names", named(f"{SEVEN}, {six('price')}", "errors"))
 oracle("detect_data_errors_simple", "errors_simple", f"SELECT {SIMPLE_SEVEN}, {six('price')} FROM errors_simple")
@@ -627,7 +632,7 @@ ACQUIRED = (
     f"acquirer, {six('acquisition_price')}, event_type_verified"
 )
 oracle("label_acquisitions", "acquired", f"SELECT {ACQUIRED} FROM acquired")
-oracle("label_from_acquisitions", "acquired", f"SELECT {ACQUIRED} FROM acquired WHERE is_acquired = 1")
+oracle("label_from_acquisitions", "acquired", f"SELECT {ACQUIRED} FROM acquired")
 oracle("sink_labeled_parquet", "acquired", f"""
 SELECT gvkey, {day('date')}, year, CAST(is_acquired AS BIGINT) AS is_acquired, {day('acquisition_date')}, days_to_acquisition, acquirer FROM acquired
 """)
@@ -669,17 +674,27 @@ QUALIFY row_number() OVER (PARTITION BY gvkey ORDER BY priority, seq % 50 DESC,
 # Verification -----------------------------------------------------------------------------------
 
 FIELDS = "verified, actual_event_type, actual_date, llm_confidence, details, acquirer, acquisition_price"
+
+
+def guide(kinds: str) -> str:
+    return " || chr(10) || ".join(f"'{line}'" for line in (
+        "verified: true or false", f"actual_event_type: one of {kinds}", "actual_date: text YYYY-MM-DD, or null",
+        "llm_confidence: one of high, medium, low", "details: short text", "acquirer: company name, or null",
+        "acquisition_price: number per share, or null", "If nothing is found, set verified to false and llm_confidence to low."))
+
+
 oracle("build_prompts", "flagged_named", f"""
 SELECT seq, concat('Check a suspected ', event_type, ' of ', coalesce(company_name, 'Unknown Company'), ' (GVKEY ', gvkey, ').', chr(10),
   'Detected date: ', event_day, chr(10), 'Detection score: ', detection_score, chr(10), 'Confidence: ', confidence, chr(10),
   'Reasons: ', coalesce(reasons, 'N/A'), chr(10), 'Search for what happened to ', coalesce(company_name, 'Unknown Company'), ' around ',
-  strftime(event_day, '%B %Y'), ' and answer with one JSON object with the keys {FIELDS}.') AS prompt FROM flagged_named
+  strftime(event_day, '%B %Y'), ' and answer with one JSON object with these keys:', chr(10),
+  {guide('bankruptcy, merger, acquisition, halt, ipo, stock_split, ticker_change, data_error, none, unknown')}) AS prompt FROM flagged_named
 """)
 oracle("build_prompts_year", "flagged_named", f"""
 SELECT seq, concat('Check a suspected ', event_type, ' of ', coalesce(company_name, 'Unknown'), ' (GVKEY ', gvkey, ').', chr(10),
   'Detected date: ', event_day, chr(10), 'Find out what really happened to ', coalesce(company_name, 'Unknown'), ' in 1998.', chr(10),
   'Leave actual_date null unless the exact date is found; never reuse the detected date unconfirmed.', chr(10),
-  'Answer with one JSON object with the keys {FIELDS}.') AS prompt FROM flagged_named
+  'Answer with one JSON object with these keys:', chr(10), {guide('acquisition, merger, bankruptcy, none, unknown')}) AS prompt FROM flagged_named
 """)
 TRIMMED = "trim({x}, ' ' || chr(10) || chr(13) || chr(9))"
 FENCED = (
@@ -753,7 +768,7 @@ SELECT count(*) AS requests, round(CAST(sum(cost_units) AS DOUBLE) * {DOLLAR}, 6
 oracle("stop_after_error", "judged", """
 SELECT seq, gvkey, actual_event_type FROM judged WHERE seq < coalesce((SELECT min(seq) FROM judged WHERE stop), 9223372036854775807)
 """)
-QUEUE_ORDER = "conf_rank DESC, detection_score DESC, gvkey, event_type, event_day"
+QUEUE_ORDER = "conf_rank DESC, detection_score DESC, gvkey, event_type, event_day, seq"
 part("queue_all", "flagged_named", f"""
 SELECT *, CAST(CASE confidence WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 WHEN 'very_low' THEN 0 END AS BIGINT) AS conf_rank
 FROM flagged_named WHERE {HAS_NAME}
@@ -780,10 +795,15 @@ SELECT gvkey, company_name, verified, actual_event_type, llm_confidence, details
 UNION ALL
 SELECT q.gvkey, q.company_name, coalesce(r.verified AND NOT r.failed, false), CASE WHEN r.failed THEN 'error' ELSE r.actual_event_type END,
   CASE WHEN r.failed THEN 'low' ELSE r.llm_confidence END,
-  CASE WHEN r.failed THEN 'Error during verification: ' || coalesce(r.error_text, 'answer is not a JSON object') ELSE r.details END,
+  CASE WHEN r.failed THEN 'Error during verification: '
+    || coalesce(r.error_text, CASE WHEN r.response_text IS NULL THEN 'no answer' ELSE 'answer is not a JSON object' END) ELSE r.details END,
   q.event_type, CAST(q.event_day AS VARCHAR), NULL, CASE WHEN NOT r.failed THEN r.actual_date END,
   CASE WHEN NOT r.failed THEN r.acquirer END, CASE WHEN NOT r.failed THEN r.acquisition_price END
-FROM {queue} q JOIN (SELECT *, error_text IS NOT NULL OR NOT ok AS failed FROM parsed_fenced) r ON r.seq = q.seq"""
+FROM {queue} q JOIN (
+  SELECT a.seq, error_text, response_text, verified, actual_event_type, actual_date, llm_confidence, details, acquirer, acquisition_price,
+    error_text IS NOT NULL OR NOT coalesce(ok, false) AS failed
+  FROM (SELECT seq FROM {queue}) a LEFT JOIN parsed_fenced f ON f.seq = a.seq
+) r ON r.seq = q.seq"""
 
 
 part("checked", "skipped queue parsed_fenced", queue_verdicts("queue"))

@@ -72,13 +72,6 @@ def panel(i: Inputs) -> DataFrame:
     return normalize.with_ticker(normalize.with_price(raw_panel(i)))
 
 
-def stored_panel(i: Inputs) -> DataFrame:
-    """The panel as a table of its own: deriving it takes a shuffle, and quantiles scan it many times."""
-    if i.stored_panel is None:
-        i.stored_panel = writers.stored(panel(i), "panel")
-    return i.stored_panel
-
-
 def simple_panel(i: Inputs) -> DataFrame:
     return normalize.simple_dialect(panel(i))
 
@@ -174,10 +167,10 @@ def scan_by_keys(i: Inputs) -> DataFrame:
 
 @query
 def sink_events_csv(i: Inputs) -> DataFrame:
-    found = detectors.detect_single_pass(stored_panel(i), company_names(i), **SINGLE)
+    found = detectors.detect_single_pass(panel(i), company_names(i), **SINGLE)
     path = writers.scratch_folder(i.spark, "events.csv")
     writers.write_events_csv(found, path)
-    return readers.read_csv(i.spark, path, found.schema)
+    return readers.read_table(i.spark, path, found.schema, free_text=True)
 
 
 @query
@@ -199,9 +192,9 @@ def sink_label_summary_json(i: Inputs) -> DataFrame:
 
 @query
 def summary_report(i: Inputs) -> DataFrame:
-    detected = detectors.detect_single_pass(stored_panel(i), company_names(i), **SINGLE)
+    detected = detectors.detect_single_pass(panel(i), company_names(i), **SINGLE)
     checked = workflows.verify_queue(flagged_dated(i), i.view("responses"), BATCH)
-    return workflows.summary_report(stored_panel(i), detected, checked, window_labels(i))
+    return workflows.summary_report(panel(i), detected, checked, window_labels(i))
 
 
 # Projections and filters -----------------------------------------------------------------------
@@ -340,7 +333,7 @@ def upsert_verdicts(i: Inputs) -> DataFrame:
 
 @query
 def broadcast_global_stats(i: Inputs) -> DataFrame:
-    rows = stored_panel(i)
+    rows = panel(i)
     firms = rows.groupBy("gvkey").agg(F.max("date").alias("last_date"))
     return firms.withColumns(
         {
@@ -389,12 +382,12 @@ MEDIANS = ("ami_126d", "turnover_126d", "dolvol_126d", "bidaskhl_21d")
 
 @query
 def firm_median(i: Inputs) -> DataFrame:
-    return group_quantiles(stored_panel(i), "gvkey", MEDIANS, 0.5).select("gvkey", *MEDIANS)
+    return group_quantiles(panel(i), "gvkey", MEDIANS, 0.5).select("gvkey", *MEDIANS)
 
 
 @query
 def global_quantile(i: Inputs) -> DataFrame:
-    return column_quantile(stored_panel(i), "bidaskhl_21d", 0.85)
+    return column_quantile(panel(i), "bidaskhl_21d", 0.85)
 
 
 @query
@@ -565,12 +558,12 @@ def sample_head(i: Inputs) -> DataFrame:
 
 @query
 def union_detections(i: Inputs) -> DataFrame:
-    return detectors.union_detections(stored_panel(i), company_names(i))
+    return detectors.union_detections(panel(i), company_names(i))
 
 
 @query
 def union_skipped_and_verified(i: Inputs) -> DataFrame:
-    return workflows.verify_queue(flagged_dated(i), i.view("responses"), 1_000_000)
+    return workflows.verify_queue(flagged_dated(i), i.view("responses"), None)
 
 
 @query
@@ -584,12 +577,12 @@ def names_except(i: Inputs) -> DataFrame:
 
 @query
 def detect_bankruptcy(i: Inputs) -> DataFrame:
-    return detectors.detect_bankruptcy(stored_panel(i), company_names(i))
+    return detectors.detect_bankruptcy(panel(i), company_names(i))
 
 
 @query
 def detect_merger(i: Inputs) -> DataFrame:
-    return detectors.detect_merger(stored_panel(i), company_names(i))
+    return detectors.detect_merger(panel(i), company_names(i))
 
 
 @query
@@ -614,18 +607,18 @@ def detect_data_errors(i: Inputs) -> DataFrame:
 
 @query
 def detect_all_events(i: Inputs) -> DataFrame:
-    return detectors.detect_all(stored_panel(i), company_names(i))
+    return detectors.detect_all(panel(i), company_names(i))
 
 
 @query
 def score_bankruptcy_single(i: Inputs) -> DataFrame:
-    scores = detectors.single_pass_scores(stored_panel(i))
+    scores = detectors.single_pass_scores(panel(i))
     return scores.select("gvkey", "n_rows", "last_date", "bankruptcy_score", "bankruptcy_reasons")
 
 
 @query
 def score_merger_single(i: Inputs) -> DataFrame:
-    return detectors.single_pass_scores(stored_panel(i)).select("gvkey", "n_rows", "last_date", "merger_score", "merger_reasons")
+    return detectors.single_pass_scores(panel(i)).select("gvkey", "n_rows", "last_date", "merger_score", "merger_reasons")
 
 
 @query
@@ -644,7 +637,7 @@ def confidence_band_(i: Inputs) -> DataFrame:
 
 @query
 def detect_single_pass(i: Inputs) -> DataFrame:
-    return detectors.detect_single_pass(stored_panel(i), company_names(i), **SINGLE)
+    return detectors.detect_single_pass(panel(i), company_names(i), **SINGLE)
 
 
 @query
@@ -654,7 +647,7 @@ def detect_bankruptcy_simple(i: Inputs) -> DataFrame:
 
 @query
 def detect_merger_simple(i: Inputs) -> DataFrame:
-    return detectors.detect_merger_simple(normalize.simple_dialect(stored_panel(i)), AS_OF)
+    return detectors.detect_merger_simple(normalize.simple_dialect(panel(i)), AS_OF)
 
 
 @query
@@ -758,5 +751,5 @@ def label_from_verdicts(i: Inputs) -> DataFrame:
 
 @query
 def label_from_acquisitions(i: Inputs) -> DataFrame:
-    """The whole acquisition run: filter, parse, first per firm and date, label, positives only."""
-    return acquisition_labels(i).where(F.col("is_acquired") == 1)
+    """The whole acquisition run: filter, parse, first per firm and date, label."""
+    return acquisition_labels(i)

@@ -28,6 +28,27 @@ VERDICT_FIELDS = (
 )
 
 
+# The event types a verdict may name, for any event and for one year's events.
+EVENT_TYPES = (
+    "bankruptcy", "merger", "acquisition", "halt", "ipo", "stock_split", "ticker_change", "data_error", "none", "unknown",
+)
+YEAR_EVENT_TYPES = ("acquisition", "merger", "bankruptcy", "none", "unknown")
+
+
+def field_guide(kinds: tuple[str, ...]) -> str:
+    """One line per field of a verdict: its type and allowed values."""
+    values = {
+        "verified": "true or false",
+        "actual_event_type": "one of " + ", ".join(kinds),
+        "actual_date": "text YYYY-MM-DD, or null",
+        "llm_confidence": "one of high, medium, low",
+        "details": "short text",
+        "acquirer": "company name, or null",
+        "acquisition_price": "number per share, or null",
+    }
+    return "\n".join(f"{name}: {values[name]}" for name in VERDICT_FIELDS)
+
+
 def _strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
@@ -78,7 +99,8 @@ def balanced_json(text: Column) -> Column:
 
 def is_one_object(json: Column) -> Column:
     """True when the text is one object with nothing after it (``from_json`` accepts trailing text)."""
-    bare = F.regexp_replace(json, F.lit(r'"(?:[^"\\]|\\.)*"'), F.lit(""))
+    # Possessive, so that a long text takes neither stack nor second looks.
+    bare = F.regexp_replace(json, F.lit(r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'), F.lit(""))
     return json.startswith("{") & (first_braces(bare) == bare)
 
 

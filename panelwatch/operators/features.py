@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import relative_change
-from .ordered import HOT_ROWS, ROW_ORDER, last_rows
+from .ordered import ROW_ORDER, last_rows
 from .quantiles import column_quantile, group_quantiles
 
 TAIL = 24
@@ -54,8 +54,8 @@ def exact(column: str) -> str:
     return f"cast({column} AS decimal(38,12))"
 
 
-def firm_features(panel: DataFrame, wanted: Features, key: str = "gvkey", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Feature row per firm from two aggregations that meet on the firm key.
+def firm_features(panel: DataFrame, wanted: Features, key: str = "gvkey") -> DataFrame:
+    """Feature row per firm from aggregations that meet on the firm key.
 
     The tail keeps at most 24 rows per firm and map task before the shuffle; the history is a
     partial aggregation.  Both arrive partitioned by the firm, so their join moves nothing.
@@ -83,16 +83,11 @@ def firm_features(panel: DataFrame, wanted: Features, key: str = "gvkey", hot_ro
     counts = ["count(*) AS n_rows"]
     for c in wanted.before_last:
         counts += [f"sum({exact(c)}) AS _{c}_all", f"count({c}) AS _{c}_all_n"]
-    history = group_quantiles(
-        panel.select(key, *dict.fromkeys([*wanted.medians, *wanted.before_last])),
-        key,
-        wanted.medians,
-        0.5,
-        hot_rows,
-        [F.expr(c) for c in counts],
-    ).withColumnsRenamed({c: f"{c}_med" for c in wanted.medians})
-
+    history = panel.groupBy(key).agg(*map(F.expr, counts))
     features = recent.join(history, key)
+    if wanted.medians:
+        medians = group_quantiles(panel, key, wanted.medians, 0.5)
+        features = features.join(medians.withColumnsRenamed({c: f"{c}_med" for c in wanted.medians}), key, "left")
     for column in wanted.before_last:
         features = _mean_of_the_rest(features, column)
     return features.withColumn("price_change", relative_change(F.col("last_price"), F.col("tail_first_price")))

@@ -59,6 +59,9 @@ def label_windows(panel: DataFrame, events: DataFrame, key: str = "gvkey") -> Da
         .groupBy(key, "lo", "hi")
         .agg(F.max("seq").alias("seq"), F.max_by(label, "seq").alias("label"))
     )
+    # Only days between the panel's first and last date are made, whatever dates an event names.
+    first, last = panel.agg(F.min("date")).scalar(), panel.agg(F.max("date")).scalar()
+    windows = windows.withColumns({"lo": F.greatest("lo", first), "hi": F.least("hi", last)}).where("lo <= hi")
     # The distinct dates of a panel are calendar days, a few ten thousand at most: safe to broadcast.
     calendar = F.broadcast(panel.select("date").distinct())
     days = windows.withColumn("date", F.explode(F.sequence("lo", "hi"))).join(calendar, "date", "left_semi")

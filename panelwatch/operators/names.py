@@ -32,7 +32,10 @@ def company_names(primary: DataFrame, secondary: DataFrame | None = None) -> Dat
     names = latest_names(primary)
     if secondary is None:
         return names
-    return names.unionByName(secondary_only(names, latest_names(usable_links(secondary))))
+    listed = names.withColumn("_listed", F.lit(True))
+    other = latest_names(usable_links(secondary)).withColumnRenamed("company_name", "_other")
+    name = F.when(F.col("_listed"), F.col("company_name")).otherwise(F.col("_other"))
+    return listed.join(other, "gvkey", "full").select("gvkey", name.alias("company_name"))
 
 
 def attach_names(events: DataFrame, names: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import nan_as_null, ticker, yyyymmdd, yyyymmdd_or_null
-from .ordered import HOT_ROWS, with_running_product
+from .ordered import with_running_product
 
 # The columns every normalised panel must have, in this order.
 ESSENTIAL = ("ticker", "date", "price", "volume", "stock_ret", "gvkey", "iid", "excntry", "year", "month")
@@ -39,20 +39,20 @@ def with_date(panel: DataFrame, strict: bool = True) -> DataFrame:
     return panel.withColumn("date", yyyymmdd(source) if strict else yyyymmdd_or_null(source))
 
 
-def with_price_index(panel: DataFrame, name: str = "price", hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_price_index(panel: DataFrame, name: str = "price") -> DataFrame:
     """Price index from returns, 100 before the first month of each ticker."""
-    indexed = with_running_product(panel, 1 + F.col("stock_ret"), name, "ticker", ("date",), hot_rows)
+    indexed = with_running_product(panel, 1 + F.col("stock_ret"), name, "ticker", ("date",))
     return indexed.withColumn(name, INDEX_BASE * F.col(name))
 
 
-def with_price(panel: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_price(panel: DataFrame) -> DataFrame:
     """Existing price, else ``prc``, else an index from returns, else no price at all."""
     if "price" in panel.columns:
         return panel
     if "prc" in panel.columns:
         return panel.withColumn("price", F.col("prc"))
     if "stock_ret" in panel.columns:
-        return with_price_index(panel, "price", hot_rows)
+        return with_price_index(panel, "price")
     return panel
 
 

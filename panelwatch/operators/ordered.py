@@ -4,104 +4,71 @@ A window over a firm alone sorts the whole firm in one task, which fails when on
 large share of the panel.  Three ways around that are used here:
 
 * the last n rows of a firm: Spark limits each group before the shuffle (``WindowGroupLimit``);
-* questions about dates: rows are first grouped to (firm, date) cells, so a firm's window is
-  bounded by the calendar and not by its rows;
-* previous rows and running products: a firm with more than ``hot_rows`` rows is cut into blocks
-  by date and by ranges inside a date, and the little that must cross a block edge is carried
-  through one row per block.  All other firms stay one block, so they pay for one shuffle only.
+* dates, previous rows and running products: rows are worked on inside (firm, date) cells, and
+  what must cross a date is carried through one row per cell, so a firm's window is bounded by
+  the calendar and not by its rows;
+* values and sequence numbers: a grid of approximate quantiles (one row) parts all rows into
+  GRID ranges of about equal size; what must cross a range is carried through one row per range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-HOT_ROWS = 1_000_000
-SEQ_BLOCK = 100_000
-CLASS_BLOCK = 100_000
+GRID = 1024
 ROW_ORDER = ("date", "iid")
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most (rows of df / hot_rows) of them.
-
-    That bound is what makes it safe to broadcast the result.
-    """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.where(F.col("_rows") > hot_rows).select(key)
+def quantile_grid(df: DataFrame, column: str) -> Column:
+    """GRID - 1 rising bounds that part a numeric column into ranges of about equal size, as a scalar."""
+    return df.agg(F.percentile_approx(column, [i / GRID for i in range(1, GRID)], 10 * GRID)).scalar()
 
 
-def flag_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    hot = hot_keys(df, key, hot_rows).withColumn("_hot", F.lit(True))
-    return df.join(F.broadcast(hot), key, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+def range_of(value: Column, grid: Column) -> Column:
+    """How many bounds of the grid (a column, see ``quantile_grid``) are at most ``value``, by binary search.
 
+    The ranges only part the rows: results do not depend on how good the grid is.
+    """
+    steps = F.lit([GRID >> i for i in range(1, GRID.bit_length())])
 
-def _in_blocks(df: DataFrame, key: str, order: Sequence[str], hot_rows: int) -> DataFrame:
-    """Add ``_block``: NULL (one block) for an ordinary key, else a stretch of the key's order.
+    def step(at: Column, size: Column) -> Column:
+        return F.when(F.get(grid, at + size - 1) <= value, at + size).otherwise(at)
 
-    A hot key is cut by date, and inside a date by ranges of the numeric column that orders it,
-    so a block has at most CLASS_BLOCK distinct positions however many rows the key has.
-    """
-    parts = [F.col(order[0])]
-    if len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.NumericType):
-        parts.append(F.floor(F.col(order[1]) / CLASS_BLOCK).alias("range"))
-    return flag_hot(df, key, hot_rows).withColumn("_block", F.when(F.col("_hot"), F.struct(*parts))).drop("_hot")
+    return F.aggregate(steps, F.lit(0), step)
 
 
 def with_previous(
-    df: DataFrame,
-    columns: Sequence[str],
-    key: str = "gvkey",
-    order: Sequence[str] = ROW_ORDER,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, columns: Sequence[str], key: str = "gvkey", order: Sequence[str] = ROW_ORDER
 ) -> DataFrame:
-    """Add ``prev``: a struct of ``columns`` from the key's previous row, NULL on its first row."""
-    rows = _in_blocks(df, key, order, hot_rows)
-    inside = Window.partitionBy(key, "_block").orderBy(*order)
-    rows = rows.withColumn("prev", F.lag(F.struct(*columns)).over(inside))
-
-    last = (
-        rows.where(F.col("_block").isNotNull())
-        .groupBy(key, "_block")
-        .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last"))
-    )
-    by_block = Window.partitionBy(key).orderBy("_block")
-    carried = last.select(key, "_block", F.lag("_last").over(by_block).alias("_carried"))
-    return (
-        rows.join(carried, [key, "_block"], "left")
-        .withColumn("prev", F.coalesce("prev", "_carried"))
-        .drop("_block", "_carried")
-    )
+    """Add ``prev``: a struct of ``columns`` from the key's previous row, NULL on its first row.
+
+    ``order`` starts with the date; a row looks back inside its cell, a cell's first row to the
+    last row of the cell before.
+    """
+    cell = [key, order[0]]
+    rows = df.repartition(*cell).withColumn("_row", F.struct(*columns))
+    rows = rows.withColumn("prev", F.lag("_row").over(Window.partitionBy(*cell).orderBy(*order)))
+    last = rows.groupBy(*cell).agg(F.max_by("_row", F.struct(*order)).alias("_last"))
+    carried = last.select(*cell, F.lag("_last").over(Window.partitionBy(key).orderBy(order[0])).alias("_carried"))
+    return rows.join(carried, cell, "left").withColumn("prev", F.coalesce("prev", "_carried")).drop("_row", "_carried")
 
 
 def with_running_product(
-    df: DataFrame,
-    factor,
-    name: str,
-    key: str = "ticker",
-    order: Sequence[str] = ("date",),
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, factor, name: str, key: str = "ticker", order: Sequence[str] = ("date",)
 ) -> DataFrame:
     """Add the running product of ``factor`` along the key; NULL factors are skipped and stay NULL."""
-    rows = _in_blocks(df, key, order, hot_rows).withColumn("_factor", factor)
-    inside = Window.partitionBy(key, "_block").orderBy(*order)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_inside", F.product("_factor").over(so_far))
-
-    whole = (
-        rows.where(F.col("_block").isNotNull()).groupBy(key, "_block").agg(F.product("_factor").alias("_whole"))
-    )
-    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = whole.select(key, "_block", F.product("_whole").over(earlier).alias("_carried"))
-    product = F.when(F.col("_factor").isNotNull(), F.col("_inside") * F.coalesce("_carried", F.lit(1.0)))
-    return (
-        rows.join(carried, [key, "_block"], "left")
-        .withColumn(name, product)
-        .drop("_block", "_factor", "_inside", "_carried")
-    )
+    cell = [key, order[0]]
+    rows = df.repartition(*cell).withColumn("_factor", factor)
+    inside = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_inside", F.product("_factor").over(inside))
+    whole = rows.groupBy(*cell).agg(F.product("_factor").alias("_whole"))
+    earlier = Window.partitionBy(key).orderBy(order[0]).rowsBetween(Window.unboundedPreceding, -1)
+    carried = whole.select(*cell, F.product("_whole").over(earlier).alias("_carried"))
+    product = F.when(F.col("_factor").isNotNull(), F.coalesce("_carried", F.lit(1.0)) * F.col("_inside"))
+    return rows.join(carried, cell, "left").withColumn(name, product).drop("_factor", "_inside", "_carried")
 
 
 def in_order(panel: DataFrame, key: str = "gvkey", order: Sequence[str] = ROW_ORDER) -> DataFrame:
@@ -136,39 +103,30 @@ def date_cells(df: DataFrame, key: str = "gvkey") -> DataFrame:
     )
 
 
-def with_prior_sum(
-    df: DataFrame,
-    value: str,
-    name: str,
-    seq: str = "seq",
-    keys: Sequence[str] = (),
-    block: int = SEQ_BLOCK,
-) -> DataFrame:
-    """Add the sum of ``value`` over all rows with a smaller ``seq`` (a unique whole number).
+def with_prior_sum(df: DataFrame, value: str, name: str, seq: str = "seq", keys: Sequence[str] = ()) -> DataFrame:
+    """Add the sum of ``value`` over all rows with a smaller ``seq`` (a unique number), per key if keys are given.
 
-    Sums run inside ranges of ``block`` sequence numbers; one total per range is carried over, so
-    no task sees more than ``block`` rows or one row per range.
+    Sums run inside ranges of the sequence; one total per range and key is carried over.
     """
-    rows = df.withColumn("_block", F.floor(F.col(seq) / block))
-    inside = Window.partitionBy(*keys, "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("_grid", quantile_grid(df, seq)).withColumn("_range", range_of(F.col(seq), F.col("_grid"))).drop("_grid")
+    part = [*keys, "_range"]
+    inside = Window.partitionBy(*part).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_inside", F.sum(value).over(inside))
-    totals = rows.groupBy(*keys, "_block").agg(F.sum(value).alias("_total"))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, "_block", F.sum("_total").over(earlier).alias("_carried"))
+    totals = rows.groupBy(*part).agg(F.sum(value).alias("_total"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*part, F.sum("_total").over(earlier).alias("_carried"))
     zero = F.lit(0)
     return (
-        rows.join(carried, [*keys, "_block"])
+        rows.join(carried, part)
         .withColumn(name, F.coalesce("_inside", zero) + F.coalesce("_carried", zero))
-        .drop("_block", "_inside", "_carried")
+        .drop("_range", "_inside", "_carried")
     )
 
 
 def after_first(df: DataFrame, n: int, seq: str = "seq") -> DataFrame:
-    """Skip the first ``n`` rows in ``seq`` order.
-
-    ``OFFSET`` would bring all rows to one task; here only the n-th sequence number is looked up.
-    """
+    """Skip the first ``n`` rows in ``seq`` order; rows are counted range by range, not brought together."""
     if n <= 0:
         return df
-    nth = df.select(seq).orderBy(seq).limit(n).agg(F.max(seq)).scalar()
-    return df.where(F.col(seq) > nth)
+    counted = with_prior_sum(df.select(seq, F.lit(1).cast("long").alias("_one")), "_one", "_before", seq)
+    first = counted.where(F.col("_before") >= n).agg(F.min(seq)).scalar()
+    return df.where(F.col(seq) >= first)

@@ -26,7 +26,7 @@ CRITICAL_FEATURES = {
 
 
 def _spellings(feature: str) -> list[str]:
-    camel = "".join(word.capitalize() for word in feature.split("_"))
+    camel = feature.title().replace("_", "")
     return [feature, camel, feature.lower(), feature.upper()]
 
 

@@ -1,152 +1,79 @@
-"""Exact, linearly interpolated quantiles, for small groups and for groups of any size."""
+"""Exact, linearly interpolated quantiles, for groups of any size on one path."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import HOT_ROWS, flag_hot
-
-SKETCH_SIZE = 2048
-SKETCH_GROUPS = 64
-FIRST_MARGIN = 0.002
-GRID = 200
+from .ordered import GRID, quantile_grid, range_of
 
 
 def group_quantiles(
-    df: DataFrame, key: str, columns: Sequence[str], p: float, hot_rows: int = HOT_ROWS, counts: Sequence = ()
+    df: DataFrame, key: str, columns: Sequence[str], p: float, grids: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Per key, the quantile ``p`` of each column (plus any further aggregates in ``counts``).
+    """Per key, the quantile ``p`` of each column; NULL where a key has no value.  Keys without any value are absent.
 
-    ``percentile`` keeps all distinct values of a group in memory, which is right for the many
-    groups of ordinary size; the values of keys above ``hot_rows`` rows go through
-    :func:`large_quantiles` instead.
+    A grid over the whole column parts the values into ranges.  Counts per (key, range) tell in
+    which range the wanted ranks of a key lie, and only that range's values are ranked, so the
+    values of a large key are ordered by many tasks, about 1 / GRID of them in each.
     """
-    if not columns:
-        return df.groupBy(key).agg(*counts)
-    rows = flag_hot(df, key, hot_rows)
-    quantiles = [F.expr(f"percentile(CASE WHEN NOT _hot THEN double({c}) END, {p}) AS {c}") for c in columns]
-    small = rows.groupBy(key).agg(*quantiles, *counts)
-    pairs = ", ".join(f"struct('{c}' AS metric, double({c}) AS value)" for c in columns)
-    hot_values = rows.where("_hot").selectExpr(key, f"inline(array({pairs}))")
-    large = large_quantiles(hot_values, [key, "metric"], p)
-    # One row per hot key, so at most (rows / hot_rows) rows: bounded for the broadcast.
-    wide = large.groupBy(key).agg(*[F.expr(f"max(CASE WHEN metric = '{c}' THEN quantile END) AS _{c}") for c in columns])
-    filled = [f"coalesce({c}, _{c}) AS {c}" if c in columns else c for c in small.columns]
-    return small.join(F.broadcast(wide), key, "left").selectExpr(*filled)
+    grids = grids or {c: quantile_grid(df, c) for c in columns}
+    each = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"), range_of(F.col(c), F.col(f"_{c}_grid")).alias("range")) for c in columns])
+    rows = df.select(key, *columns, *[grids[c].alias(f"_{c}_grid") for c in columns])
+    values = rows.select(key, F.inline(each)).where("value IS NOT NULL")
+    found = _quantiles(values, [key, "metric"], p)
+    return found.groupBy(key).agg(*[F.max(F.when(F.col("metric") == c, F.col("quantile"))).alias(c) for c in columns])
 
 
-def column_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
+def column_quantile(df: DataFrame, column: str, p: float, grid: Column | None = None) -> DataFrame:
     """One row: the quantile ``p`` over all rows of the column."""
-    values = df.selectExpr("0 AS everything", f"double({column}) AS value")
-    return large_quantiles(values, ["everything"], p).select("quantile")
-
+    grid = quantile_grid(df, column) if grid is None else grid
+    value = F.col(column).cast("double")
+    rows = df.select(value.alias("value"), grid.alias("_grid")).where("value IS NOT NULL")
+    values = rows.select("value", range_of(F.col("value"), F.col("_grid")).alias("range"))
+    found = _quantiles(values, [], p, narrow=True)
+    return found.agg(F.max("quantile").alias("quantile"))
 
-def large_quantiles(values: DataFrame, keys: Sequence[str], p: float, rounds: int = 2) -> DataFrame:
-    """Exact quantile of ``value`` per key, for few keys with any number of rows each.
 
-    Each round sketches the values still in question, picks a bracket [a, b] around the wanted
-    rank, and counts the rows below and up to it.  An end of the range [lo, hi] moves to the
-    bracket only if the counts prove that the wanted rank stays inside, so a poor sketch costs
-    time but never exactness.  The first round leaves about 2 * FIRST_MARGIN of the rows, each
-    further one about 3 / GRID of those; what is left is counted by value and ranked.
+def _holding(counted: DataFrame, keys: list[str], part: str, first: Column | None = None) -> DataFrame:
+    """The parts of each key that hold one of its wanted ranks: keys, part, below, position, lo, hi.
 
-    Sketches are merged in two steps, so no task reads one from every scan task.  ``keys`` must be
-    few (one, or one per hot key), for one row per key is broadcast in each step.
+    ``counted`` has value and copies; the first look derives the wanted position from the counts,
+    later ones carry it (and the rows below) along.
     """
-    k = ", ".join(keys)
-    ranges = _narrowed(k, _first_bracket(k, p))
-    for _ in range(rounds - 1):
-        ranges = _narrowed(k, _next_bracket(k, ranges))
-    query = f"SELECT {k}, {_INTERPOLATED} AS quantile FROM {_ranked_rest(k, ranges)}"
-    return values.sparkSession.sql(query, v=values.where("value IS NOT NULL"))
-
-
-# The steps below are nested subqueries over {v}, the table of values.
-
-_RANGE = ("lo", "hi", "inside", "below", "position")
-_INTERPOLATED = (
-    "CASE WHEN low = high THEN low "
-    "ELSE low * (1 - (position - floor(position))) + high * (position - floor(position)) END"
-)
-
-
-def _same(columns: Sequence[str]) -> str:
-    """Columns that are constant per key, taken through an aggregation."""
-    return ", ".join(f"max({c}) AS {c}" for c in columns)
-
-
-def _in_range(k: str, ranges: str, columns: Sequence[str]) -> str:
-    """The values inside the key's current range, with the range's columns."""
-    return (
-        f"(SELECT /*+ BROADCAST(r) */ {k}, value, {', '.join(columns)} "
-        f"FROM {{v}} JOIN {ranges} AS r USING ({k}) WHERE value BETWEEN lo AND hi)"
-    )
-
-
-def _sketches(k: str, source: str, extra: str) -> str:
-    return (
-        f"(SELECT {k}, kll_sketch_agg_double(value, {SKETCH_SIZE}) AS sketch, {extra} "
-        f"FROM (SELECT *, pmod(spark_partition_id(), {SKETCH_GROUPS}) AS part FROM {source}) GROUP BY {k}, part)"
-    )
-
-
-def _at(ranks: Sequence[float]) -> str:
-    points = ", ".join(f"{min(1.0, max(0.0, r))!r}D" for r in ranks)
-    return f"kll_sketch_get_quantile_double(kll_merge_agg_double(sketch), array({points}))"
-
-
-def _first_bracket(k: str, p: float) -> str:
-    parts = _sketches(k, "{v}", "min(value) AS lo, max(value) AS hi, count(*) AS inside")
-    whole = (
-        f"(SELECT {k}, {_at([p - FIRST_MARGIN, p + FIRST_MARGIN])} AS ends, min(lo) AS lo, max(hi) AS hi, "
-        f"sum(inside) AS inside, 0L AS below, (sum(inside) - 1) * {p!r}D AS position FROM {parts} GROUP BY {k})"
-    )
-    return f"(SELECT {k}, {', '.join(_RANGE)}, ends[0] AS a, ends[1] AS b FROM {whole})"
-
-
-def _next_bracket(k: str, ranges: str) -> str:
-    grid = _at([i / GRID for i in range(GRID + 1)])
-    # Where the two wanted ranks lie in the range, in grid steps, one step of margin on each side.
-    low = f"greatest(0, int(floor((floor(position) - below) / inside * {GRID})) - 1)"
-    high = f"least({GRID}, int(ceil((ceil(position) - below) / inside * {GRID})) + 1)"
-    parts = _sketches(k, _in_range(k, ranges, _RANGE), _same(_RANGE))
-    whole = f"(SELECT {k}, {grid} AS grid, {_same(_RANGE)} FROM {parts} GROUP BY {k})"
-    return f"(SELECT {k}, {', '.join(_RANGE)}, grid[{low}] AS a, grid[{high}] AS b FROM {whole})"
-
-
-def _narrowed(k: str, bracket: str) -> str:
-    carried = (*_RANGE, "a", "b")
-    counted = (
-        f"(SELECT {k}, {_same(carried)}, count_if(value < a) AS less, count_if(value <= b) AS upto "
-        f"FROM {_in_range(k, bracket, carried)} GROUP BY {k})"
-    )
-    decided = (
-        "(SELECT *, floor(position) >= below + less AS cut_low, "
-        f"ceil(position) < below + upto AS cut_high FROM {counted})"
-    )
-    return (
-        f"(SELECT {k}, CASE WHEN cut_low THEN a ELSE lo END AS lo, CASE WHEN cut_high THEN b ELSE hi END AS hi, "
-        "CASE WHEN cut_high THEN upto ELSE inside END - CASE WHEN cut_low THEN less ELSE 0 END AS inside, "
-        f"below + CASE WHEN cut_low THEN less ELSE 0 END AS below, position FROM {decided})"
-    )
-
-
-def _ranked_rest(k: str, ranges: str) -> str:
-    rest = ("below", "position")
-    holds = "{rank}(position) >= upto - copies AND {rank}(position) < upto"
-    low, high = holds.format(rank="floor"), holds.format(rank="ceil")
-    counted = (
-        f"(SELECT {k}, value, count(*) AS copies, {_same(rest)} "
-        f"FROM {_in_range(k, ranges, rest)} GROUP BY {k}, value)"
-    )
-    ranked = (
-        f"(SELECT *, below + sum(copies) OVER (PARTITION BY {k} ORDER BY value "
-        f"ROWS UNBOUNDED PRECEDING) AS upto FROM {counted})"
-    )
-    return (
-        f"(SELECT {k}, max(CASE WHEN {low} THEN value END) AS low, "
-        f"max(CASE WHEN {high} THEN value END) AS high, max(position) AS position FROM {ranked} GROUP BY {k})"
+    carried = [] if first is not None else ["below", "position"]
+    sums = counted.groupBy(*keys, part, *carried).agg(
+        F.sum("copies").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
     )
+    along = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("n").over(along.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    start = before if first is not None else F.col("below") + before
+    sums = sums.withColumn("_start", start)
+    if first is not None:
+        sums = sums.withColumn("position", (F.sum("n").over(along) - 1) * first)
+    low, high = F.floor("position"), F.ceil("position")
+    inside = lambda rank: (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("n"))
+    return sums.where(inside(low) | inside(high)).select(*keys, part, F.col("_start").alias("below"), "position", "lo", "hi")
+
+
+def _quantiles(values: DataFrame, keys: list[str], p: float, narrow: bool = False) -> DataFrame:
+    """keys and quantile; values: keys, value, range.  ``narrow`` cuts the chosen ranges a second time, for a whole column."""
+    part = [*keys, "range"]
+    counted = values.repartition(*part).groupBy(*part, "value").agg(F.count(F.lit(1)).alias("copies"))
+    inside = counted.join(_holding(counted, keys, "range", F.lit(p)), part)
+    if narrow:
+        width = F.col("hi") - F.col("lo")
+        slot = F.when(width > 0, F.floor((F.col("value") - F.col("lo")) / width * GRID)).otherwise(F.lit(0))
+        sliced = inside.withColumn("slot", slot).drop("lo", "hi")
+        chosen = _holding(sliced, part, "slot")
+        part = [*part, "slot"]
+        inside = sliced.drop("below", "position").join(chosen, part)
+    order = Window.partitionBy(*part).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("_upto", F.col("below") + F.sum("copies").over(order))
+    at = lambda rank: F.max(F.when((rank >= F.col("_upto") - F.col("copies")) & (rank < F.col("_upto")), F.col("value")))
+    ends = ranked.groupBy(*keys).agg(at(F.floor("position")).alias("low"), at(F.ceil("position")).alias("high"), F.max("position").alias("position"))
+    share = F.col("position") - F.floor("position")
+    mixed = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") * (1 - share) + F.col("high") * share)
+    return ends.select(*keys, mixed.alias("quantile"))

@@ -8,22 +8,21 @@ from pyspark.sql import functions as F
 from ..functions import answers
 from ..functions.scalars import QUEUE_RANK, has_name, lacks_name, rank_of
 from .events import VERDICT_SCHEMA, ensure_columns, sum_lines
-from .ordered import SEQ_BLOCK, after_first, with_prior_sum
+from .ordered import after_first, with_prior_sum
 
+# What a skipped event says, and the price of one check by the verifier's size.
 SKIP_DETAILS = "Skipped verification - no company name found in database"
+NO_ANSWER = "no answer"
 VERIFIER_PRICES = {"large": "0.003", "small": "0.0003"}
 
 
-def verification_queue(events: DataFrame, batch_size: int) -> DataFrame:
-    """Named events, most confident first, at most ``batch_size`` of them."""
-    return (
-        events.where(has_name())
-        .withColumn("conf_rank", rank_of("confidence", QUEUE_RANK))
-        .orderBy(
-            F.col("conf_rank").desc_nulls_last(), F.col("detection_score").desc(), "gvkey", "event_type", "event_date"
-        )
-        .limit(batch_size)
-    )
+def verification_queue(events: DataFrame, batch_size: int | None) -> DataFrame:
+    """Named events: the ``batch_size`` most confident ones in order, or all of them, unsorted."""
+    named = events.where(has_name()).withColumn("conf_rank", rank_of("confidence", QUEUE_RANK))
+    if batch_size is None:
+        return named
+    first = (F.col("conf_rank").desc_nulls_last(), F.col("detection_score").desc(), "gvkey", "event_type", "event_date", "seq")
+    return named.orderBy(*first).limit(batch_size)
 
 
 def skipped_rows(events: DataFrame) -> DataFrame:
@@ -55,7 +54,8 @@ def request_text() -> Column:
         F.lit("\nConfidence: "), _or("confidence", "N/A"),
         F.lit("\nReasons: "), _or("reasons", "N/A"),
         F.lit("\nSearch for what happened to "), name, F.lit(" around "), F.date_format("event_date", "MMMM yyyy"),
-        F.lit(" and answer with one JSON object with the keys "), F.lit(", ".join(answers.VERDICT_FIELDS)), F.lit("."),
+        F.lit(" and answer with one JSON object with these keys:\n"), F.lit(answers.field_guide(answers.EVENT_TYPES)),
+        F.lit("\nIf nothing is found, set verified to false and llm_confidence to low."),
     )
 
 
@@ -67,7 +67,8 @@ def request_text_for_year(year: int) -> Column:
         F.lit(").\nDetected date: "), F.date_format("event_date", "yyyy-MM-dd"),
         F.lit("\nFind out what really happened to "), name,
         F.lit(f" in {year}.\nLeave actual_date null unless the exact date is found; never reuse the detected date unconfirmed."),
-        F.lit("\nAnswer with one JSON object with the keys "), F.lit(", ".join(answers.VERDICT_FIELDS)), F.lit("."),
+        F.lit("\nAnswer with one JSON object with these keys:\n"), F.lit(answers.field_guide(answers.YEAR_EVENT_TYPES)),
+        F.lit("\nIf nothing is found, set verified to false and llm_confidence to low."),
     )
 
 
@@ -82,7 +83,8 @@ def verdicts_from_answers(responses: DataFrame, balanced: bool = True) -> DataFr
     rows = responses.withColumn("_verdict", F.when(error.isNull(), answers.parse_verdict(extract(F.col("response_text")))))
     failed = F.col("_verdict").isNull()
     stop = answers.is_stop(error)
-    problem = F.coalesce(error, F.lit("answer is not a JSON object"))
+    unread = F.when(F.col("response_text").isNull(), F.lit(NO_ANSWER)).otherwise(F.lit("answer is not a JSON object"))
+    problem = F.coalesce(error, unread)
     if balanced:
         problem = F.concat(F.when(stop, "API error: ").otherwise("Error: "), problem)
         date = answers.null_if_no_date(F.col("_verdict.actual_date"))
@@ -125,13 +127,13 @@ def with_cost(responses: DataFrame, model: str = answers.PRICED_MODEL) -> DataFr
 
 
 def admit_within_budget(
-    requests: DataFrame, budget: str | None, keys: tuple[str, ...] = (), block: int = SEQ_BLOCK
+    requests: DataFrame, budget: str | None, keys: tuple[str, ...] = ()
 ) -> DataFrame:
     """Add what was spent before each request, and whether it is still admitted.
 
     Costs are never negative, so the rows not admitted are exactly those after the budget ran out.
     """
-    rows = with_prior_sum(requests, "cost", "spent_before", "seq", keys, block)
+    rows = with_prior_sum(requests, "cost", "spent_before", "seq", keys)
     if budget is None:
         return rows.withColumns({"admitted": F.lit(True), "percent_used": F.lit(None).cast("double")})
     limit = F.lit(budget).cast("decimal(20,12)")

@@ -20,7 +20,7 @@ from ..operators.features import (
     global_quantile,
 )
 from ..operators.names import attach_names
-from ..operators.ordered import HOT_ROWS, ROW_ORDER, date_cells, with_previous
+from ..operators.ordered import ROW_ORDER, date_cells, with_previous
 from . import rules
 
 SPREAD_QUANTILE = 0.85
@@ -29,9 +29,9 @@ SINGLE_MERGER_MIN_DAYS = 240
 REJECT_MERGER_AT = 30
 
 
-def firm_rows(panel: DataFrame, wanted: Features, end: Column, key: str = "gvkey", hot_rows: int = HOT_ROWS) -> DataFrame:
+def firm_rows(panel: DataFrame, wanted: Features, end: Column, key: str = "gvkey") -> DataFrame:
     """Feature rows of firms plus the days between their last row and ``end``."""
-    return firm_features(panel, wanted, key, hot_rows).withColumn("days_since", days_before(end))
+    return firm_features(panel, wanted, key).withColumn("days_since", days_before(end))
 
 
 def _with_spread(firms: DataFrame, panel: DataFrame) -> DataFrame:
@@ -81,16 +81,16 @@ def _flagged(firms: DataFrame, candidates: Sequence[str], *keep: str) -> DataFra
 EXTRAS = ("last_price", "price_change_60d")
 
 
-def detect_bankruptcy(panel: DataFrame, names: DataFrame, threshold: int = 50, hot_rows: int = HOT_ROWS) -> DataFrame:
-    firms = firm_rows(panel, rules.BANKRUPTCY_FEATURES, dataset_end(panel), hot_rows=hot_rows)
+def detect_bankruptcy(panel: DataFrame, names: DataFrame, threshold: int = 50) -> DataFrame:
+    firms = firm_rows(panel, rules.BANKRUPTCY_FEATURES, dataset_end(panel))
     firms = _scored(_with_spread(firms.where("n_rows >= 24"), panel), bankruptcy=rules.BANKRUPTCY)
     firms = firms.withColumn("price_change_60d", F.col("price_change") * 100)
     flagged = _flagged(firms, [_full_bankruptcy(threshold)], "gvkey", *EXTRAS)
     return attach_names(flagged, names).select(*EVENT_COLUMNS, *EXTRAS)
 
 
-def detect_merger(panel: DataFrame, names: DataFrame, threshold: int = 40, hot_rows: int = HOT_ROWS) -> DataFrame:
-    firms = firm_rows(panel, rules.MERGER_FEATURES, dataset_end(panel), hot_rows=hot_rows)
+def detect_merger(panel: DataFrame, names: DataFrame, threshold: int = 40) -> DataFrame:
+    firms = firm_rows(panel, rules.MERGER_FEATURES, dataset_end(panel))
     firms = _scored(firms.where("n_rows >= 24"), merger=rules.MERGER, against=rules.NOT_MERGER)
     firms = firms.withColumn("price_change_60d", F.col("price_change") * 100)
     flagged = _flagged(firms, [_full_merger(threshold)], "gvkey", *EXTRAS)
@@ -98,11 +98,11 @@ def detect_merger(panel: DataFrame, names: DataFrame, threshold: int = 40, hot_r
 
 
 def detect_all(
-    panel: DataFrame, names: DataFrame, bankruptcy: int = 15, merger: int = 10, hot_rows: int = HOT_ROWS
+    panel: DataFrame, names: DataFrame, bankruptcy: int = 15, merger: int = 10
 ) -> DataFrame:
     """Bankruptcies and mergers of the full rule sets from one feature table."""
     wanted = rules.BANKRUPTCY_FEATURES | rules.MERGER_FEATURES
-    firms = firm_rows(panel, wanted, dataset_end(panel), hot_rows=hot_rows).where("n_rows >= 24")
+    firms = firm_rows(panel, wanted, dataset_end(panel)).where("n_rows >= 24")
     firms = _scored(
         _with_spread(firms, panel), bankruptcy=rules.BANKRUPTCY, merger=rules.MERGER, against=rules.NOT_MERGER
     )
@@ -110,12 +110,12 @@ def detect_all(
     return event_rows(attach_names(flagged, names))
 
 
-def single_pass_scores(panel: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def single_pass_scores(panel: DataFrame) -> DataFrame:
     """Per firm the single-pass bankruptcy and merger scores with their reasons.
 
     Firms with fewer than 24 rows, and merger scores of firms that still trade, are 0.
     """
-    firms = firm_rows(panel, rules.SINGLE_FEATURES, dataset_end(panel), hot_rows=hot_rows)
+    firms = firm_rows(panel, rules.SINGLE_FEATURES, dataset_end(panel))
     firms = _scored(firms, bankruptcy=rules.SINGLE_BANKRUPTCY, merger=rules.SINGLE_MERGER)
     scored = "n_rows >= 24"
     mergeable = f"{scored} AND days_since >= {SINGLE_MERGER_MIN_DAYS}"
@@ -131,10 +131,10 @@ def single_pass_scores(panel: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def single_pass_candidates(
-    panel: DataFrame, bankruptcy: int = 50, merger: int = 40, hot_rows: int = HOT_ROWS
+    panel: DataFrame, bankruptcy: int = 50, merger: int = 40
 ) -> DataFrame:
     """Possible events of each firm with at least 10 rows, with their priorities."""
-    firms = single_pass_scores(panel, hot_rows).where("n_rows >= 10")
+    firms = single_pass_scores(panel).where("n_rows >= 10")
     failed = _candidate(
         "bankruptcy",
         f"bankruptcy_score >= {bankruptcy}",
@@ -150,10 +150,10 @@ def single_pass_candidates(
 
 
 def detect_single_pass(
-    panel: DataFrame, names: DataFrame, bankruptcy: int = 50, merger: int = 40, hot_rows: int = HOT_ROWS
+    panel: DataFrame, names: DataFrame, bankruptcy: int = 50, merger: int = 40
 ) -> DataFrame:
     """At most one event per firm."""
-    best = best_events(single_pass_candidates(panel, bankruptcy, merger, hot_rows))
+    best = best_events(single_pass_candidates(panel, bankruptcy, merger))
     return event_rows(attach_names(best, names))
 
 
@@ -317,12 +317,16 @@ def return_on_previous(price: Column, previous: Column) -> Column:
     )
 
 
-def split_rows(panel: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows whose price fell by a split ratio, scored; ``key`` is the firm or the ticker."""
-    volume = "volume" in panel.columns
-    columns = ["price", *(["volume"] if volume else [])]
+def rows_with_previous(panel: DataFrame, key: str) -> DataFrame:
+    """Prices and volumes of each row and of the firm's (or ticker's) row before it."""
+    columns = [c for c in ("price", "volume") if c in panel.columns]
     rows = panel.where(F.col(key).isNotNull()).select(*dict.fromkeys([key, "date", "iid", *columns]))
-    rows = with_previous(rows, columns, key, hot_rows=hot_rows)
+    return with_previous(rows, columns, key)
+
+
+def split_rows(rows: DataFrame, key: str) -> DataFrame:
+    """Rows whose price fell by a split ratio, scored; ``rows`` come from :func:`rows_with_previous`."""
+    volume = "volume" in rows.columns
     rows = rows.withColumn("change", return_on_previous(F.col("price"), F.col("prev.price")))
     kind = F.lit(None).cast("string")
     for ratio, name in rules.SPLIT_RATIOS.items():
@@ -341,20 +345,16 @@ def split_rows(panel: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFram
     )
 
 
-def detect_stock_split(panel: DataFrame, names: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return attach_names(split_rows(panel, "gvkey", hot_rows), names).select(*EVENT_COLUMNS, "split_type")
+def detect_stock_split(panel: DataFrame, names: DataFrame) -> DataFrame:
+    return attach_names(split_rows(rows_with_previous(panel, "gvkey"), "gvkey"), names).select(*EVENT_COLUMNS, "split_type")
 
 
-def detect_split_simple(panel: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return split_rows(panel, "ticker", hot_rows)
+def detect_split_simple(panel: DataFrame) -> DataFrame:
+    return split_rows(rows_with_previous(panel, "ticker"), "ticker")
 
 
-def data_error_rows(
-    panel: DataFrame, key: str, rule_set: list[Rule], threshold: int, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Rows whose price or volume cannot be right."""
-    wanted = [c for c in dict.fromkeys([key, "date", "iid", "price", "volume"]) if c in panel.columns]
-    rows = with_previous(panel.where(F.col(key).isNotNull()).select(*wanted), ["price"], key, hot_rows=hot_rows)
+def data_error_rows(rows: DataFrame, key: str, rule_set: list[Rule], threshold: int) -> DataFrame:
+    """Rows whose price or volume cannot be right; ``rows`` come from :func:`rows_with_previous`."""
     before = F.col("prev.price")
     rows = rows.withColumn("prev_price", before).withColumn(
         "jump", F.when(before > 0, (F.col("price") - before) / before)
@@ -374,13 +374,13 @@ def data_error_rows(
     )
 
 
-def detect_data_errors(panel: DataFrame, names: DataFrame, threshold: int = 10, hot_rows: int = HOT_ROWS) -> DataFrame:
-    rows = data_error_rows(panel, "gvkey", rules.DATA_ERROR, threshold, hot_rows)
+def detect_data_errors(panel: DataFrame, names: DataFrame, threshold: int = 10) -> DataFrame:
+    rows = data_error_rows(rows_with_previous(panel, "gvkey"), "gvkey", rules.DATA_ERROR, threshold)
     return attach_names(rows, names).select(*EVENT_COLUMNS, "price")
 
 
-def detect_data_errors_simple(panel: DataFrame, threshold: int = 3, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return data_error_rows(panel, "ticker", rules.SIMPLE_DATA_ERROR, threshold, hot_rows)
+def detect_data_errors_simple(panel: DataFrame, threshold: int = 3) -> DataFrame:
+    return data_error_rows(rows_with_previous(panel, "ticker"), "ticker", rules.SIMPLE_DATA_ERROR, threshold)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -388,9 +388,9 @@ def detect_data_errors_simple(panel: DataFrame, threshold: int = 3, hot_rows: in
 
 
 def detect_bankruptcy_simple(
-    panel: DataFrame, as_of: date, threshold: int = 5, key: str = "ticker", hot_rows: int = HOT_ROWS
+    panel: DataFrame, as_of: date, threshold: int = 5, key: str = "ticker"
 ) -> DataFrame:
-    firms = firm_rows(panel, rules.SIMPLE_BANKRUPTCY_FEATURES, F.lit(as_of), key, hot_rows)
+    firms = firm_rows(panel, rules.SIMPLE_BANKRUPTCY_FEATURES, F.lit(as_of), key)
     firms = _scored(firms.where("n_rows >= 24"), bankruptcy=rules.SIMPLE_BANKRUPTCY)
     graded = _graded("bankruptcy_score", (50, "high"), (35, "medium"))
     option = _candidate("bankruptcy", f"bankruptcy_score >= {threshold}", graded)
@@ -398,9 +398,9 @@ def detect_bankruptcy_simple(
 
 
 def detect_merger_simple(
-    panel: DataFrame, as_of: date, threshold: int = 5, key: str = "ticker", hot_rows: int = HOT_ROWS
+    panel: DataFrame, as_of: date, threshold: int = 5, key: str = "ticker"
 ) -> DataFrame:
-    firms = firm_rows(panel, rules.SIMPLE_MERGER_FEATURES, F.lit(as_of), key, hot_rows)
+    firms = firm_rows(panel, rules.SIMPLE_MERGER_FEATURES, F.lit(as_of), key)
     firms = firms.where("n_rows >= 24 AND days_since >= 90")
     firms = _scored(firms, merger=rules.SIMPLE_MERGER, against=rules.SIMPLE_NOT_MERGER)
     holds = f"merger_score >= {threshold} AND against_score < {REJECT_MERGER_AT}"
@@ -408,18 +408,17 @@ def detect_merger_simple(
     return _flagged(firms, [option], key, "last_price").drop("priority")
 
 
-def union_detections(
-    panel: DataFrame, names: DataFrame, thresholds: dict[str, int] | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """All six full detectors on the shared columns."""
+def union_detections(panel: DataFrame, names: DataFrame, thresholds: dict[str, int] | None = None) -> DataFrame:
+    """All six full detectors on the shared columns, over one feature table and one table of previous rows."""
     limits = {"bankruptcy": 50, "merger": 40, "halt": 30, "data_error": 10, **(thresholds or {})}
+    rows = rows_with_previous(panel, "gvkey")
+    errors = data_error_rows(rows, "gvkey", rules.DATA_ERROR, limits["data_error"])
+    unnamed = attach_names(split_rows(rows, "gvkey").drop("split_type").unionByName(errors.drop("price")), names)
     return union_events(
         [
-            detect_bankruptcy(panel, names, limits["bankruptcy"], hot_rows),
-            detect_merger(panel, names, limits["merger"], hot_rows),
+            detect_all(panel, names, limits["bankruptcy"], limits["merger"]),
             detect_halt(panel, names, limits["halt"]),
             detect_ipo(panel, names),
-            detect_stock_split(panel, names, hot_rows),
-            detect_data_errors(panel, names, limits["data_error"], hot_rows),
+            event_rows(unnamed),
         ]
     )

@@ -41,13 +41,15 @@ def reverified_year_summary(updated: DataFrame, year: int) -> DataFrame:
     return verify.year_summary(in_year(updated, year, date_or_null("event_date")))
 
 
-def verify_queue(events: DataFrame, responses: DataFrame, batch_size: int = 100) -> DataFrame:
+def verify_queue(events: DataFrame, responses: DataFrame, batch_size: int | None = 100) -> DataFrame:
     """Queued events with their parsed answers, plus the rows skipped for want of a name.
 
-    ``events`` carries the ``seq`` under which its answer is found.
+    ``events`` carries the ``seq`` under which its answer is found; an event without one gets the
+    verdict 'error'.  Only answers of queued events are parsed.
     """
     queued = verify.verification_queue(events, batch_size)
-    parsed = verify.verdicts_from_answers(responses, balanced=False)
+    given = queued.select("seq").join(responses.drop("gvkey"), "seq", "left")
+    parsed = verify.verdicts_from_answers(given, balanced=False)
     verdicts = verify.with_metadata(parsed, queued).select(
         "gvkey", "company_name", "verified", "actual_event_type", "actual_date", "llm_confidence", "details",
         "acquirer", "acquisition_price", "detected_event_type", "detected_date",

@@ -21,18 +21,21 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return nan_as_null(reader.parquet(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return nan_as_null(spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True).csv(path))
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, free_text: bool = False) -> DataFrame:
+    """A file is split among tasks, unless ``free_text`` says that quoted values may hold line feeds."""
+    return nan_as_null(spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=free_text).csv(path))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, free_text: bool = False
+) -> DataFrame:
     """Choose the reader by the file extension."""
     if path.endswith(".parquet"):
         return read_parquet(spark, path, schema)
     if path.endswith(".csv"):
         if schema is None:
             raise ValueError("a CSV scan needs a schema")
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, free_text)
     raise ValueError(f"unsupported file type: {path}")
 
 

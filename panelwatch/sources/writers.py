@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,21 +11,18 @@ from .readers import CSV_OPTIONS
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder path under the shared folder the cluster names; a local one only if none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return os.path.join(tempfile.mkdtemp(prefix="panelwatch-"), name)
+    """A new folder path under the shared folder the cluster names.
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a derived table once and read it back, for work that scans it several times.
-
-    Unlike a cache the copy outlives lost executors, and scans of it still prune columns.
+    A session that runs in one process may go without that setting and gets a folder in its
+    warehouse; on a cluster, a folder of one machine would hide files from the others, so the
+    setting is required there.
     """
-    path = scratch_folder(df.sparkSession, f"{name}.parquet")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}/{name}"
 
 
 def write_events_csv(events: DataFrame, path: str) -> None:

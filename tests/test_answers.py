@@ -111,7 +111,7 @@ def test_budget_met_exactly_ends_the_run(spark):
     df = spark.createDataFrame([(i, 0.25) for i in range(6)], "seq long, c double").select(
         "seq", F.col("c").cast("decimal(20,12)").alias("cost")
     )
-    got = rows(verify.admit_within_budget(df, "0.75", block=2).select("seq", "admitted", "percent_used"), "seq")
+    got = rows(verify.admit_within_budget(df, "0.75").select("seq", "admitted", "percent_used"), "seq")
     assert [r[1] for r in got] == [True, True, True, False, False, False]
     assert got[2][2] == pytest.approx(200 / 3)
     assert all(r[0] for r in verify.admit_within_budget(df, None).select("admitted").collect())
@@ -170,3 +170,34 @@ def test_reverify_year_against_a_loop(spark):
     found = {r.seq: (r.verified, r.actual_event_type, r.actual_date) for r in got.collect()}
     assert found == want
     assert sum(v[0] is not None for v in want.values()) > 10
+
+
+@pytest.mark.parametrize("filler", ["x" * 100_000, '\\"' * 50_000, "\\\\" * 50_000, "{" * 100_000])
+def test_long_texts_are_read_whole(spark, filler):
+    text = json.dumps({**json.loads(GOOD), "details": "S"}).replace('"S"', f'"{filler}"')
+    df = spark.createDataFrame([(text,)], "t string")
+    got = df.select(answers.parse_verdict(answers.balanced_json(F.col("t"))).alias("v")).select("v.*").collect()[0]
+    # Braces inside a text count for finding the object's end, as they do for its model.
+    assert got.details == json.loads(f'"{filler}"') if filler[0] != "{" else got.details is None
+
+
+def test_queued_events_without_an_answer_get_an_error_verdict(spark):
+    events = spark.createDataFrame(
+        [(i, i, "Firm" if i else None, "merger", 50, "high", "r") for i in range(4)],
+        "seq long, gvkey long, company_name string, event_type string, detection_score int, confidence string, reasons string",
+    ).withColumn("event_date", F.lit("2000-01-01").cast("date"))
+    given = spark.createDataFrame([(1, GOOD, None), (3, "none", None), (9, GOOD, None)], "seq long, response_text string, error_text string")
+    for size in (None, 100):
+        got = {r.gvkey: r for r in workflows.verify_queue(events, given, size).collect()}
+        assert len(got) == 4 and got[0].skip_reason == "no_company_name" and got[1].verified
+        assert got[2].actual_event_type == "error" and got[2].details == "Error during verification: no answer"
+        assert got[3].details == "Error during verification: answer is not a JSON object"
+
+
+def test_requests_name_types_and_allowed_values(spark):
+    df = spark.createDataFrame([(1, "F", "merger", 50, "high", "r")], "gvkey long, company_name string, event_type string, detection_score int, confidence string, reasons string")
+    df = df.withColumn("event_date", F.lit("2000-01-01").cast("date"))
+    for text, kinds in ((verify.request_text(), answers.EVENT_TYPES), (verify.request_text_for_year(2015), answers.YEAR_EVENT_TYPES)):
+        shown = df.select(text).collect()[0][0]
+        assert all(f"\n{field}: " in shown for field in answers.VERDICT_FIELDS) and ", ".join(kinds) in shown
+        assert "high, medium, low" in shown and "YYYY-MM-DD" in shown and "set verified to false" in shown

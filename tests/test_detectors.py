@@ -114,7 +114,7 @@ def test_rule_sets_adapt_to_missing_columns(spark):
     assert detectors.detect_ipo(table, no_names(spark)).count() == 0
 
 
-def test_hot_firms_change_nothing(spark):
+def test_partitioning_changes_nothing(spark):
     rnd = random.Random(3)
     wide = dict.fromkeys(
         ["ami_126d", "turnover_126d", "dolvol_126d", "bidaskhl_21d", "z_score", "ni_be", "eqnpo_me", "volume"],
@@ -127,7 +127,7 @@ def test_hot_firms_change_nothing(spark):
     table = panel_of(spark, *firms)
     for detect in (detectors.detect_all, detectors.detect_stock_split, detectors.detect_data_errors):
         plain = rows(detect(table, no_names(spark)))
-        assert plain == rows(detect(table.repartition(7), no_names(spark), hot_rows=25))
+        assert plain == rows(detect(table.repartition(7), no_names(spark)))
 
 
 def test_two_share_classes_are_ordered_by_class(spark):

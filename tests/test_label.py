@@ -123,3 +123,13 @@ def test_cleaning_of_verdicts(spark):
         "seq long, gvkey long, actual_event_type string, verified string, actual_date_raw string, acquirer string, acquisition_price double",
     )
     assert [r[0] for r in rows(workflows.clean_acquisitions(verdicts), "seq")] == [1, 6]
+
+
+def test_a_halt_without_end_makes_no_days_outside_the_panel(spark):
+    panel = spark.createDataFrame([(1, 1, date(2000, m, 1)) for m in range(1, 7)], "gvkey long, iid int, date date")
+    events = spark.createDataFrame(
+        [(1, 1, "halt", date(2000, 3, 1), date(9999, 1, 1), "high", "d")],
+        "seq long, gvkey long, actual_event_type string, event_date date, halt_end_date date, llm_confidence string, details string",
+    )
+    got = label.label_windows(panel, events)
+    assert [r.event_label for r in got.orderBy("date").collect()] == ["none", "none", "halt", "halt", "halt", "halt"]

@@ -1,4 +1,4 @@
-"""Order-dependent operators against plain Python, with hot firms cut into blocks and without."""
+"""Order-dependent operators against plain Python; firm 0 holds most rows."""
 
 import random
 from datetime import date, timedelta
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from panelwatch.operators import ordered
-from panelwatch.operators.quantiles import column_quantile, group_quantiles, large_quantiles
+from panelwatch.operators.quantiles import column_quantile, group_quantiles
 
 START = date(2000, 1, 1)
 
@@ -38,13 +38,11 @@ def by_firm(data):
     return firms
 
 
-@pytest.mark.parametrize("hot_rows, per_block", [(1_000_000, 100), (40, 100), (40, 3)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_previous_row(spark, monkeypatch, seed, hot_rows, per_block):
-    monkeypatch.setattr(ordered, "CLASS_BLOCK", per_block)
+def test_previous_row(spark, seed):
     data = make_panel(seed)
     got = ordered.with_previous(
-        spark.createDataFrame(data, SCHEMA).repartition(5), ["price", "date"], hot_rows=hot_rows
+        spark.createDataFrame(data, SCHEMA).repartition(5), ["price", "date"]
     ).select("gvkey", "iid", "date", F.col("prev.price"), F.col("prev.date").alias("d"), F.col("prev").isNull().alias("first"))
     want = []
     for firm in by_firm(data).values():
@@ -53,14 +51,13 @@ def test_previous_row(spark, monkeypatch, seed, hot_rows, per_block):
     assert rows(got) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 40])
-def test_running_product(spark, hot_rows):
+def test_running_product(spark):
     data = [r for r in make_panel(3) if r[1] == 1 or r[0] != 0] + [
         (0, 1, START + timedelta(days=5000 + i), 1.0, 0.01 * (i % 7 - 3)) for i in range(80)
     ]
     data = list({(r[0], r[2]): r for r in data}.values())
     got = ordered.with_running_product(
-        spark.createDataFrame(data, SCHEMA), 1 + F.col("ret"), "index", "gvkey", ("date",), hot_rows
+        spark.createDataFrame(data, SCHEMA), 1 + F.col("ret"), "index", "gvkey", ("date",)
     )
     want = {}
     for firm in by_firm(data).values():
@@ -99,15 +96,15 @@ def test_date_cells(spark):
     )
 
 
-@pytest.mark.parametrize("block", [1, 7, 100_000])
-def test_prior_sum(spark, block):
+@pytest.mark.parametrize("reach", [151, 1000, 10**15])
+def test_prior_sum(spark, reach):
     rnd = random.Random(6)
-    seqs = rnd.sample(range(1000), 150)
+    seqs = rnd.sample(range(reach), 150)
     data = [(s, rnd.randint(0, 9), s % 3) for s in seqs]
     df = spark.createDataFrame(data, "seq long, cost long, batch long")
-    got = {r.seq: r.before for r in ordered.with_prior_sum(df, "cost", "before", block=block).collect()}
+    got = {r.seq: r.before for r in ordered.with_prior_sum(df, "cost", "before").collect()}
     assert got == {s: sum(c for t, c, _ in data if t < s) for s in seqs}
-    got = {r.seq: r.before for r in ordered.with_prior_sum(df, "cost", "before", keys=("batch",), block=block).collect()}
+    got = {r.seq: r.before for r in ordered.with_prior_sum(df, "cost", "before", keys=("batch",)).collect()}
     assert got == {s: sum(c for t, c, b in data if t < s and b == s % 3) for s in seqs}
 
 
@@ -140,19 +137,17 @@ def test_large_quantiles_are_exact(spark, p, kind):
     }[kind]
     data = [(k, draw() if rnd.random() > 0.05 else None) for k in ("a", "b") for _ in range(4000)]
     df = spark.createDataFrame(data, "k string, value double").repartition(6)
-    got = dict(rows(large_quantiles(df, ["k"], p)))
+    got = {k: v for k, v in rows(group_quantiles(df, "k", ["value"], p))}
     for k in ("a", "b"):
         assert got[k] == pytest.approx(interpolated([v for j, v in data if j == k], p), rel=1e-12)
     everything = column_quantile(df, "value", p).collect()[0][0]
     assert everything == pytest.approx(interpolated([v for _, v in data], p), rel=1e-12)
 
 
-def test_quantiles_of_hot_groups_equal_those_of_small_ones(spark):
-    data = make_panel(9)
+def test_quantiles_where_one_group_holds_most_rows(spark):
+    data = make_panel(9) + [(99, 1, START + timedelta(days=i), float(i * i % 7919), None) for i in range(5000)]
     df = spark.createDataFrame(data, SCHEMA)
     small = rows(group_quantiles(df, "gvkey", ["price", "ret"], 0.5))
-    mixed = rows(group_quantiles(df, "gvkey", ["price", "ret"], 0.5, hot_rows=20))
-    assert small == mixed
     want = [(k, interpolated([r[3] for r in f], 0.5), interpolated([r[4] for r in f], 0.5)) for k, f in by_firm(data).items()]
     for got, expected in zip(small, sorted(want, key=str)):
         assert got[0] == expected[0]

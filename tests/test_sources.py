@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from panelwatch.operators import normalize
+from panelwatch.operators import normalize, profile
 from panelwatch.sources import readers, writers
 
 SCHEMA = "gvkey long, iid int, date double, prc double, stock_ret double, excntry string, year int, month int"
@@ -36,7 +36,7 @@ def test_csv_keeps_quotes_blanks_and_line_breaks(spark, tmp_path):
     table = [(1, 'say "hi", twice'), (2, "  "), (3, "two\nlines"), (4, None), (5, "back\\slash")]
     df = spark.createDataFrame(table, "k int, t string")
     writers.write_events_csv(df, path)
-    assert rows(readers.read_csv(spark, path, df.schema)) == table
+    assert rows(readers.read_csv(spark, path, df.schema, free_text=True)) == table
 
 
 def test_key_filter_reaches_the_scan(spark, tmp_path):
@@ -90,19 +90,44 @@ def test_strict_dates_fail_and_lenient_ones_do_not(spark):
 class Settings:
     """Stands in for a session with given settings."""
 
-    def __init__(self, **settings):
-        self.conf = self
+    def __init__(self, master, **settings):
+        self.conf = self.sparkContext = self
+        self.master = master
         self.settings = settings
 
-    def get(self, name, default):
+    def get(self, name, default=None):
         return self.settings.get(name, default)
 
+    def getCheckpointDir(self):
+        return None
+
 
 def test_scratch_folder_follows_the_cluster_setting():
-    shared = Settings(**{"spark.checkpoint.dir": "hdfs://shared/scratch/"})
-    assert writers.scratch_folder(shared, "x").startswith("hdfs://shared/scratch/x-")
-    assert writers.scratch_folder(shared, "x") != writers.scratch_folder(shared, "x")
-    assert writers.scratch_folder(Settings(), "x").endswith("/x")
+    shared = Settings("yarn", **{"spark.checkpoint.dir": "hdfs://shared/scratch/"})
+    path = writers.scratch_folder(shared, "x.csv")
+    assert path.startswith("hdfs://shared/scratch/") and path.endswith("/x.csv")
+    assert path != writers.scratch_folder(shared, "x.csv")
+    with pytest.raises(ValueError):
+        writers.scratch_folder(Settings("yarn"), "x")
+    local = Settings("local[2]", **{"spark.sql.warehouse.dir": "file:/w"})
+    assert writers.scratch_folder(local, "x").startswith("file:/w/scratch/")
+
+
+def test_a_large_csv_is_split_among_tasks(spark, tmp_path):
+    path = str(tmp_path / "big.csv")
+    spark.range(200_000).withColumn("t", F.lit("text")).coalesce(1).write.options(**readers.CSV_OPTIONS).csv(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        df = readers.read_csv(spark, path, "id long, t string")
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 200_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_camel_case_spelling_of_features(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "Ami126D double, ZScore double")
+    found = {r.feature: r.column_name for r in profile.feature_coverage(df).collect() if r.available}
+    assert found == {"ami_126d": "Ami126D", "z_score": "ZScore"}
 
 
 def test_labeled_parquet_is_sorted_by_firm_inside_a_year(spark, tmp_path):
