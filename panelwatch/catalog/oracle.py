@@ -20,6 +20,8 @@ WHOLE = {
     "resolve_price": "iid",
     "volume_proxy": "iid",
     "project_essential": "iid year month f_score",
+    "normalize_panel": "iid year month f_score",
+    "scan_by_key_list": "iid",
     "ensure_columns": "detection_score",
     "label_event_windows": "iid",
     "label_from_verdicts": "iid",
@@ -117,7 +119,10 @@ def named(select: str, source: str) -> str:
 PANEL_COLUMNS = f"gvkey, iid, {day('date')}, {six('prc')}, {six('volume')}, {six('stock_ret')}, {six('z_score')}, f_score, {six('age')}"
 oracle("scan_panel_parquet", "panel", f"SELECT {PANEL_COLUMNS} FROM panel")
 oracle("scan_panel_csv", "panel", f"SELECT {PANEL_COLUMNS} FROM panel")
-oracle("scan_dispatch", "", "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM orders")
+oracle("scan_dispatch", "", """
+SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice, kind FROM orders CROSS JOIN (VALUES ('parquet'), ('csv')) AS k(kind)
+""")
+oracle("scan_by_key_list", "panel", f"SELECT gvkey, iid, {day('date')}, {six('prc')} FROM panel WHERE gvkey IN (4, 7, 15, 22)")
 oracle("distinct_keys", "panel", "SELECT DISTINCT gvkey FROM panel")
 
 part("acq_all", "verdicts", """
@@ -154,6 +159,12 @@ oracle("project_essential", "p", f"""
 SELECT ticker, {day('date')}, {six('price')}, {six('volume')}, {six('stock_ret')}, gvkey, iid, excntry, year, month,
   f_score, {', '.join(six(c) for c in RATIOS)} FROM p
 """)
+oracle("normalize_panel", "p", f"""
+SELECT ticker, {day('date')}, CASE WHEN stock_ret IS NOT NULL THEN round(100 * product(1 + stock_ret)
+    OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING), 6) END AS price,
+  round(abs(stock_ret) * 1000000, 6) AS volume, {six('stock_ret')}, gvkey, iid, excntry, year, month,
+  f_score, {', '.join(six(c) for c in RATIOS)} FROM p
+""")
 oracle("filter_min_history", "panel", "SELECT gvkey, count(*) AS n_rows FROM panel GROUP BY gvkey HAVING count(*) >= 24")
 oracle("filter_verified_acquisitions", "acq_all", f"""
 SELECT seq, gvkey, {day('actual_date')}, acquirer, {six('acquisition_price')} FROM acq_all
@@ -330,6 +341,7 @@ WHERE s >= {threshold_m}"""
 SEVEN = f"event_type, {day('event_date')}, CAST(detection_score AS BIGINT) AS detection_score, confidence, reasons"
 part("full_set", "feat", full_events(50, 40))
 part("full_low", "feat", full_events(15, 10))
+part("full_5", "feat", full_events(5, 5))
 oracle("detect_bankruptcy", "full_set names", named(
     f"{SEVEN}, {six('last_price')}, round(pc * 100, 6) AS price_change_60d", "full_set") + " WHERE event_type = 'bankruptcy'")
 oracle("detect_merger", "full_set names", named(
@@ -456,10 +468,11 @@ HALT = rules_sql([
     [("total_gap_days < 180", 10, "'Short halt (likely temporary)'"), ("total_gap_days < 365", 5, "'Medium halt'")],
     [("consecutive_gaps > 1", 5, "'Multiple consecutive gaps (' || consecutive_gaps || ')'")],
 ])
-part("halts", "islands", f"""
+for _name, _least in (("halts", 30), ("halts_5", 5)):
+    part(_name, "islands", f"""
 SELECT gvkey, 'halt' AS event_type, start_date AS event_date, s AS detection_score,
   CASE WHEN s >= 20 THEN 'medium' ELSE 'low' END AS confidence, why AS reasons, end_date, total_gap_days, consecutive_gaps
-FROM (SELECT *, {HALT[0]} AS s, {HALT[1]} AS why FROM islands) WHERE s >= 30
+FROM (SELECT *, {HALT[0]} AS s, {HALT[1]} AS why FROM islands) WHERE s >= {_least}
 """)
 oracle("detect_halt", "halts names", named(
     f"{SEVEN}, {day('end_date', 'halt_end_date')}, total_gap_days, consecutive_gaps", "halts"))
@@ -870,3 +883,43 @@ UNION ALL SELECT 'verification', metric, NULL, CAST(n AS VARCHAR) FROM outcome
 UNION ALL SELECT 'labels', 'rows', label, CAST(n AS VARCHAR) FROM distribution
 UNION ALL SELECT 'labels', 'percent', NULL, printf('%.2f', count(*) FILTER (event_label <> 'none') * 100.0 / count(*)) FROM labeled
 """)
+
+# The whole run ----------------------------------------------------------------------------------
+
+part("run_events", "full_5 halts_5 ipos splits errors", " UNION ALL ".join(
+    f"SELECT {EVENT} FROM {source}" for source in ("full_5", "halts_5", "ipos", "splits", "errors")))
+part("run_answers", "parsed_fenced", "SELECT * FROM parsed_fenced QUALIFY row_number() OVER (PARTITION BY gvkey ORDER BY seq) = 1")
+part("run_checked", "run_events names run_answers", f"""
+SELECT gvkey, event_date, named AND NOT failed AND coalesce(verified, false) AS verified, llm_confidence,
+  CASE WHEN NOT named THEN 'skipped' WHEN failed THEN 'error' ELSE actual_event_type END AS actual_event_type,
+  coalesce(TRY_CAST(actual_date AS DATE), event_date) AS day
+FROM (
+  SELECT e.gvkey, e.event_date, coalesce({HAS_NAME}, false) AS named, a.error_text IS NOT NULL OR NOT coalesce(a.ok, false) AS failed,
+    a.verified, a.actual_event_type, a.actual_date, a.llm_confidence
+  FROM (SELECT e.*, {NAMED} FROM run_events e LEFT JOIN names n ON n.gvkey = e.gvkey) e LEFT JOIN run_answers a ON a.gvkey = e.gvkey
+)
+""")
+part("run_outcome", "run_checked", """
+SELECT CASE WHEN verified THEN 'verified' ELSE 'not_verified' END AS metric, count(*) AS n FROM run_checked GROUP BY verified
+UNION ALL SELECT 'type:' || actual_event_type, count(*) FROM run_checked WHERE verified AND actual_event_type IS NOT NULL GROUP BY actual_event_type
+""")
+part("run_labeled", "panel run_checked", """
+SELECT CASE WHEN EXISTS (SELECT 1 FROM run_checked c WHERE c.verified AND c.llm_confidence IN ('high', 'medium')
+  AND c.gvkey = p.gvkey AND p.date BETWEEN c.day - 60 AND c.day) THEN 'acquisition' ELSE 'none' END AS event_label FROM panel p
+""")
+oracle("full_run", "p run_events run_checked run_outcome run_labeled", """
+SELECT 'dataset' AS section, 'total_stocks' AS metric, CAST(NULL AS VARCHAR) AS key, CAST(count(DISTINCT ticker) AS VARCHAR) AS value FROM p
+UNION ALL SELECT 'dataset', 'first_date', NULL, CAST(min(date) AS VARCHAR) FROM p
+UNION ALL SELECT 'dataset', 'last_date', NULL, CAST(max(date) AS VARCHAR) FROM p
+UNION ALL SELECT 'dataset', 'total_observations', NULL, CAST(count(*) AS VARCHAR) FROM p
+UNION ALL SELECT 'detection', 'total', NULL, CAST(count(*) AS VARCHAR) FROM run_events
+UNION ALL SELECT 'detection', 'event_type', event_type, CAST(count(*) AS VARCHAR) FROM run_events GROUP BY event_type
+UNION ALL SELECT 'detection', 'confidence', confidence, CAST(count(*) AS VARCHAR) FROM run_events GROUP BY confidence
+UNION ALL SELECT 'verification', metric, NULL, CAST(n AS VARCHAR) FROM run_outcome
+UNION ALL SELECT 'labels', 'rows', event_label, CAST(count(*) AS VARCHAR) FROM run_labeled GROUP BY event_label
+UNION ALL SELECT 'labels', 'rows', '(labeled rows)', CAST(count(*) FILTER (event_label <> 'none') AS VARCHAR) FROM run_labeled
+UNION ALL SELECT 'labels', 'percent', NULL, printf('%.2f', count(*) FILTER (event_label <> 'none') * 100.0 / count(*)) FROM run_labeled
+UNION ALL SELECT 'export', 'rows', 'detected', CAST(count(*) AS VARCHAR) FROM run_events
+UNION ALL SELECT 'export', 'rows', 'verified', CAST(count(*) AS VARCHAR) FROM run_checked
+UNION ALL SELECT 'export', 'rows', 'labeled', CAST(count(*) AS VARCHAR) FROM panel
+""")

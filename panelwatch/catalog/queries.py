@@ -150,8 +150,13 @@ def scan_panel_csv(i: Inputs) -> DataFrame:
 
 @query
 def scan_dispatch(i: Inputs) -> DataFrame:
+    """Parquet by its extension, and a CSV copy of it by its own."""
     orders = readers.read_table(i.spark, f"{i.folder}/orders.parquet")
-    return orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    path = writers.scratch_folder(i.spark, "orders.csv")
+    writers.write_events_csv(orders, path)
+    copied = readers.read_table(i.spark, path, orders.schema)
+    return orders.withColumn("kind", F.lit("parquet")).unionByName(copied.withColumn("kind", F.lit("csv")))
 
 
 @query
@@ -159,6 +164,12 @@ def distinct_keys(i: Inputs) -> DataFrame:
     return readers.distinct_keys(raw_panel(i))
 
 
+@query
+def scan_by_key_list(i: Inputs) -> DataFrame:
+    """A literal list of firms."""
+    return readers.rows_of_keys(raw_panel(i), [4, 7, 15, 22]).select("gvkey", "iid", "date", "prc")
+
+
 @query
 def scan_by_keys(i: Inputs) -> DataFrame:
     wanted = readers.distinct_keys(acquisitions(i))
@@ -197,6 +208,26 @@ def summary_report(i: Inputs) -> DataFrame:
     return workflows.summary_report(panel(i), detected, checked, window_labels(i))
 
 
+@query
+def full_run(i: Inputs) -> DataFrame:
+    """Detection at 5/5/5, verdicts, labels and the four outputs; their row counts join the report."""
+    first = i.view("responses").groupBy("gvkey").agg(F.min_by(F.struct("response_text", "error_text"), "seq").alias("a"))
+    given = first.select("gvkey", "a.*")
+    folder = writers.scratch_folder(i.spark, "run")
+    outputs = workflows.full_run(panel(i), company_names(i), given, folder)
+    lines = [
+        outputs[name].agg(
+            F.lit("export").alias("section"), F.lit("rows").alias("metric"), F.lit(name).alias("key"),
+            F.count(F.lit(1)).cast("string").alias("value"),
+        )
+        for name in ("detected", "verified", "labeled")
+    ]
+    fields = F.split("value", "\t")
+    text = i.spark.read.text(f"{folder}/summary_report.txt")
+    report = text.select(*[F.nullif(F.get(fields, F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(workflows.REPORT)])
+    return report.unionByName(lines[0]).unionByName(lines[1]).unionByName(lines[2])
+
+
 # Projections and filters -----------------------------------------------------------------------
 
 
@@ -236,6 +267,14 @@ def volume_proxy(i: Inputs) -> DataFrame:
     return normalize.with_volume(raw_panel(i).drop("volume")).select("gvkey", "iid", "date", "volume")
 
 
+@query
+def normalize_panel(i: Inputs) -> DataFrame:
+    """The whole normalising step on a raw panel: numeric dates, no price, no volume."""
+    raw = raw_panel(i).drop("prc", "volume")
+    number = (F.col("year") * 10000 + F.col("month") * 100 + 1).cast("double")
+    return normalize.normalize(raw.withColumn("date", number))
+
+
 @query
 def project_essential(i: Inputs) -> DataFrame:
     return normalize.essential_first(panel(i).drop("prc"))

@@ -10,6 +10,8 @@ from ..functions.scalars import date_or_null, has_name, number_text
 from ..operators import label, verify
 from ..operators.events import confident_verdicts, in_year, value_counts, verified_acquisitions
 from ..operators.ordered import after_first
+from ..sources import readers, writers
+from .detectors import union_detections
 
 REPORT = ("section", "metric", "key", "value")
 
@@ -47,10 +49,12 @@ def verify_queue(events: DataFrame, responses: DataFrame, batch_size: int | None
     ``events`` carries the ``seq`` under which its answer is found; an event without one gets the
     verdict 'error'.  Only answers of queued events are parsed.
     """
-    queued = verify.verification_queue(events, batch_size)
-    given = queued.select("seq").join(responses.drop("gvkey"), "seq", "left")
-    parsed = verify.verdicts_from_answers(given, balanced=False)
-    verdicts = verify.with_metadata(parsed, queued).select(
+    queued = verify.verification_queue(events, batch_size).select(
+        "seq", "gvkey", "company_name", F.col("event_type").alias("detected_event_type"),
+        F.date_format("event_date", "yyyy-MM-dd").alias("detected_date"),
+    )
+    given = queued.join(responses.select("seq", "response_text", "error_text"), "seq", "left")
+    verdicts = verify.verdicts_from_answers(given, balanced=False).select(
         "gvkey", "company_name", "verified", "actual_event_type", "actual_date", "llm_confidence", "details",
         "acquirer", "acquisition_price", "detected_event_type", "detected_date",
     )
@@ -107,3 +111,38 @@ def summary_report(
     )
     labels = _lines(shares.where("metric IS NOT NULL"), "labels", F.col("metric"), F.col("key"), F.col("value"))
     return dataset.unionByName(found).unionByName(verified).unionByName(labels)
+
+
+# The thresholds of a run whose events are all checked afterwards.
+WIDE_NET = {"bankruptcy": 5, "merger": 5, "halt": 5}
+
+
+def full_run(
+    panel: DataFrame, names: DataFrame, responses: DataFrame, folder: str, batch_size: int | None = None
+) -> dict[str, DataFrame]:
+    """Detect, verify, label and export: four outputs below ``folder``, each returned as read back.
+
+    ``responses`` holds a firm's answer (gvkey, response_text, error_text); an event of a firm
+    without one gets an error verdict.  Each step starts from the file of the step before.
+    """
+    spark = panel.sparkSession
+
+    def stored(df: DataFrame, name: str, write) -> DataFrame:
+        write(df, f"{folder}/{name}")
+        return readers.read_table(spark, f"{folder}/{name}", df.schema, free_text=True)
+
+    detected = stored(union_detections(panel, names, WIDE_NET), "detected_events.csv", writers.write_events_csv)
+    asked = detected.withColumn("seq", F.col("gvkey"))
+    verified = verify_queue(asked, responses.withColumn("seq", F.col("gvkey")), batch_size)
+    verified = stored(verified, "verified_events.csv", writers.write_events_csv)
+    # Events of one firm share its answer, so what comes last among equals makes no difference.
+    last = F.struct("detected_date", "detected_event_type")
+    dated = verified.withColumns(
+        {"seq": last, "verified": F.col("verified").cast("string"), "actual_date_raw": F.col("actual_date"), "detected_date_raw": F.col("detected_date")}
+    )
+    labeled = label_from_verdicts(panel, dated)
+    labeled.write.mode("overwrite").parquet(f"{folder}/labeled_data.parquet")
+    labeled = readers.read_parquet(spark, f"{folder}/labeled_data.parquet")
+    report = summary_report(panel, detected, verified, labeled)
+    writers.write_report_text(report, f"{folder}/summary_report.txt")
+    return {"detected": detected, "verified": verified, "labeled": labeled, "report": report}
