@@ -584,7 +584,7 @@ def verification_queue(i: Inputs) -> DataFrame:
 
 @query
 def resume_offset(i: Inputs) -> DataFrame:
-    return verify.resume_after(flagged(i).where(has_name()), 613).select("seq", "gvkey", "company_name")
+    return verify.resume_after(flagged(i).where(has_name()), 613, ordered.quantile_grid(i.view("flagged"), "seq")).select("seq", "gvkey", "company_name")
 
 
 @query

@@ -22,9 +22,15 @@ GRID = 1024
 ROW_ORDER = ("date", "iid")
 
 
-def quantile_grid(df: DataFrame, column: str) -> Column:
-    """GRID - 1 rising bounds that part a numeric column into ranges of about equal size, as a scalar."""
-    return df.agg(F.percentile_approx(column, [i / GRID for i in range(1, GRID)], 10 * GRID)).scalar()
+def quantile_grid(df: DataFrame, *columns: str) -> DataFrame:
+    """One row: per numeric column ``_<column>_grid``, GRID - 1 rising bounds that part it into ranges of about equal size."""
+    shares = [i / GRID for i in range(1, GRID)]
+    return df.agg(*[F.percentile_approx(c, shares, 10 * GRID).alias(f"_{c}_grid") for c in columns])
+
+
+def with_grid(df: DataFrame, grid: DataFrame) -> DataFrame:
+    """Each row with the bounds of the one-row table ``grid`` (an aggregate without keys, so safe to broadcast)."""
+    return df.crossJoin(F.broadcast(grid))
 
 
 def range_of(value: Column, grid: Column) -> Column:
@@ -103,30 +109,33 @@ def date_cells(df: DataFrame, key: str = "gvkey") -> DataFrame:
     )
 
 
-def with_prior_sum(df: DataFrame, value: str, name: str, seq: str = "seq", keys: Sequence[str] = ()) -> DataFrame:
-    """Add the sum of ``value`` over all rows with a smaller ``seq`` (a unique number), per key if keys are given.
+def with_prior_sums(
+    df: DataFrame, sums: dict[str, Column], seq: str = "seq", keys: Sequence[str] = (), grid: DataFrame | None = None
+) -> DataFrame:
+    """Add, per name, the sum of its column over all rows with a smaller ``seq`` (a unique number), per key if keys are given.
 
-    Sums run inside ranges of the sequence; one total per range and key is carried over.
+    Sums run inside ranges of the sequence; one total per range and key is carried over.  ``grid``
+    may come from any table whose ``seq`` spreads alike, such as the file the rows are derived from.
     """
-    rows = df.withColumn("_grid", quantile_grid(df, seq)).withColumn("_range", range_of(F.col(seq), F.col("_grid"))).drop("_grid")
+    grid = quantile_grid(df, seq) if grid is None else grid
+    found = range_of(F.col(seq), F.col(f"_{seq}_grid"))
+    rows = with_grid(df, grid).withColumn("_range", found).drop(f"_{seq}_grid")
     part = [*keys, "_range"]
     inside = Window.partitionBy(*part).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_inside", F.sum(value).over(inside))
-    totals = rows.groupBy(*part).agg(F.sum(value).alias("_total"))
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*part, F.sum("_total").over(earlier).alias("_carried"))
+    rows = rows.withColumns({f"_{n}_inside": F.sum(c).over(inside) for n, c in sums.items()})
+    totals = rows.groupBy(*part).agg(*[F.sum(c).alias(f"_{n}_total") for n, c in sums.items()])
+    carried = totals.select(*part, *[F.sum(f"_{n}_total").over(earlier).alias(f"_{n}_carried") for n in sums])
+    rows = rows.join(carried, part)
     zero = F.lit(0)
-    return (
-        rows.join(carried, part)
-        .withColumn(name, F.coalesce("_inside", zero) + F.coalesce("_carried", zero))
-        .drop("_range", "_inside", "_carried")
-    )
+    whole = {n: F.coalesce(f"_{n}_inside", zero) + F.coalesce(f"_{n}_carried", zero) for n in sums}
+    return rows.withColumns(whole).drop("_range", *[f"_{n}{x}" for n in sums for x in ("_inside", "_carried")])
 
 
-def after_first(df: DataFrame, n: int, seq: str = "seq") -> DataFrame:
+def after_first(df: DataFrame, n: int, seq: str = "seq", grid: DataFrame | None = None) -> DataFrame:
     """Skip the first ``n`` rows in ``seq`` order; rows are counted range by range, not brought together."""
     if n <= 0:
         return df
-    counted = with_prior_sum(df.select(seq, F.lit(1).cast("long").alias("_one")), "_one", "_before", seq)
-    first = counted.where(F.col("_before") >= n).agg(F.min(seq)).scalar()
+    counted = with_prior_sums(df.select(seq), {"before": F.lit(1).cast("long")}, seq, grid=grid)
+    first = counted.where(F.col("before") >= n).agg(F.min(seq)).scalar()
     return df.where(F.col(seq) >= first)

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import GRID, quantile_grid, range_of
+from .ordered import GRID, quantile_grid, range_of, with_grid
 
 
 def group_quantiles(
-    df: DataFrame, key: str, columns: Sequence[str], p: float, grids: dict[str, Column] | None = None
+    df: DataFrame, key: str, columns: Sequence[str], p: float, grid: DataFrame | None = None
 ) -> DataFrame:
     """Per key, the quantile ``p`` of each column; NULL where a key has no value.  Keys without any value are absent.
 
@@ -19,20 +19,18 @@ def group_quantiles(
     which range the wanted ranks of a key lie, and only that range's values are ranked, so the
     values of a large key are ordered by many tasks, about 1 / GRID of them in each.
     """
-    grids = grids or {c: quantile_grid(df, c) for c in columns}
     each = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"), range_of(F.col(c), F.col(f"_{c}_grid")).alias("range")) for c in columns])
-    rows = df.select(key, *columns, *[grids[c].alias(f"_{c}_grid") for c in columns])
+    rows = with_grid(df.select(key, *columns), quantile_grid(df, *columns) if grid is None else grid)
     values = rows.select(key, F.inline(each)).where("value IS NOT NULL")
     found = _quantiles(values, [key, "metric"], p)
     return found.groupBy(key).agg(*[F.max(F.when(F.col("metric") == c, F.col("quantile"))).alias(c) for c in columns])
 
 
-def column_quantile(df: DataFrame, column: str, p: float, grid: Column | None = None) -> DataFrame:
+def column_quantile(df: DataFrame, column: str, p: float, grid: DataFrame | None = None) -> DataFrame:
     """One row: the quantile ``p`` over all rows of the column."""
     grid = quantile_grid(df, column) if grid is None else grid
-    value = F.col(column).cast("double")
-    rows = df.select(value.alias("value"), grid.alias("_grid")).where("value IS NOT NULL")
-    values = rows.select("value", range_of(F.col("value"), F.col("_grid")).alias("range"))
+    rows = with_grid(df.select(column).where(F.col(column).isNotNull()), grid)
+    values = rows.select(F.col(column).cast("double").alias("value"), range_of(F.col(column), F.col(f"_{column}_grid")).alias("range"))
     found = _quantiles(values, [], p, narrow=True)
     return found.agg(F.max("quantile").alias("quantile"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import answers
 from ..functions.scalars import QUEUE_RANK, has_name, lacks_name, rank_of
 from .events import VERDICT_SCHEMA, ensure_columns, sum_lines
-from .ordered import after_first, with_prior_sum
+from .ordered import after_first, with_prior_sums
 
 # What a skipped event says, and the price of one check by the verifier's size.
 SKIP_DETAILS = "Skipped verification - no company name found in database"
@@ -133,7 +133,7 @@ def admit_within_budget(
 
     Costs are never negative, so the rows not admitted are exactly those after the budget ran out.
     """
-    rows = with_prior_sum(requests, "cost", "spent_before", "seq", keys)
+    rows = with_prior_sums(requests, {"spent_before": F.col("cost")}, "seq", keys)
     if budget is None:
         return rows.withColumns({"admitted": F.lit(True), "percent_used": F.lit(None).cast("double")})
     limit = F.lit(budget).cast("decimal(20,12)")
@@ -206,5 +206,5 @@ def year_summary(events: DataFrame) -> DataFrame:
     )
 
 
-def resume_after(events: DataFrame, done: int) -> DataFrame:
-    return after_first(events, done)
+def resume_after(events: DataFrame, done: int, grid: DataFrame | None = None) -> DataFrame:
+    return after_first(events, done, grid=grid)

@@ -9,7 +9,7 @@ from ..functions import answers
 from ..functions.scalars import date_or_null, has_name, number_text
 from ..operators import label, verify
 from ..operators.events import confident_verdicts, in_year, value_counts, verified_acquisitions
-from ..operators.ordered import after_first
+from ..operators.ordered import quantile_grid, with_prior_sums
 from ..sources import readers, writers
 from .detectors import union_detections
 
@@ -31,11 +31,18 @@ def reverify_year(
     spent and ends at the first stop error.
     """
     dated = events.withColumn("_day", date_or_null("event_date"))
-    due = after_first(in_year(dated, year, F.col("_day")).where(has_name()), resume_from).select("seq")
-    asked = responses.join(due, "seq", "left_semi").withColumn("stop", answers.is_stop(F.col("error_text")))
-    # What comes before the first stop does not depend on the budget, so the cheap cut goes first.
-    reached = verify.with_cost(verify.before_stop(asked), model)
-    admitted = verify.admit_within_budget(reached, budget).where("admitted")
+    due = in_year(dated, year, F.col("_day")).where(has_name()).select("seq")
+    calls = verify.with_cost(responses, model).select(
+        "seq", "cost", answers.is_stop(F.col("error_text")).alias("stop"), F.lit(True).alias("answered")
+    )
+    grid = quantile_grid(responses, "seq")
+    line = with_prior_sums(due.join(calls, "seq", "left"), {"position": F.lit(1).cast("long")}, grid=grid)
+    live = line.where((F.col("position") >= resume_from) & F.col("answered")).drop("position")
+    sums = {"spent_before": F.col("cost"), "stops_before": F.col("stop").cast("int")}
+    reached = with_prior_sums(live, sums, grid=grid).where("NOT stop AND stops_before = 0")
+    if budget is not None:
+        reached = reached.where(F.col("spent_before") < F.lit(budget).cast("decimal(20,12)"))
+    admitted = responses.join(reached.select("seq"), "seq", "left_semi")
     return verify.upsert_verdicts(events, verify.verdicts_from_answers(admitted))
 
 

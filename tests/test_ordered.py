@@ -102,9 +102,9 @@ def test_prior_sum(spark, reach):
     seqs = rnd.sample(range(reach), 150)
     data = [(s, rnd.randint(0, 9), s % 3) for s in seqs]
     df = spark.createDataFrame(data, "seq long, cost long, batch long")
-    got = {r.seq: r.before for r in ordered.with_prior_sum(df, "cost", "before").collect()}
+    got = {r.seq: r.before for r in ordered.with_prior_sums(df, {"before": F.col("cost")}).collect()}
     assert got == {s: sum(c for t, c, _ in data if t < s) for s in seqs}
-    got = {r.seq: r.before for r in ordered.with_prior_sum(df, "cost", "before", keys=("batch",)).collect()}
+    got = {r.seq: r.before for r in ordered.with_prior_sums(df, {"before": F.col("cost")}, keys=("batch",)).collect()}
     assert got == {s: sum(c for t, c, b in data if t < s and b == s % 3) for s in seqs}
 
 
