@@ -21,9 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path below the folder the cluster names in spark.checkpoint.dir; a local one only where that is unset."""
+    """A new path below the folder the cluster names in spark.checkpoint.dir.
+
+    Where that is unset, a session in one process gets a folder of its own; a cluster has to name one.
+    """
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{(top or tempfile.mkdtemp(prefix='panelwatch-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        top = tempfile.mkdtemp(prefix="panelwatch-")
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -37,10 +44,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def count_words(text: Column) -> Column:
-    """Words of a text, as the maximal runs without ASCII white space; 0 for null."""
-    parted = F.trim(F.regexp_replace(text, r"[\x09-\x0D\x20]+", " "))
-    return F.coalesce(F.when(F.length(parted) == 0, F.lit(0)).otherwise(F.size(F.split(parted, " "))), F.lit(0)).cast("long")
+def hash_sample(df: DataFrame, key: str, size: int, total: int | None = None) -> DataFrame:
+    """The `size` rows with the smallest hash of a key; a first cut at about four times as many keeps what tasks send small.
+
+    total: rows of df, or of the table it was filtered from (then the sample may be smaller).
+    """
+    total = df.count() if total is None else total
+    if total > 8 * size:
+        df = df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit((1 << 30) * 4 * size // total))
+    return df.orderBy(F.xxhash64(key), key).limit(size)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -106,27 +118,34 @@ def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[
         yield kept
 
 
-def min_label_classes(nodes_edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, class) of every node in edges (a, b): the class is the smallest node reachable.
+def connected_classes(links: DataFrame, rounds: int = 60) -> DataFrame:
+    """(node, class) of every node in links (a, b): connected nodes share a class, which is named after one of them.
 
-    Each round takes the smallest label among neighbours, then the label of that label, so paths
-    halve; the loop ends when a round changes nothing.  Rows stay on the executors: the driver sees
-    one count per round.  Raises if rounds are used up (2**rounds nodes long).
+    Each round gives every node the smallest of itself and its neighbours as its parent, and replaces
+    the ends of all links by their parents, which keeps what is connected connected; links that fall
+    together go.  So links shrink from round to round until none is left, and the parents of the
+    rounds, put together from the last to the first, lead every node to its class.  Nodes should be
+    named without regard to their links, as digests are: then a star with the smallest node in its
+    middle goes in one round, and a path in few.  Rows stay on the executors: the driver sees one
+    count per round.  Raises if the rounds do not suffice.
     """
-    edges = cut(
-        nodes_edges.select("a", "b")
-        .unionByName(nodes_edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .where("a <> b")
-        .distinct()
-    )
-    labels = cut(edges.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("label")))
-    for _ in range(rounds):
-        near = edges.join(labels, edges.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        up = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        labels = cut(lower.join(up, "label").select("node", F.least("label", "above").alias("label"), (F.least("label", "above") < F.col("old")).alias("moved")))
-        if labels.where("moved").limit(1).count() == 0:
-            return labels.select("node", F.col("label").alias("class"))
-        labels = labels.select("node", "label")
-    raise RuntimeError("classes did not settle")
-
+    edges = cut(links.select("a", "b").where("a <> b").distinct())
+    parents = []
+    while edges.limit(1).count():
+        if len(parents) == rounds:
+            raise RuntimeError("classes did not settle")
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+        parent = cut(low.select("node", F.least("node", "low").alias("class")))
+        parents.append(parent)
+        left = edges.join(parent.hint("merge"), edges.a == parent.node).select(F.col("class").alias("pa"), "b")
+        right = left.join(parent.hint("merge"), left.b == parent.node).select("pa", F.col("class").alias("pb"))
+        moved = right.where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
+        edges = cut(moved.distinct())
+    if not parents:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("class"))
+    labels = parents.pop()
+    while parents:
+        above = labels.select(F.col("node").alias("class"), F.col("class").alias("top"))
+        labels = cut(parents.pop().join(above, "class", "left").select("node", F.coalesce("top", "class").alias("class")))
+    return labels

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, min_label_classes, mixed, sorted_groups, table, window_hashes, word_hashes, words_of
+from .common import cut, connected_classes, mixed, sorted_groups, table, window_hashes, word_hashes, words_of
 
 #: Work of one block: its texts, each counted as 800 n-grams at least.
 BLOCK = 400_000
@@ -172,7 +172,7 @@ def ngram_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: f
     nodes = keyed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"))
     signed = keyed.where("doc_id is not null").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket"))
     met = signed.groupBy("bucket").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b <> high").drop("high")
-    candidates = min_label_classes(signed.join(met, "bucket").select(F.col("node").alias("a"), "b"))
+    candidates = connected_classes(signed.join(met, "bucket").select(F.col("node").alias("a"), "b"))
 
     members = cut(candidates.join(nodes, "node"))
     work = F.greatest(F.col("n_grams"), F.lit(LEAST))
@@ -189,7 +189,7 @@ def ngram_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: f
             yield verify(group, int(group["p"].iloc[0]), int(group["q"].iloc[0]), n, threshold, hashes)
 
     found = cut(pairs.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(verified, "node binary, other binary, links long, text_links long"))
-    classes = min_label_classes(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    classes = connected_classes(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     named = classes.join(nodes, "node")
     ids = named.groupBy("class").agg(F.min("doc").alias("class_id"))
     counts = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
