@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import sorted_groups, table
+from .common import hash_sample, sorted_groups, table
 
 BITS = 8
 BLOCK_ROWS = 8_192
@@ -156,7 +156,7 @@ def fitting(vectors: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample: int = 8_192, keep: float = 0.98) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k nearest found, for rows of vectors (vec_id, embedding) with is_query."""
     rows = fitting(vectors)
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").toArrow()["embedding"].to_pylist()  # at most `sample` rows
+    picked = hash_sample(rows, "vec_id", sample).select("embedding").toArrow()["embedding"].to_pylist()  # at most `sample` rows
     if not picked:
         return vectors.sparkSession.createDataFrame([], f"query_id long, rank int, vec_id long, score double")
     lengths = [len(x) for x in picked]

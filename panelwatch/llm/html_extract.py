@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import hash_sample, table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
@@ -293,7 +293,7 @@ LABELLED = re.compile(r"<(?:article|main)[\s>]", re.I)
 def fit(pages: DataFrame, sample: int = 1_000, tag_cost: float = 5.0) -> Weights:
     """Weights of labelled pages, at most `sample` of them."""
     labelled = pages.select("page_id", "html").where(F.col("html").rlike(r"(?i)<(?:article|main)[\s>]"))
-    picked = labelled.orderBy(F.xxhash64("page_id"), "page_id").limit(sample).select("html")
+    picked = hash_sample(labelled, "page_id", sample, pages.count()).select("html")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

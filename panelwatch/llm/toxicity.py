@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Remembered, table, words_of
+from .common import Remembered, hash_sample, table, words_of
 
 PREFIXES = (4, 5, 6)
 #: Odds ratio from which a feature counts as telling.
@@ -100,7 +100,8 @@ def derived_grades(toxic: np.ndarray, hits: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, grade: str | None = None, sample: int = 20_000, n_features: int = 4_000, least_chi: float = 20.0, cut: float = 0.4) -> Severity:
     """A model of the labelled texts.  labels: doc_id, toxic (0 or 1) and, if named, a column of grades from 0."""
-    picked = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max(grade or "toxic").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    graded = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max(grade or "toxic").alias("grade"))
+    picked = hash_sample(graded, "doc_id", sample)
     texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id").select("text", "toxic", "grade")
 
     def counted(batches):
