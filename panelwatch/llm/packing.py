@@ -19,6 +19,8 @@ touched.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Remembered, cut, table
+from .common import MEMORY, Remembered, cut, table
 
 CAPACITY = 2048
 #: Pieces per bucket when ranks are counted.
@@ -43,15 +45,21 @@ def tokenizer_path() -> str:
 class WordTokens:
     """Ids of texts under the word vocabulary, remembered word by word.
 
-    The vocabulary drops white space and never merges across it, so ids of a text are the ids of its words.  Words in plain Latin
-    script are parted by the vocabulary's own pattern and merged by its model; any other word goes through the whole tokenizer.
+    The vocabulary drops white space and never merges across it, so ids of a text are the ids of its words.  Texts in plain Latin
+    script are put in lower case and marks are set off from letters before they are split, which leaves few different words; words
+    of such texts are parted by the vocabulary's own pattern and merged by its model.  Any other word goes through the whole
+    tokenizer.
     """
 
     #: Characters whose lower case and class no library disputes, and the vocabulary's pattern over them.
     PLAIN = re.compile(r"[!-~¡-¬®-įı-ž]+")
+    UNUSUAL = re.compile(r"[^ -~\t-\r¡-¬®-įı-ž]|<\|")
     LETTERS = "a-zªµºß-öø-ÿā-ž"
     DIGITS = "0-9²³¹¼-¾"
     PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{LETTERS}{DIGITS}]+")
+    #: Whole runs of marks, without an apostrophe in or beside them: parts of their own, whatever is around.
+    ALL_MARKS = re.compile(rf"[^\s{LETTERS}{DIGITS}]+")
+    MARKS = re.compile(rf"(?<![^\s{LETTERS}{DIGITS}])[^\s{LETTERS}{DIGITS}']++(?!')")
     ODD_SPACE = re.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str):
@@ -59,29 +67,34 @@ class WordTokens:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        alphabet = {}
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        for code in [*range(0x21, 0x7F), *range(0xA1, 0x180)]:
-            shown = level.pre_tokenize_str(chr(code))
-            alphabet[code] = "".join(part for part, _ in shown)
-        self.alphabet = alphabet
-        self.parts = Remembered(self.part_ids)
-        self.words = Remembered(self.word_ids)
+        self.alphabet = {code: "".join(part for part, _ in level.pre_tokenize_str(chr(code))) for code in range(0xA1, 0x180)}
+        self.words = Remembered(self.word_ids, 2 * MEMORY)
 
     def part_ids(self, part: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(part.translate(self.alphabet))], "<u4").tobytes()
+        return packed_ids([t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.alphabet))])
 
     def word_ids(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.part_ids(word.lower())
         if self.PLAIN.fullmatch(word) and "<|" not in word:
-            return b"".join(self.parts[x] for x in self.PARTS.findall(word.lower()))
-        return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            return b"".join(map(self.part_ids, self.PARTS.findall(word.lower())))
+        return packed_ids(self.whole.encode(word, add_special_tokens=False).ids)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words = re.split("[ \t-\r]+", text) if self.ODD_SPACE.search(text) else text.split()
+        if not self.UNUSUAL.search(text):
+            marks = self.MARKS if "'" in text else self.ALL_MARKS
+            words = marks.sub(r" \g<0> ", text.lower()).split()
+        else:
+            words = re.split("[ \t-\r]+", text) if self.ODD_SPACE.search(text) else text.split()
         return b"".join(map(self.words.__getitem__, words))
 
 
+def packed_ids(ids: list) -> bytes:
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
+
+
 def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian unsigned 32-bit numbers) of every row of docs (doc_id, text)."""
 
