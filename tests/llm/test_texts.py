@@ -146,6 +146,19 @@ def test_toxicity_on_held_out_texts(spark):
     assert kept.columns == [c.split()[0] for c in DOCS.split(", ")] and kept.count() == sum(not r.toxic for r in found.values())
 
 
+def test_toxic_words_count_wherever_they_stand(spark):
+    train = labelled(800, 1)
+    rows = [r[:2] for r in train] + [(10_000 + i, "天地玄黄宇宙" * (i % 5 + 1) + ("毒舌" if i % 4 == 0 else "") + "洪荒日月盈昃" * 3) for i in range(200)]
+    labels = [(i, 1, t) for i, _, t in train] + [(10_000 + i, 1, int(i % 4 == 0)) for i in range(200)]
+    model = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    clean = prose(5, 20).split() * 15
+    marks = "\u00a0\u3000,-/\u2014"
+    found = [(2 * i + end, mark.join([*clean, *["vilefools", "dungheap"] * end])) for i, mark in enumerate(marks) for end in (0, 1)]
+    found += [(100, "x" * 396 + "," + "vilefools,dungheap"), (102, "天地玄黄" * 60), (103, "天地玄黄" * 60 + "毒舌" + "洪荒日月" * 60)]
+    toxic = {r.doc_id: r.toxic for r in toxicity.toxicity(documents(spark, found), model).collect()}
+    assert toxic == {i: i % 2 == 1 or i == 100 for i, _ in found}
+
+
 def test_toxicity_with_given_grades_and_without_labels(spark):
     train = labelled(400, 3)
     labels = spark.createDataFrame([(i, t, 2 * t) for i, _, t in train], "doc_id long, toxic int, level int")
