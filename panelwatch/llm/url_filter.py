@@ -6,8 +6,10 @@ context's count plus `blend`; below order 0 all bytes are alike.  A URL's score
 it is blocked if the score is below a threshold, calibrated on a tenth of the accepted URLs held out of training (by hash): at most
 `false_block` of them fall below it.
 
-Counts cover all decided URLs and are added up in Spark.  They live in hashed cells, 2**20 for contexts and 2**20 for contexts with
-their next byte, so the models that go to the executors have at most 16 MB however many URLs there are.
+Counts cover all decided URLs and are exact: a context of up to five bytes with its next byte fits one long, and the counts are a
+Spark table that grows with the URLs.  Scoring deals URLs to blocks of at most BLOCK_URLS, takes the distinct windows of six bytes of
+each block, joins the distinct windows of all to the counts order by order, and hands each block the log chances of its own windows.
+So a frequent window is one row per block, and neither the driver nor a task holds the models.
 
 Defined cases: a null URL, or one without `://`, has an empty host and path, no rule fits it, and it is scored as an empty text; if
 rules accept or reject no URL at all, every URL without a rule is allowed; repeated rows are judged one by one; an empty table gives
@@ -16,21 +18,23 @@ an empty result; other columns are neither read nor touched.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mixed, table
+from .common import cut, sorted_groups, table
 
 #: (verdict, host, start of the path).
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MOST_RULES = 1000
 ORDERS = 6
-CELLS = 1 << 20
+#: URLs of a block; the windows that a task holds are those of its block.
+BLOCK_URLS = 8_192
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -64,25 +68,31 @@ def rule_for(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return F.array_max(F.array(*fits))
 
 
-def cells_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(cells of contexts, cells of contexts with their byte, owner), by order and byte; each text ends with an end mark."""
+def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, owner) by byte: its five bytes before and itself in one number; each text ends with an end mark."""
     pad = b"\x02" * (ORDERS - 1)
-    data = np.frombuffer(b"".join(pad + x + b"\x03" for x in texts), np.uint8).astype(np.uint64)
+    data = np.frombuffer(b"".join(pad + x + b"\x03" for x in texts), np.uint8).astype(np.int64)
     lengths = np.array([len(x) + 1 for x in texts], np.int64)
     owner = np.repeat(np.arange(len(texts)), lengths)
     at = np.arange(len(owner)) + (owner + 1) * len(pad)
-    contexts, grams = np.empty((ORDERS, len(at)), np.int32), np.empty((ORDERS, len(at)), np.int32)
-    state = np.zeros(len(at), np.uint64)
+    windows = np.zeros(len(at), np.int64)
     for order in range(ORDERS):
-        if order:
-            state = state * np.uint64(257) + data[at - order] + np.uint64(1)
-        salt = np.uint64((order + 1) << 56)
-        contexts[order] = mixed(state + salt) % np.uint64(CELLS)
-        grams[order] = mixed((state + salt) * np.uint64(263) + data[at] + np.uint64(1)) % np.uint64(CELLS)
-    return contexts, grams, owner
+        windows += data[at - order] << (8 * order)
+    return windows, owner
 
 
-def sliced(urls: pd.Series, size: int = 1 << 18) -> Iterator[list[bytes]]:
+def per_byte(texts: list[bytes], windows: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Score by text.  windows: sorted, all that the texts have, with their differences of log chances."""
+    found, owner = windows_of(texts)
+    return np.bincount(owner, logs[np.searchsorted(windows, found)], len(texts)) / np.array([len(x) + 1 for x in texts])
+
+
+def gram(window: Column, order: int) -> Column:
+    """The last order + 1 bytes of a window."""
+    return window.bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1))
+
+
+def sliced(urls: Iterable, size: int = 1 << 18) -> Iterator[list[bytes]]:
     """Runs of texts of about `size` bytes."""
     held, total = [], 0
     for url in urls:
@@ -97,57 +107,91 @@ def sliced(urls: pd.Series, size: int = 1 << 18) -> Iterator[list[bytes]]:
 
 
 def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """url, side -> side, cell (contexts first, then contexts with their byte), n."""
+    """url, side -> window, rejected, accepted: how often it is in URLs of each side."""
     for batch in batches:
         for side, urls in batch.groupby("side")["url"]:
             for texts in sliced(urls, 1 << 20):
-                contexts, grams, _ = cells_of(texts)
-                cells, n = np.unique(np.concatenate([contexts.reshape(-1), grams.reshape(-1) + CELLS]), return_counts=True)
-                yield pd.DataFrame({"side": side, "cell": cells.astype(np.int32), "n": n})
+                windows, n = np.unique(windows_of(texts)[0], return_counts=True)
+                yield pd.DataFrame({"window": windows, "rejected": n * (side == 0), "accepted": n * (side == 1)})
+
+
+SIDES = ("rejected", "accepted")
 
 
 @dataclass(frozen=True)
 class Models:
-    """Counts by side (rejected, accepted) and cell, and the threshold of the score."""
+    """Counts of windows by side (window, rejected, accepted), and the threshold of the score."""
 
-    counts: object
+    counts: DataFrame
     threshold: float = float("-inf")
     blend: float = 4.0
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """Difference of log-likelihoods (accepted - rejected) per byte, the end mark included."""
-        contexts, grams, owner = cells_of(texts)
-        logs = []
-        for count in self.counts.value:
-            chance = np.full(len(owner), 1 / 256)
-            for order in range(ORDERS):
-                chance = (count[CELLS + grams[order]] + self.blend * chance) / (count[contexts[order]] + self.blend)
-            logs.append(np.log(np.minimum(chance, 1.0)))
-        lengths = np.array([len(x) + 1 for x in texts])
-        return np.bincount(owner, logs[1] - logs[0], len(texts)) / lengths
-
+    def logs(self, windows: DataFrame) -> DataFrame:
+        """window and log, the difference of its log chances (accepted - rejected), of distinct windows.
+
+        Goes up from order 0: what is looked up at an order are the distinct grams of the windows.
+        """
+        summed = [F.sum(side).alias(side) for side in SIDES]
+        wanted, seen = [windows], [self.counts]
+        for order in reversed(range(ORDERS - 1)):
+            shorter = gram(F.col("window"), order).alias("window")
+            wanted.insert(0, cut(wanted[0].select(shorter).distinct()))
+            seen.insert(0, cut(seen[0].groupBy(shorter).agg(*summed)))
+        lower = None
+        for order in range(ORDERS):
+            context = F.shiftright("window", 8).alias("context")
+            around = seen[order].groupBy(context).agg(*[F.sum(side).alias(f"all_{side}") for side in SIDES])
+            rows = wanted[order].withColumn("context", F.shiftright("window", 8)).join(seen[order], "window", "left").join(around, "context", "left")
+            if lower is not None:
+                rows = rows.withColumn("shorter", gram(F.col("window"), order - 1)).join(lower, "shorter")
+            chances = []
+            for side in SIDES:
+                below = F.lit(1 / 256) if lower is None else F.col(f"below_{side}")
+                chances.append(((F.coalesce(side, F.lit(0)) + self.blend * below) / (F.coalesce(f"all_{side}", F.lit(0)) + self.blend)).alias(f"below_{side}"))
+            lower = rows.select(F.col("window").alias("shorter"), *chances)
+        ends = [F.log(F.least(f"below_{side}", F.lit(1.0))) for side in SIDES]
+        return lower.select(F.col("shorter").alias("window"), (ends[1] - ends[0]).alias("log"))
+
+    def scored(self, rows: DataFrame) -> DataFrame:
+        """The rows with their score, the difference of log-likelihoods per byte of their url, the end mark included."""
+        dealt = cut(rows.withColumn("block", F.floor(F.monotonically_increasing_id() / BLOCK_URLS)))  # written once, so blocks stay as they are
+
+        def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for group in sorted_groups(batches, ["block"]):
+                found = [np.unique(windows_of(texts)[0]) for texts in sliced(group["url"])]
+                yield pd.DataFrame({"block": group["block"].iloc[0], "window": np.unique(np.concatenate(found))})
+
+        met = cut(dealt.select("block", "url").mapInPandas(distinct, "block long, window long"))
+        logs = met.join(self.logs(cut(met.select("window").distinct())), "window")
+
+        def joined(own: pa.Table, logs: pa.Table) -> pa.Table:  # Arrow, so that ids beside nulls stay whole numbers
+            logs = logs.sort_by("window")
+            windows, values = logs["window"].to_numpy(), logs["log"].to_numpy()
+            score = [per_byte(texts, windows, values) for texts in sliced(own["url"].to_pylist())]
+            return own.drop_columns("block").append_column("score", pa.array(np.concatenate(score) if score else np.zeros(0)))
+
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        return dealt.groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(joined, f"{kinds}, score double")
 
-def score_of(models: Models):
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for urls in batches:
-            yield pd.Series(np.concatenate([models.scores(texts) for texts in sliced(urls)]) if len(urls) else np.zeros(0))
-
-    return scored
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """Scores of a few texts."""
+        windows = np.unique(windows_of(texts)[0])
+        spark = self.counts.sparkSession
+        logs = self.logs(cut(spark.createDataFrame(pd.DataFrame({"window": windows})))).toPandas().sort_values("window")
+        return per_byte(texts, logs["window"].to_numpy(), logs["log"].to_numpy())
 
 
 def fit(decided: DataFrame, false_block: float = 0.01) -> Models | None:
     """Models of decided URLs (url, verdict); null if one side has none."""
     sides = decided.where("url is not null").select("url", (F.col("verdict") == "allow").cast("int").alias("side"))
     held = F.pmod(F.xxhash64("url", F.lit(5)), F.lit(10)) == 0
-    sums = sides.where(~held).mapInPandas(counted, "side int, cell int, n long").groupBy("side", "cell").agg(F.sum("n").alias("n")).toArrow()  # at most 4 * CELLS rows
-    counts = np.zeros((2, 2 * CELLS), np.float32)
-    counts[sums["side"].to_numpy(), sums["cell"].to_numpy()] = sums["n"].to_numpy()
-    if not counts.any(axis=1).all():
+    found = sides.where(~held).mapInPandas(counted, "window long, rejected long, accepted long")
+    counts = cut(found.groupBy("window").agg(*[F.sum(side).alias(side) for side in SIDES]))
+    if not all(counts.where(F.col(side) > 0).limit(1).count() for side in SIDES):
         return None
-    models = Models(decided.sparkSession.sparkContext.broadcast(counts))
-    bins = F.floor(F.least(F.greatest(score_of(models)("url"), F.lit(-20.0)), F.lit(20.0)) * 1000).alias("bin")
-    found = sorted((r.bin, r["count"]) for r in sides.where(held & (F.col("side") == 1)).select(bins).groupBy("bin").count().collect())  # at most 40,001 rows
+    models = Models(counts)
+    bins = F.floor(F.least(F.greatest("score", F.lit(-20.0)), F.lit(20.0)) * 1000).alias("bin")
+    found = sorted((r.bin, r["count"]) for r in models.scored(sides.where(held & (F.col("side") == 1)).select("url")).select(bins).groupBy("bin").count().collect())  # at most 40,001 rows
     allowed, below = false_block * sum(n for _, n in found), 0
     threshold = float("-inf")
     for edge, n in found:
@@ -164,10 +208,11 @@ def judged(pages: DataFrame, rules: tuple = RULES, false_block: float = 0.01) ->
     urls = urls.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))})
     ruled = urls.withColumn("r", rule_for(F.col("host"), F.col("path"), rules)).select("page_id", "url", "host", "path", "r.rule", "r.verdict")
     models = fit(ruled.where("verdict is not null"), false_block)
-    score = score_of(models)(F.col("url")) if models else F.lit(None).cast("double")
-    scored = ruled.withColumn("score", score)
+    by_rule = ruled.where("rule is not null").withColumn("score", F.lit(None).cast("double"))
+    rest = ruled.where("rule is null")
+    scored = models.scored(rest) if models else rest.withColumn("score", F.lit(None).cast("double"))
     by_method = F.when(F.col("score") < models.threshold, "block").otherwise("allow") if models else F.lit("allow")
-    return scored.select("page_id", "host", "path", "rule", F.coalesce("verdict", by_method).alias("verdict"), F.when(F.col("rule").isNull(), F.col("score")).alias("score"))
+    return by_rule.unionByName(scored).select("page_id", "host", "path", "rule", F.coalesce("verdict", by_method).alias("verdict"), "score")
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

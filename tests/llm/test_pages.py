@@ -102,6 +102,24 @@ def test_models_agree_with_a_plain_mixture_and_tell_urls_apart(spark):
     assert sum(s < models.threshold for s in models.scores([u.encode() for u in accepted])) <= 0.01 * len(accepted)
 
 
+def test_counts_are_exact_however_many_contexts(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BLOCK_URLS", 500)
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40))
+    rows = [(f"http://{word()}.org/{word()}", "allow" if i % 2 else "block") for i in range(3000)]
+    decided = spark.createDataFrame(rows, "url string, verdict string").cache()
+    models = url_filter.fit(decided)
+    held = {r.url for r in decided.where("pmod(xxhash64(url, 5), 10) = 0").collect()}
+    sides = {v: PlainModel([u.encode() for u, x in rows if x == v and u not in held]) for v in ("allow", "block")}
+    texts = [u for u, _ in rows[:60]] + ["", "http://ü.net/日本"] + [f"http://{word()}.net/" for _ in range(20)]
+    plain = {t: (sides["allow"].log(t.encode()) - sides["block"].log(t.encode())) / (len(t.encode()) + 1) for t in texts}
+    assert np.allclose(models.scores([t.encode() for t in texts]), list(plain.values()), rtol=0, atol=1e-9)
+    found = models.scored(spark.createDataFrame([(u,) for u, _ in rows] + [(t,) for t in texts], "url string")).collect()
+    assert len(found) == len(rows) + len(texts) and all(r.score == pytest.approx(plain[r.url], abs=1e-9) for r in found if r.url in plain)
+    big = [(2**60 + 1, "http://a.net/x", None), (None, "http://a.net/x", None), *urls(60, 2)]
+    assert {r.page_id for r in url_filter.judged(pages(spark, big)).collect()} == {i for i, *_ in big}
+
+
 def test_urls_without_decided_ones_are_allowed(spark):
     assert {r.verdict for r in url_filter.judged(pages(spark, [(1, "http://a.net/x", None), (2, None, None)])).collect()} == {"allow"}
 
