@@ -15,8 +15,9 @@ Scale: rows are dealt by hash to blocks of some 8,192, queries to chunks of some
 whose output is k rows per query at most, and a window takes the k best per query.
 
 Defined cases: vectors that are null, empty, zero, hold a null or a non-finite number, or differ in length from most of the sample
-take no part, as queries or candidates, and so do rows without vec_id.  A query has all rows but those with its own vec_id as candidates.  Repeated rows are
-candidates each.  With fewer than k candidates all are returned; an empty table gives an empty result.  Other columns are neither
+take no part, as queries or candidates, and so do rows without vec_id.  A query has all rows but those with its own vec_id as candidates.  Repeated rows (equal
+vec_id and vector) are one; different vectors of one vec_id are candidates each, and as queries share one answer, in which a candidate
+has its best score.  With fewer than k candidates all are returned; an empty table gives an empty result.  Other columns are neither
 read nor touched.
 """
 
@@ -35,7 +36,7 @@ from .common import hash_sample, sorted_groups, table
 BITS = 8
 BLOCK_ROWS = 8_192
 CHUNK_QUERIES = 2_048
-PAIRS = "query_id long, vec_id long, score double"
+PAIRS = "query_id long, vec_id long, copy long, score double"
 
 
 @dataclass(frozen=True)
@@ -127,9 +128,9 @@ def searched(batches: Iterator[pd.DataFrame], codes: Codes, k: int) -> Iterator[
     for group in sorted_groups(batches, ["block", "chunk"]):
         is_query = group["is_query"].to_numpy()
         vectors = np.stack(group["embedding"].to_numpy()).astype(np.float64)
-        ids = group["vec_id"].to_numpy(np.int64)
+        ids, copies = group["vec_id"].to_numpy(np.int64), group["copy"].to_numpy(np.int64)
         packed = codes.of(vectors)
-        base, base_ids = vectors[~is_query], ids[~is_query]
+        base, base_ids, base_copies = vectors[~is_query], ids[~is_query], copies[~is_query]
         if not len(base):
             continue
         tables = Tables(packed[~is_query])
@@ -142,8 +143,8 @@ def searched(batches: Iterator[pd.DataFrame], codes: Codes, k: int) -> Iterator[
                     break
             scores = cosines(query, base[some])
             best = best_of(base_ids[some], scores, k)
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": base_ids[some][best], "score": scores[best]}))
-        yield pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            out.append(pd.DataFrame({"query_id": query_id, "vec_id": base_ids[some][best], "copy": base_copies[some][best], "score": scores[best]}))
+        yield pd.concat(out, ignore_index=True) if out else pd.DataFrame({"query_id": [], "vec_id": [], "copy": [], "score": []})
 
 
 def fitting(vectors: DataFrame) -> DataFrame:
@@ -162,17 +163,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample: int = 8_19
     lengths = [len(x) for x in picked]
     size = max(sorted(set(lengths)), key=lengths.count)
     codes = learn(np.array([x for x in picked if len(x) == size]), k=k, keep=keep)
-    rows = rows.where(F.size("embedding") == size)
+    rows = rows.where(F.size("embedding") == size).dropDuplicates(["vec_id", "embedding"]).withColumn("copy", F.xxhash64("embedding"))
     n, queries = rows.count(), rows.where(is_query).count()
     blocks, chunks = max(1, -(-n // BLOCK_ROWS)), max(1, -(-queries // CHUNK_QUERIES))
     own = lambda parts, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(parts)).cast("int")
     each = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     base = rows.withColumn("block", own(blocks, 1)).withColumn("chunk", each(chunks)).withColumn("is_query", F.lit(False))
     asked = rows.where(is_query).withColumn("chunk", own(chunks, 2)).withColumn("block", each(blocks)).withColumn("is_query", F.lit(True))
-    columns = ["block", "chunk", "is_query", "vec_id", "embedding"]
+    columns = ["block", "chunk", "is_query", "vec_id", "copy", "embedding"]
     dealt = base.select(*columns).unionByName(asked.select(*columns)).repartition("block", "chunk").sortWithinPartitions("block", "chunk")
-    found = dealt.mapInPandas(lambda batches: searched(batches, codes, k), PAIRS).distinct()
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = dealt.mapInPandas(lambda batches: searched(batches, codes, k), PAIRS).groupBy("query_id", "vec_id", "copy").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "copy")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -150,6 +150,21 @@ def test_nearest_of_few_rows(spark):
     assert ann.nearest(vectors(spark, rows[:1]), F.col("vec_id") == 0).count() == 0
 
 
+def test_repeated_rows_take_no_places(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    data = np.float32(rng.normal(size=(60, 16)))
+    data[7] = data[0] * np.float32(1.01)
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    for block_rows in (8_192, 20):
+        monkeypatch.setattr(ann, "BLOCK_ROWS", block_rows)
+        answer = lambda some: [tuple(r)[:3] for r in ann.nearest(vectors(spark, some), F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()]  # noqa: E731, B023
+        once = answer(rows)
+        assert len(once) == 10 and once[0] == (0, 1, 7)
+        assert answer(rows + [rows[7]] * 5 + [rows[0]] * 3 + [rows[50]]) == once
+    few = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (0, [2.0, 0.0])]
+    assert [tuple(r)[:3] for r in ann.nearest(vectors(spark, few), F.col("vec_id") == 0).orderBy("rank").collect()] == [(0, 1, 1), (0, 2, 1), (0, 3, 2)]
+
+
 def test_probing_meets_every_code_in_the_radius():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, 256, (3000, 8), dtype=np.uint8)
