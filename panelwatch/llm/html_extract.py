@@ -7,9 +7,11 @@ In the rest each word scores above zero and each tag below, and one linear scan
 
 Weights come from labelled pages, those that mark their article with <article> or <main> (at most `sample` of them, those with
 the smallest hash of page_id): a word weighs the share of such words inside the article, by whether it is inside a link; a tag
-weighs minus `tag_cost` times the share of such tags outside.  On a page that names its article, words elsewhere weigh the share
-that such words have on labelled pages, next to nothing.  Crossing an article's own edge costs `edge_cost`.  A run inside an
-element named as the article is extended to that whole element, so that nothing of it is lost at its ends.
+weighs minus `tag_cost` times the share of such tags outside.  Words that markup names as the article weigh more: `in_article` times
+inside <article> or <main> (the odds of inside against outside on labelled pages, 10 at most), `named` times where a class or id says
+so; all other words keep their weight.  An article's edge costs the words that labelled pages have outside on average.  A run inside
+an element named as the article is extended to that whole element, and a run that crosses such elements to those of which it holds
+half the words, so that nothing of them is lost at its ends.
 
 Text: character references decoded, white space (any Unicode white space) inside a block made one space, blocks trimmed and joined
 by one line feed; block-level tags, cells and <br> end a block.
@@ -65,10 +67,11 @@ NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 class Weights:
     plain_word: float = 1.0
     link_word: float = 0.2
-    outside: float = 0.001
+    in_article: float = 4.0
+    named: float = 1.5
     tags: dict = field(default_factory=lambda: {"a": -4.0, "li": -2.0, "ul": -2.0, "div": -2.0, "td": -2.0, "tr": -2.0, "span": -0.5})
     other_tag: float = -0.05
-    edge_cost: float = 200.0
+    edge_cost: float = 0.0
 
 
 def tag_end(page: str, at: int, dead: set) -> int:
@@ -234,10 +237,9 @@ class Page:
 
     def scores(self, weights: Weights) -> list[float]:
         out = []
-        named = any(number and not text.isspace() for kind, _, text, _, number, _ in self.items if kind == "text")
-        for kind, name, text, links, number, _ in self.items:
+        for kind, name, text, links, number, inside in self.items:
             if kind == "text":
-                place = weights.outside if named and not number else 1.0
+                place = weights.in_article if inside else weights.named if number else 1.0
                 out.append(len(text.split()) * place * (weights.link_word if links else weights.plain_word))
             elif name == "article":
                 out.append(-weights.edge_cost)
@@ -267,7 +269,7 @@ class Page:
         chains = [self.chain(n) for n in {item[4] for item in self.items[slice(*span)] if item[0] == "text" and not item[2].isspace()}]
         holder = max(set.intersection(*chains))  # the innermost: children have larger numbers than their parents
         if holder == 0:
-            return span
+            return self.widened(span, set.union(*chains) - {0})
         own = {holder}
         for i, parent in enumerate(self.parents):
             if parent in own:
@@ -275,6 +277,20 @@ class Page:
         held = [i for i, item in enumerate(self.items) if item[4] in own]
         return held[0], held[-1] + 1
 
+    def widened(self, span: tuple[int, int], numbers: set[int]) -> tuple[int, int]:
+        """The span with the whole of each numbered element of which it holds half the words or more."""
+        words, held, first, last = Counter(), Counter(), {}, {}
+        for i, (kind, _, text, _, number, _) in enumerate(self.items):
+            n = len(text.split()) if kind == "text" else 0
+            while number > 0:
+                first.setdefault(number, i)
+                last[number] = i + 1
+                words[number] += n
+                held[number] += n if span[0] <= i < span[1] else 0
+                number = self.parents[number]
+        whole = [x for x in numbers if 2 * held[x] >= words[x]]
+        return min([span[0], *(first[x] for x in whole)]), max([span[1], *(last[x] for x in whole)])
+
     def text(self, weights: Weights) -> str:
         blocks, now = [], []
         for kind, name, text, *_ in self.items[slice(*self.region(weights))]:
@@ -297,10 +313,10 @@ def fit(pages: DataFrame, sample: int = 1_000, tag_cost: float = 5.0) -> Weights
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            within, outside = Counter(), Counter()
+            within, outside = Counter(), Counter({"#page": len(batch)})
             for page in batch["html"]:
                 for kind, name, text, links, number, inside in Page(page).items:
-                    key = name if kind == "tag" else "#out" if not number else "#link" if links else "#word"
+                    key = name if kind == "tag" else "#link" if links else "#word"
                     (within if inside else outside)[key] += 1 if kind == "tag" else len(text.split())
             known = [k for k in within.keys() | outside.keys() if k in BLOCK or k in VOID or k in OFF_TAGS or k[0] == "#" or len(k) <= 6 and k.isalpha()]
             yield pd.DataFrame({"name": known, "within": [within[k] for k in known], "outside": [outside[k] for k in known]})
@@ -313,7 +329,8 @@ def fit(pages: DataFrame, sample: int = 1_000, tag_cost: float = 5.0) -> Weights
     base = Weights()
     tags = base.tags | {k: -max(0.02, tag_cost * (1 - s)) for k, s in share.items() if k[0] != "#"}
     plain, link = max(0.5, share.get("#word", 1.0)), max(0.05, share.get("#link", base.link_word))
-    return Weights(plain, min(link, plain), min(0.01, max(0.001, share.get("#out", 0.0))), tags, base.other_tag, base.edge_cost)
+    words, others = found.get("#word", (0, 0))
+    return Weights(plain, min(link, plain), min(10.0, max(1.0, (words + 1) / (others + 1))), base.named, tags, base.other_tag, plain * others / max(1, found.get("#page", (0, 1))[1]))
 
 
 def text_of(weights: Weights):

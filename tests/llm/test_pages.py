@@ -189,6 +189,16 @@ def test_odd_pages(spark):
     assert html_extract.extracted(empty, html_extract.fit(empty)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["post-title", "post-meta", "entry-date", "content-top"])
+def test_a_named_title_or_date_does_not_hide_the_text(spark, name):
+    text = " ".join(f"word{i}" for i in range(500))
+    page = f'<ul><li><a href="/">home</a></li></ul><div class="{name}"><h1>one two three four five six seven eight</h1></div><div class="text"><p>{text}</p></div>'
+    labelled = pages(spark, [(i, "u", f"<nav>menu</nav><article><h1>title</h1><p>{text}</p></article><footer>end</footer>") for i in range(5)])
+    for weights in (html_extract.Weights(), html_extract.fit(labelled)):
+        assert html_extract.Page(page).text(weights) == f"one two three four five six seven eight\n{text}"
+        assert html_extract.Page(f"<h1>the title</h1><p>a lead of the text</p><article><p>{text}</p></article>").text(weights) == f"the title\na lead of the text\n{text}"
+
+
 def test_hostile_pages_take_linear_time():
     weights = html_extract.Weights()
     for part in ("<b><p>x", "<a href='", "<div></p>", "<", "<!--", "<li>", "<td><table>", "<script>", '<p a="', "</x>"):
