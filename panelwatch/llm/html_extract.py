@@ -2,7 +2,8 @@
 
 A page is read once into a sequence of tags and runs of text, with the usual repairs (unclosed paragraphs, list items and inline
 tags; raw text of scripts, styles and titles; quoted attribute values; cut-off tags).  Subtrees that markup itself names as
-something else (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, hidden parts) leave the sequence.
+something else (menus, headers, footers, sidebars, adverts, forms, reader comments, hidden parts) leave the sequence.  By class or id
+only containers do, and not for one word that articles use as well (discussion, related, notice): its words weigh as in a link.
 In the rest each word scores above zero and each tag below, and one linear scan finds the contiguous run of largest sum.
 
 Weights come from labelled pages, those that mark their article with <article> or <main> (at most `sample` of them, those with
@@ -49,6 +50,12 @@ OFF_NAMES = frozenset(
     "sidebar footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related "
     "recommended comment comments commentlist reply replies respond disqus discussion widget toolbar pagination pager skip masthead topbar copyright disclaimer".split()
 )
+#: Containers that a name can take out; names of headings, paragraphs and inline tags, often generated, do not.
+NAMED_OFF = frozenset("article div section ul ol dl table tbody tr td th center details fieldset header".split())
+#: Names that articles have of their own: one of them alone only lowers the weight of a container's words.
+AMBIGUOUS = frozenset("discussion notice notices share sharing social related recommended menu copyright disclaimer banner promo promotion reply replies respond skip widget navigation subscription consent overlay".split())
+#: What makes an ambiguous name a certain one, beside a second name of OFF_NAMES.
+EVIDENCE = frozenset("top main site bar buttons links icons list box posts articles stories items".split())
 COMMENT_NAMES = frozenset("comment comments reply replies respond discussion".split())
 LAYOUT_NAMES = frozenset("with has no without layout wrapper container page".split())
 ARTICLE_NAMES = frozenset("article content post entry story main".split())
@@ -130,28 +137,38 @@ def names_in(value: str) -> set[str]:
     return {x.lower() for x in NAME_PARTS.findall(value)}
 
 
-def marked_off(tag: str, rest: str, in_article: bool) -> bool:
-    """Whether an element is not part of an article, by its tag, role, names or style."""
-    if tag in OFF_TAGS or (tag == "header" and not in_article):
-        return True
-    if not rest or rest.isspace() or tag in NEVER_OFF:
-        return False
-    given = {k.lower(): (a or b or c or "") for k, a, b, c in ATTRIBUTE.findall(rest)}
-    if given.get("role", "").lower() in OFF_ROLES or "hidden" in given or given.get("aria-hidden", "").lower() == "true":
-        return True
-    if re.search(r"display\s*:\s*none", given.get("style", ""), re.I):
-        return True
+def named_off(tag: str, given: dict[str, str], in_article: bool) -> str:
+    """"off" if a container's class or id says that it is not part of an article, "doubt" if it may say so, else ""."""
+    if tag not in NAMED_OFF:
+        return ""
+    doubt = False
     for value in (given.get("class", ""), given.get("id", "")):
         for one in value.split():
             parts = names_in(one)
             if tag == "article":
                 if parts & COMMENT_NAMES:
-                    return True
+                    return "off"
             elif parts & OFF_NAMES and not parts & LAYOUT_NAMES:
-                return True
+                if parts & OFF_NAMES - AMBIGUOUS or len(parts & OFF_NAMES) > 1 or parts & EVIDENCE:
+                    return "off"
+                doubt = True
             elif "header" in parts and not in_article and not parts & ARTICLE_NAMES and not parts & LAYOUT_NAMES:
-                return True
-    return False
+                return "off"
+    return "doubt" if doubt else ""
+
+
+def marked_off(tag: str, rest: str, in_article: bool) -> str:
+    """Whether an element is not part of an article, by its tag, role, names or style: "off", "doubt" or ""."""
+    if tag in OFF_TAGS or (tag == "header" and not in_article):
+        return "off"
+    if not rest or rest.isspace() or tag in NEVER_OFF:
+        return ""
+    given = {k.lower(): (a or b or c or "") for k, a, b, c in ATTRIBUTE.findall(rest)}
+    if given.get("role", "").lower() in OFF_ROLES or "hidden" in given or given.get("aria-hidden", "").lower() == "true":
+        return "off"
+    if re.search(r"display\s*:\s*none", given.get("style", ""), re.I):
+        return "off"
+    return named_off(tag, given, in_article)
 
 
 def names_article(tag: str, rest: str) -> bool:
@@ -164,12 +181,12 @@ def names_article(tag: str, rest: str) -> bool:
 
 
 class Page:
-    """items: (kind, name, text, links open, number of the innermost element named as article, inside <article> or <main>)."""
+    """items: (kind, name, text, links and doubtful containers open, number of the innermost element named as article, inside <article> or <main>)."""
 
     def __init__(self, page: str):
         self.items: list[tuple[str, str, str, int, int, bool]] = []
         self.parents = [-1]  # of elements named as article; 0 is the page
-        open_: list[tuple[str, bool, bool, int, bool]] = []  # tag, off, off by header, article number, inside article tags
+        open_: list[tuple[str, bool, bool, int, bool, bool]] = []  # tag, off, off by header, article number, inside article tags, doubtful by name
         count: Counter = Counter()
         blocks: list[int] = []
         paragraphs: list[int] = []
@@ -178,9 +195,9 @@ class Page:
         def shut(to: int) -> None:
             nonlocal links
             while len(open_) > to:
-                tag = open_.pop()[0]
+                tag, *_, doubt = open_.pop()
                 count[tag] -= 1
-                links -= tag == "a"
+                links -= (tag == "a") + doubt
                 if blocks and blocks[-1] == len(open_):
                     blocks.pop()
                 if paragraphs and paragraphs[-1] == len(open_):
@@ -190,7 +207,7 @@ class Page:
             return next(i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == tag)
 
         for kind, name, rest in events(page):
-            tag, off, by_header, number, inside = open_[-1] if open_ else ("", False, False, 0, False)
+            tag, off, by_header, number, inside, _ = open_[-1] if open_ else ("", False, False, 0, False, False)
             if kind == "text":
                 if not off:
                     self.items.append(("text", name, rest, links, number, inside))
@@ -212,10 +229,12 @@ class Page:
                 i = last(name)
                 if not any(open_[j][0] in SIBLINGS[name] for j in range(i + 1, len(open_))):
                     shut(i)
-            tag, off, by_header, number, inside = open_[-1] if open_ else ("", False, False, 0, False)
+            tag, off, by_header, number, inside, _ = open_[-1] if open_ else ("", False, False, 0, False, False)
+            doubt = False
             if not off and name not in VOID:
                 inside = inside or name in ARTICLE_TAGS
-                off = marked_off(name, rest, inside)
+                mark = marked_off(name, rest, inside)
+                off, doubt = mark == "off", mark == "doubt"
                 if not off and name == "header":
                     off = by_header = True
                 elif not off and names_article(name, rest):
@@ -227,9 +246,9 @@ class Page:
                 self.items.append(("tag", name, "", links, number, inside))
             if name in VOID or rest.endswith("/") and name not in BLOCK and name not in RAW and name not in ("a", "b", "i", "span"):
                 continue
-            open_.append((name, off, by_header, number, inside))
+            open_.append((name, off, by_header, number, inside, doubt))
             count[name] += 1
-            links += name == "a"
+            links += (name == "a") + doubt
             if name == "p":
                 paragraphs.append(len(open_) - 1)
             elif name in BLOCK:

@@ -199,6 +199,14 @@ def test_a_named_title_or_date_does_not_hide_the_text(spark, name):
         assert html_extract.Page(f"<h1>the title</h1><p>a lead of the text</p><article><p>{text}</p></article>").text(weights) == f"the title\na lead of the text\n{text}"
 
 
+def test_names_that_articles_use_take_nothing_away():
+    text = " ".join(f"word{i}" for i in range(60))
+    inner = f'<h2 id="related-work">Related</h2><p>{text}</p><section id="discussion"><h2 id="sharing">Sharing</h2><p class="ad-hoc">an <span class="menu">menu</span> of things</p></section><p id="notice">kept</p>'
+    want = f"Related\n{text}\nSharing\nan menu of things\nkept"
+    for page in (f"<article>{inner}</article>", f'<div id="content">{inner}</div>', f'<main>{inner}<div class="share-buttons">one two</div><div class="ad-box">{text}</div></main>'):
+        assert html_extract.Page(page).text(html_extract.Weights()) == want
+
+
 def test_hostile_pages_take_linear_time():
     weights = html_extract.Weights()
     for part in ("<b><p>x", "<a href='", "<div></p>", "<", "<!--", "<li>", "<td><table>", "<script>", '<p a="', "</x>"):
