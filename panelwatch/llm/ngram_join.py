@@ -12,12 +12,12 @@ is one n-gram.  Two texts are linked if the Jaccard similarity of their n-gram s
    separate tasks; a task counts intersections by matrix products and returns a count per text and a spanning forest, no pairs.
 4. Verified edges make the classes.  Everything stays on the executors.
 
-Result per row of docs: doc_id; class_id, the smallest doc_id of all texts connected by links; n_links, other rows linked directly
+Result per row of docs: doc_id; class_id, the smallest doc_id of all rows connected by links; n_links, other rows linked directly
 (rows with an equal n-gram set among them); n_text_links, different n-gram sets linked directly.
 
 Defined cases: a null text, or one without words, has no n-grams and no links, and is its own class.  Repeated rows are linked
-copies.  Rows without doc_id take the class of their n-gram set (null if no row of the class has an id) and are linked only to
-rows of an equal set and what that set is linked to through rows with an id.  Other columns are neither read nor touched.
+copies.  Rows without doc_id are linked like all others.  A class of several rows none of which has an id is named by a negative number
+made of a digest; a single row without id has no class_id.  Other columns are neither read nor touched.
 """
 
 from __future__ import annotations
@@ -169,8 +169,8 @@ def ngram_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: f
     """doc_id, h1, h2, class_id, n_links, n_text_links of every row of docs (doc_id, text)."""
     bands, rows = choose_bands(threshold, recall)
     keyed = cut(signatures(docs, n, bands, rows))
-    nodes = keyed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"))
-    signed = keyed.where("doc_id is not null").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket"))
+    nodes = keyed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.min(F.struct("h1", "h2")).alias("row"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"))
+    signed = keyed.where("node is not null").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket"))
     met = signed.groupBy("bucket").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b <> high").drop("high")
     candidates = connected_classes(signed.join(met, "bucket").select(F.col("node").alias("a"), "b"))
 
@@ -178,9 +178,9 @@ def ngram_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: f
     work = F.greatest(F.col("n_grams"), F.lit(LEAST))
     spread = members.groupBy("class").agg(F.ceil(F.sum(work) / BLOCK).cast("int").alias("blocks"))
     placed = members.join(spread, "class").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = docs.select(F.col("doc_id").alias("doc"), "text")
+    texts = docs.select(F.struct(F.xxhash64("doc_id", "text").alias("h1"), F.hash("text").alias("h2")).alias("row"), "text").dropDuplicates(["row"])  # one text of repeated rows
     meeting = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, "block").alias("p"), F.greatest(i, "block").alias("q"))))
-    pairs = texts.join(placed, "doc").select("class", "node", "text", "copies", "block", meeting.alias("m")).select("class", "m.p", "m.q", "node", "text", "copies", "block")
+    pairs = texts.join(placed, "row").select("class", "node", "text", "copies", "block", meeting.alias("m")).select("class", "m.p", "m.q", "node", "text", "copies", "block")
     keys = ["class", "p", "q"]
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -193,10 +193,12 @@ def ngram_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: f
     named = classes.join(nodes, "node")
     ids = named.groupBy("class").agg(F.min("doc").alias("class_id"))
     counts = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
-    linked = named.join(ids, "class").join(counts, "node", "left").select("node", "class_id", "links", "text_links")
+    linked = named.join(ids, "class").join(counts, "node", "left").select("node", "class", "class_id", "links", "text_links")
+    several = F.col("class").isNotNull() | (F.col("copies") > 1)
+    without_id = F.when(several, -1 - F.pmod(F.xxhash64(F.coalesce("class", "node")), F.lit(1 << 62))).try_cast(docs.schema["doc_id"].dataType)
     stats = nodes.join(linked, "node", "left").select(
         "node",
-        F.coalesce("class_id", "doc").alias("class_id"),
+        F.coalesce("class_id", "doc", without_id).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
     )
@@ -212,7 +214,7 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
 def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.99999) -> DataFrame:
     """One row of each class of docs, the one with the smallest doc_id, with its columns as they were.
 
-    Rows without words stay, and so do rows without doc_id whose class has none; of repeated rows (equal doc_id and text) one stays.
+    Rows without words stay; of a class without ids one row stays; of repeated rows (equal doc_id and text) one stays.
     """
     classes = ngram_classes(docs, n, threshold, recall)
     pick = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h1", "h2")

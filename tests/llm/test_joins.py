@@ -95,6 +95,21 @@ def test_ngram_join_without_ids_rows_or_links(spark):
     assert ngram_join.ngram_join(documents(spark, [])).count() == 0 and ngram_join.keep_one(documents(spark, [])).count() == 0
 
 
+def test_near_copies_without_ids_are_linked(spark):
+    with_ids = near_copies()
+    blank = lambda i: None if i < 300 or i % 3 == 0 else i
+    rows = [(blank(i), *rest) for i, *rest in with_ids]
+    found = ngram_join.ngram_join(documents(spark, rows)).collect()
+    links = lambda table: Counter(r[2:] for r in table)
+    assert links(map(tuple, found)) == links(plain_classes(with_ids).elements())
+    assert all((r.class_id is None) == (r.doc_id is None and r.n_links == 0) for r in found)
+    assert len({r.class_id for r in found if r.doc_id is None and r.class_id is not None and r.class_id < 0}) >= 3  # groups 0 to 2 have no id
+    classes = len({c for _, c, *_ in plain_classes(with_ids)})
+    kept = ngram_join.keep_one(documents(spark, rows)).collect()
+    # rows without words and id fold to those that differ
+    assert len(kept) == classes - sum(i % 3 == 0 and not (t or "").split() for i, t, *_ in with_ids) + len({t for i, t, *_ in with_ids if i % 3 == 0 and not (t or "").split()})
+
+
 def test_bands_reach_the_recall():
     for recall in (0.9, 0.999, 0.99999):
         bands, rows = ngram_join.choose_bands(0.8, recall)
