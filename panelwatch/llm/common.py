@@ -44,15 +44,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def hash_sample(df: DataFrame, key: str, size: int, total: int | None = None) -> DataFrame:
-    """The `size` rows with the smallest hash of a key; a first cut at about four times as many keeps what tasks send small.
+def hash_sample(df: DataFrame, key: str, size: int) -> DataFrame:
+    """The `size` rows with the smallest hash of a key (30 bits of xxhash64; ties by all bits, then by key).
 
-    total: rows of df, or of the table it was filtered from (then the sample may be smaller).
+    A first cut at the least power of two below which `size` rows lie keeps what tasks send small and changes nothing.
     """
-    total = df.count() if total is None else total
-    if total > 8 * size:
-        df = df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit((1 << 30) * 4 * size // total))
-    return df.orderBy(F.xxhash64(key), key).limit(size)
+    low = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    found = {r.bits: r["count"] for r in df.groupBy(F.length(F.bin(low)).alias("bits")).count().collect()}  # at most 30 rows
+    bits = next((b for b in range(31) if sum(n for x, n in found.items() if x <= b) >= size), 30)
+    return df.where(low < F.lit(1 << bits)).orderBy(low, F.xxhash64(key), key).limit(size)
 
 
 def words_of(text: str) -> list[bytes]:

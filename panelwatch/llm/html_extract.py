@@ -328,7 +328,7 @@ LABELLED = re.compile(r"<(?:article|main)[\s>]", re.I)
 def fit(pages: DataFrame, sample: int = 1_000, tag_cost: float = 5.0) -> Weights:
     """Weights of labelled pages, at most `sample` of them."""
     labelled = pages.select("page_id", "html").where(F.col("html").rlike(r"(?i)<(?:article|main)[\s>]"))
-    picked = hash_sample(labelled, "page_id", sample, pages.count()).select("html")
+    picked = hash_sample(labelled, "page_id", sample).select("html")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -14,7 +14,7 @@ import pytest
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from panelwatch.llm import html_extract, quality_rules, registry, toxicity, url_filter
+from panelwatch.llm import common, html_extract, quality_rules, registry, toxicity, url_filter
 
 FOLDER = "/root/testdata/sf0.001"
 PAGES = "page_id long, url string, html string, host string, rule string, text string, score string"
@@ -207,6 +207,19 @@ def test_names_that_articles_use_take_nothing_away():
         assert html_extract.Page(page).text(html_extract.Weights()) == want
 
 
+def test_samples_follow_one_rule_at_every_size(spark):
+    for n in (0, 5, 10, 79, 81, 3000):
+        rows = spark.range(n).selectExpr("id", "pmod(xxhash64(id), 1 << 30) AS low")
+        want = [r.id for r in sorted(rows.collect(), key=lambda r: r.low)[:10]]
+        assert [r.id for r in common.hash_sample(rows, "id", 10).collect()] == want
+    same = spark.range(500).selectExpr("CAST(7 AS long) AS id")
+    assert common.hash_sample(same, "id", 10).count() == 10
+    rng = random.Random(4)
+    labelled = [(i, "u", built_page(rng)[0] + "<article><p>one two</p></article>") for i in range(40)]
+    few = [(1000 + i, "u", "<p>text</p>") for i in range(3000)]
+    assert html_extract.fit(pages(spark, labelled + few), sample=20) == html_extract.fit(pages(spark, labelled), sample=20) != html_extract.Weights()
+
+
 def test_hostile_pages_take_linear_time():
     weights = html_extract.Weights()
     for part in ("<b><p>x", "<a href='", "<div></p>", "<", "<!--", "<li>", "<td><table>", "<script>", '<p a="', "</x>"):
