@@ -11,8 +11,10 @@ those with the largest chi-square against the toxic label, 20 at least).  Labels
 not, the grades of toxic texts come from how many telling features they hold: lower, middle and upper third become 1, 2 and 3.
 
 Defined cases: a null or empty text has no features and gets the model's severity without features, which is not toxic.  Texts
-without a label are scored like all others.  Repeated rows are scored one by one.  Without labelled toxic texts no text is toxic.
-Other columns are neither read nor touched.
+without a label are scored like all others.  Repeated rows are scored one by one, but a labelled doc_id trains once, with its
+smallest text; a doc_id labelled twice is toxic if one label says so.  Labels whose documents are not there count for nothing.
+Without labelled texts of both kinds no text is toxic.  An empty table gives an empty result.  Other columns are neither read nor
+touched.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Remembered, hash_sample, table, words_of
+from .common import cut as written
 
 PREFIXES = (4, 5, 6)
 #: Odds ratio from which a feature counts as telling.
@@ -117,7 +120,8 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str | None = None, sample: in
     """A model of the labelled texts.  labels: doc_id, toxic (0 or 1) and, if named, a column of grades from 0."""
     graded = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max(grade or "toxic").alias("grade"))
     picked = hash_sample(graded, "doc_id", sample)
-    texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id").select("text", "toxic", "grade")
+    labelled = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id")
+    texts = written(labelled.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in ("text", "toxic", "grade")]))  # at most `sample` rows
 
     def counted(batches):
         memory = Remembered(features_of, 50_000)
@@ -129,14 +133,15 @@ def fit(docs: DataFrame, labels: DataFrame, grade: str | None = None, sample: in
 
         for batch in batches:
             for text, label in zip(batch["text"], batch["toxic"]):
-                (toxic if label else clean).update({f for word in set(words_of(text)) for f in memory[word]})
+                (toxic if label > 0 else clean).update({f for word in set(words_of(text)) for f in memory[word]})
                 if len(clean) + len(toxic) >= HELD:
                     yield handed()
                     clean.clear(), toxic.clear()
-        yield handed()
+        if clean or toxic:  # a frame without rows has no types
+            yield handed()
 
-    sizes = {r.toxic: r["count"] for r in picked.groupBy("toxic").count().collect()}
-    bad, good = sizes.get(1, 0), sizes.get(0, 0)
+    sizes = {r.bad: r["count"] for r in texts.groupBy((F.col("toxic") > 0).alias("bad")).count().collect()}
+    bad, good = sizes.get(True, 0), sizes.get(False, 0)
     if not bad or not good:
         return Severity({}, (40.0,), cut)
     a, b = F.col("toxic"), F.col("clean")
@@ -201,7 +206,7 @@ def toxicity(docs: DataFrame, model: Severity) -> DataFrame:
 
 def keep_civil(docs: DataFrame, model: Severity) -> DataFrame:
     """The rows of docs that are not toxic, with their columns as they were."""
-    return docs.withColumn("__civil", severity_of(model)("text")["kept"]).where("__civil").drop("__civil")
+    return docs.where(severity_of(model)("text")["kept"])
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
