@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat_format, html_extract, mixing, ngram_join, packing, quality_rules, resampling, sharding, toxicity, url_filter
+from . import ann, chat_format, html_extract, mixing, ngram_join, packing, prefix_trie, quality_rules, resampling, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_mixing": mixing.op10_mixing,
     "op11_resampling": resampling.op11_resampling,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
     "op2_chat_format": chat_format.CHAT_SQL,
     "op10_mixing": mixing.mixing_sql(),
     "op11_resampling": resampling.RESAMPLING_SQL,
+    "op12_prefix_trie": prefix_trie.TRIE_SQL,
 }
