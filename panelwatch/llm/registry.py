@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat_format, html_extract, mixing, ngram_join, packing, prefix_trie, quality_rules, resampling, sharding, toxicity, url_filter
+from . import ann, chat_format, html_extract, minhash_index, mixing, ngram_join, packing, prefix_trie, quality_rules, resampling, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_resampling": resampling.op11_resampling,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_minhash_index": minhash_index.op13_minhash_index,
 }
 
 ORACLE: dict[str, str] = {
@@ -24,4 +25,5 @@ ORACLE: dict[str, str] = {
     "op10_mixing": mixing.mixing_sql(),
     "op11_resampling": resampling.RESAMPLING_SQL,
     "op12_prefix_trie": prefix_trie.TRIE_SQL,
+    "op13_minhash_index": minhash_index.NEAR_COPIES_SQL,
 }
