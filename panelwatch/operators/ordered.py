@@ -1,14 +1,14 @@
 """Work that needs the row order inside a firm, without one task per firm.
 
 A window over a firm alone sorts the whole firm in one task, which fails when one firm holds a
-large share of the panel.  Three ways around that are used here:
+large share of the panel.  Four ways around that are used here:
 
 * the last n rows of a firm: Spark limits each group before the shuffle (``WindowGroupLimit``);
 * dates, previous rows and running products: rows are worked on inside (firm, date) cells, and
   what must cross a date is carried through one row per cell, so a firm's window is bounded by
   the calendar and not by its rows;
-* values and sequence numbers: a grid of approximate quantiles (one row) parts all rows into
-  GRID ranges of about equal size; what must cross a range is carried through one row per range.
+* sequence numbers: their digits make cells, and one row per cell carries over;
+* values: rows are parted into sorted ranges and written once; one row per range carries over.
 """
 
 from __future__ import annotations
@@ -18,32 +18,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRID = 1024
-ROW_ORDER = ("date", "iid")
-
+from ..sources.writers import scratch_folder
 
-def quantile_grid(df: DataFrame, *columns: str) -> DataFrame:
-    """One row: per numeric column ``_<column>_grid``, GRID - 1 rising bounds that part it into ranges of about equal size."""
-    shares = [i / GRID for i in range(1, GRID)]
-    return df.agg(*[F.percentile_approx(c, shares, 10 * GRID).alias(f"_{c}_grid") for c in columns])
+ROW_ORDER = ("date", "iid")
+#: A cell of with_prior_sums spans 2**20 sequence numbers, a block of cells 2**20 cells.
+CELL_BITS = 20
 
 
-def with_grid(df: DataFrame, grid: DataFrame) -> DataFrame:
-    """Each row with the bounds of the one-row table ``grid`` (an aggregate without keys, so safe to broadcast)."""
-    return df.crossJoin(F.broadcast(grid))
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared folder: what reads them repeats no work."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def range_of(value: Column, grid: Column) -> Column:
-    """How many bounds of the grid (a column, see ``quantile_grid``) are at most ``value``, by binary search.
+def in_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """The rows parted into ranges of ``order``, sorted, and written once, with ``_at``: the range's number times 2**33, plus the place in it.
 
-    The ranges only part the rows: results do not depend on how good the grid is.
+    So what must cross a range is one row per range, and no other step depends on how Spark drew the bounds.
     """
-    steps = F.lit([GRID >> i for i in range(1, GRID.bit_length())])
-
-    def step(at: Column, size: Column) -> Column:
-        return F.when(F.get(grid, at + size - 1) <= value, at + size).otherwise(at)
-
-    return F.aggregate(steps, F.lit(0), step)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(ranged.withColumn("_at", F.monotonically_increasing_id()), "ranges")
 
 
 def with_previous(
@@ -109,33 +104,33 @@ def date_cells(df: DataFrame, key: str = "gvkey") -> DataFrame:
     )
 
 
-def with_prior_sums(
-    df: DataFrame, sums: dict[str, Column], seq: str = "seq", keys: Sequence[str] = (), grid: DataFrame | None = None
-) -> DataFrame:
-    """Add, per name, the sum of its column over all rows with a smaller ``seq`` (a unique number), per key if keys are given.
+def with_prior_sums(df: DataFrame, sums: dict[str, Column], seq: str = "seq", keys: Sequence[str] = ()) -> DataFrame:
+    """Add, per name, the sum of its column over all rows with a smaller ``seq`` (a unique long), per key if keys are given.
 
-    Sums run inside ranges of the sequence; one total per range and key is carried over.  ``grid``
-    may come from any table whose ``seq`` spreads alike, such as the file the rows are derived from.
+    The digits of the sequence number part the work: rows are summed up inside cells of 2**20 numbers, cells inside blocks of
+    2**20 cells, and blocks over all.  As numbers are unique, no task sorts more than 2**20 rows, 2**20 cells or 2**23 blocks of a
+    key, whatever the numbers are.  Rows are read twice and shuffled once, by cell; cells and blocks are partial sums.  Rows
+    without a number have no place and go.
     """
-    grid = quantile_grid(df, seq) if grid is None else grid
-    found = range_of(F.col(seq), F.col(f"_{seq}_grid"))
-    rows = with_grid(df, grid).withColumn("_range", found).drop(f"_{seq}_grid")
-    part = [*keys, "_range"]
-    inside = Window.partitionBy(*part).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumns({f"_{n}_inside": F.sum(c).over(inside) for n, c in sums.items()})
-    totals = rows.groupBy(*part).agg(*[F.sum(c).alias(f"_{n}_total") for n, c in sums.items()])
-    carried = totals.select(*part, *[F.sum(f"_{n}_total").over(earlier).alias(f"_{n}_carried") for n in sums])
-    rows = rows.join(carried, part)
+    prior = lambda part, order: Window.partitionBy(*keys, *part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
-    whole = {n: F.coalesce(f"_{n}_inside", zero) + F.coalesce(f"_{n}_carried", zero) for n in sums}
-    return rows.withColumns(whole).drop("_range", *[f"_{n}{x}" for n in sums for x in ("_inside", "_carried")])
-
-
-def after_first(df: DataFrame, n: int, seq: str = "seq", grid: DataFrame | None = None) -> DataFrame:
-    """Skip the first ``n`` rows in ``seq`` order; rows are counted range by range, not brought together."""
+    numbered = df.where(F.col(seq).isNotNull()).withColumn("_cell", F.shiftright(seq, CELL_BITS))
+    totals = numbered.groupBy(*keys, "_cell", F.shiftright("_cell", CELL_BITS).alias("_block")).agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    cells = stored(totals, "cells")  # one row per 2**20 numbers
+    blocks = cells.groupBy(*keys, "_block").agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in sums])
+    blocks = blocks.select(*keys, "_block", *[F.sum(f"_{n}").over(prior([], "_block")).alias(f"_{n}_blocks") for n in sums])
+    cells = cells.select(*keys, "_cell", "_block", *[F.sum(f"_{n}").over(prior(["_block"], "_cell")).alias(f"_{n}_cells") for n in sums])
+    carried = cells.join(blocks, [*keys, "_block"]).drop("_block")
+    rows = numbered.withColumns({f"_{n}_inside": F.sum(c).over(prior(["_cell"], seq)) for n, c in sums.items()}).join(carried, [*keys, "_cell"])
+    parts = [f"_{{}}_{x}" for x in ("inside", "cells", "blocks")]
+    whole = {n: sum((F.coalesce(part.format(n), zero) for part in parts), zero) for n in sums}
+    return rows.withColumns(whole).drop("_cell", *[part.format(n) for n in sums for part in parts])
+
+
+def after_first(df: DataFrame, n: int, seq: str = "seq") -> DataFrame:
+    """Skip the first ``n`` rows in ``seq`` order; rows are counted cell by cell, not brought together."""
     if n <= 0:
         return df
-    counted = with_prior_sums(df.select(seq), {"before": F.lit(1).cast("long")}, seq, grid=grid)
+    counted = with_prior_sums(df.select(seq), {"before": F.lit(1).cast("long")}, seq)
     first = counted.where(F.col("before") >= n).agg(F.min(seq)).scalar()
     return df.where(F.col(seq) >= first)

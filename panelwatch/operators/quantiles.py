@@ -1,77 +1,48 @@
-"""Exact, linearly interpolated quantiles, for groups of any size on one path."""
+"""Exact, linearly interpolated quantiles, for groups of any size on one path.
+
+All values are parted into ranges by (key, column, value) and written sorted, each with its place.  A group's values then stand in a
+row over one or more ranges; counts per (group, range), one row each, tell the places of the wanted ranks, and the values at these
+places are fetched.  The values of a large key are sorted by many tasks; equal values are told apart by the task they were read in.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import GRID, quantile_grid, range_of, with_grid
-
+from .ordered import in_ranges
 
-def group_quantiles(
-    df: DataFrame, key: str, columns: Sequence[str], p: float, grid: DataFrame | None = None
-) -> DataFrame:
-    """Per key, the quantile ``p`` of each column; NULL where a key has no value.  Keys without any value are absent.
 
-    A grid over the whole column parts the values into ranges.  Counts per (key, range) tell in
-    which range the wanted ranks of a key lie, and only that range's values are ranked, so the
-    values of a large key are ordered by many tasks, about 1 / GRID of them in each.
-    """
-    each = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"), range_of(F.col(c), F.col(f"_{c}_grid")).alias("range")) for c in columns])
-    rows = with_grid(df.select(key, *columns), quantile_grid(df, *columns) if grid is None else grid)
-    values = rows.select(key, F.inline(each)).where("value IS NOT NULL")
-    found = _quantiles(values, [key, "metric"], p)
-    return found.groupBy(key).agg(*[F.max(F.when(F.col("metric") == c, F.col("quantile"))).alias(c) for c in columns])
+def group_quantiles(df: DataFrame, key: str, columns: Sequence[str], p: float) -> DataFrame:
+    """Per key, the quantile ``p`` of each column; NULL where a key has no value.  Keys without any value are absent."""
+    each = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("value")) for n, c in enumerate(columns)])
+    ends = _ends(df.select(key, F.inline(each)), [key, "metric"], p)
+    metric = F.col("metric")
+    return ends.groupBy(key).agg(*[_between(lambda x, n=n: F.when(metric == n, F.col(x))).alias(c) for n, c in enumerate(columns)])
 
 
-def column_quantile(df: DataFrame, column: str, p: float, grid: DataFrame | None = None) -> DataFrame:
+def column_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
     """One row: the quantile ``p`` over all rows of the column."""
-    grid = quantile_grid(df, column) if grid is None else grid
-    rows = with_grid(df.select(column).where(F.col(column).isNotNull()), grid)
-    values = rows.select(F.col(column).cast("double").alias("value"), range_of(F.col(column), F.col(f"_{column}_grid")).alias("range"))
-    found = _quantiles(values, [], p, narrow=True)
-    return found.agg(F.max("quantile").alias("quantile"))
-
+    ends = _ends(df.select(F.col(column).cast("double").alias("value")), [], p)
+    return ends.agg(_between(F.col).alias("quantile"))
 
-def _holding(counted: DataFrame, keys: list[str], part: str, first: Column | None = None) -> DataFrame:
-    """The parts of each key that hold one of its wanted ranks: keys, part, below, position, lo, hi.
 
-    ``counted`` has value and copies; the first look derives the wanted position from the counts,
-    later ones carry it (and the rows below) along.
-    """
-    carried = [] if first is not None else ["below", "position"]
-    sums = counted.groupBy(*keys, part, *carried).agg(
-        F.sum("copies").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-    )
-    along = Window.partitionBy(*keys)
-    before = F.coalesce(F.sum("n").over(along.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    start = before if first is not None else F.col("below") + before
-    sums = sums.withColumn("_start", start)
-    if first is not None:
-        sums = sums.withColumn("position", (F.sum("n").over(along) - 1) * first)
+def _ends(values: DataFrame, keys: list[str], p: float) -> DataFrame:
+    """keys, value, share: the one or two values per group between which the quantile lies."""
+    sorted_once = in_ranges(values.where("value IS NOT NULL").withColumn("_tie", F.spark_partition_id()), *keys, "value", "_tie")
+    spans = sorted_once.groupBy(*keys, F.shiftright("_at", 33).alias("_range")).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"))
+    group = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("n").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spans = spans.withColumns({"before": before, "position": (F.sum("n").over(group) - 1) * F.lit(float(p))})
     low, high = F.floor("position"), F.ceil("position")
-    inside = lambda rank: (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("n"))
-    return sums.where(inside(low) | inside(high)).select(*keys, part, F.col("_start").alias("below"), "position", "lo", "hi")
+    place = lambda rank: F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("n")), F.col("first") + rank - F.col("before"))
+    wanted = spans.select((F.col("position") - low).alias("share"), F.explode(F.array_distinct(F.array_compact(F.array(place(low), place(high))))).alias("_at"))
+    return sorted_once.drop("_tie").join(wanted, "_at").drop("_at")
 
 
-def _quantiles(values: DataFrame, keys: list[str], p: float, narrow: bool = False) -> DataFrame:
-    """keys and quantile; values: keys, value, range.  ``narrow`` cuts the chosen ranges a second time, for a whole column."""
-    part = [*keys, "range"]
-    counted = values.repartition(*part).groupBy(*part, "value").agg(F.count(F.lit(1)).alias("copies"))
-    inside = counted.join(_holding(counted, keys, "range", F.lit(p)), part)
-    if narrow:
-        width = F.col("hi") - F.col("lo")
-        slot = F.when(width > 0, F.floor((F.col("value") - F.col("lo")) / width * GRID)).otherwise(F.lit(0))
-        sliced = inside.withColumn("slot", slot).drop("lo", "hi")
-        chosen = _holding(sliced, part, "slot")
-        part = [*part, "slot"]
-        inside = sliced.drop("below", "position").join(chosen, part)
-    order = Window.partitionBy(*part).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = inside.withColumn("_upto", F.col("below") + F.sum("copies").over(order))
-    at = lambda rank: F.max(F.when((rank >= F.col("_upto") - F.col("copies")) & (rank < F.col("_upto")), F.col("value")))
-    ends = ranked.groupBy(*keys).agg(at(F.floor("position")).alias("low"), at(F.ceil("position")).alias("high"), F.max("position").alias("position"))
-    share = F.col("position") - F.floor("position")
-    mixed = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") * (1 - share) + F.col("high") * share)
-    return ends.select(*keys, mixed.alias("quantile"))
+def _between(of):
+    """The quantile, from the rows of :func:`_ends`; ``of`` gives a column by name, or NULL on the rows of others."""
+    low, high, share = F.min(of("value")), F.max(of("value")), F.max(of("share"))
+    return F.when(low == high, low).otherwise(low * (1 - share) + high * share)

@@ -9,7 +9,7 @@ from ..functions import answers
 from ..functions.scalars import date_or_null, has_name, number_text
 from ..operators import label, verify
 from ..operators.events import confident_verdicts, in_year, value_counts, verified_acquisitions
-from ..operators.ordered import quantile_grid, with_prior_sums
+from ..operators.ordered import with_prior_sums
 from ..sources import readers, writers
 from .detectors import union_detections
 
@@ -35,13 +35,16 @@ def reverify_year(
     calls = verify.with_cost(responses, model).select(
         "seq", "cost", answers.is_stop(F.col("error_text")).alias("stop"), F.lit(True).alias("answered")
     )
-    grid = quantile_grid(responses, "seq")
-    line = with_prior_sums(due.join(calls, "seq", "left"), {"position": F.lit(1).cast("long")}, grid=grid)
-    live = line.where((F.col("position") >= resume_from) & F.col("answered")).drop("position")
-    sums = {"spent_before": F.col("cost"), "stops_before": F.col("stop").cast("int")}
-    reached = with_prior_sums(live, sums, grid=grid).where("NOT stop AND stops_before = 0")
+    counted = {"position": F.lit(1).cast("long"), "spent_before": F.col("cost"), "stops_before": F.col("stop").cast("int")}
+    line = with_prior_sums(due.join(calls, "seq", "left"), counted)
+    live = line.where((F.col("position") >= resume_from) & F.col("answered"))
+    spent, stops = F.col("spent_before"), F.col("stops_before")
+    if resume_from:  # what was spent before the first event of this run does not count in it
+        start = line.where(F.col("position") == resume_from)
+        spent, stops = spent - start.agg(F.max("spent_before")).scalar(), stops - start.agg(F.max("stops_before")).scalar()
+    reached = live.where(~F.col("stop") & (stops == 0))
     if budget is not None:
-        reached = reached.where(F.col("spent_before") < F.lit(budget).cast("decimal(20,12)"))
+        reached = reached.where(spent < F.lit(budget).cast("decimal(20,12)"))
     admitted = responses.join(reached.select("seq"), "seq", "left_semi")
     return verify.upsert_verdicts(events, verify.verdicts_from_answers(admitted))
 
