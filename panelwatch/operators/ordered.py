@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.writers import scratch_folder
+from ..sources.folders import scratch_folder
 
 ROW_ORDER = ("date", "iid")
 #: A cell of with_prior_sums spans 2**20 sequence numbers, a block of cells 2**20 cells.

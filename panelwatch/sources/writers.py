@@ -2,27 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .readers import CSV_OPTIONS
-
+from .folders import CSV_OPTIONS, scratch_folder
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder path under the shared folder the cluster names.
-
-    A session that runs in one process may go without that setting and gets a folder in its
-    warehouse; on a cluster, a folder of one machine would hide files from the others, so the
-    setting is required there.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}/{name}"
+__all__ = ["scratch_folder"]
 
 
 def write_events_csv(events: DataFrame, path: str) -> None:
@@ -40,6 +25,21 @@ def write_labeled_parquet(labeled: DataFrame, path: str, by: str = "year") -> No
     ranged.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
+def write_firm_table(panel: DataFrame, table: str, path: str, buckets: int = 200, key: str = "gvkey", order: tuple[str, ...] = ("date", "iid")) -> None:
+    """A panel as a table bucketed by firm and sorted inside each bucket.
+
+    A key list then reads its buckets alone, and work by firm (last rows, firm features, joins on the firm) needs no shuffle.  A
+    firm lies in one bucket, so a firm that holds much of the panel makes one bucket long: lay the panel out plainly
+    then.  Rows are dealt to one task per bucket first, so that each bucket is one file.
+    """
+    by = [key, *order]
+    dealt = panel.repartition(buckets, key).sortWithinPartitions(*by)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(*by).option("path", path).saveAsTable(table)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in panel.schema)
+    layout = panel.sparkSession.createDataFrame([(columns, key, ", ".join(by), buckets)], "columns string, key string, order string, buckets int")
+    layout.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}-layout")
+
+
 def write_labeled_csv(labeled: DataFrame, path: str) -> None:
     labeled.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
