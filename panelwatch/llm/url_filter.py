@@ -141,9 +141,9 @@ class Models:
         for order in range(ORDERS):
             context = F.shiftright("window", 8).alias("context")
             around = seen[order].groupBy(context).agg(*[F.sum(side).alias(f"all_{side}") for side in SIDES])
-            rows = wanted[order].withColumn("context", F.shiftright("window", 8)).join(seen[order], "window", "left").join(around, "context", "left")
+            rows = wanted[order].withColumn("context", F.shiftright("window", 8)).join(seen[order].hint("merge"), "window", "left").join(around.hint("merge"), "context", "left")
             if lower is not None:
-                rows = rows.withColumn("shorter", gram(F.col("window"), order - 1)).join(lower, "shorter")
+                rows = rows.withColumn("shorter", gram(F.col("window"), order - 1)).join(lower.hint("merge"), "shorter")
             chances = []
             for side in SIDES:
                 below = F.lit(1 / 256) if lower is None else F.col(f"below_{side}")
@@ -162,7 +162,7 @@ class Models:
                 yield pd.DataFrame({"block": group["block"].iloc[0], "window": np.unique(np.concatenate(found))})
 
         met = cut(dealt.select("block", "url").mapInPandas(distinct, "block long, window long"))
-        logs = met.join(self.logs(cut(met.select("window").distinct())), "window")
+        logs = met.join(self.logs(cut(met.select("window").distinct())).hint("merge"), "window")
 
         def joined(own: pa.Table, logs: pa.Table) -> pa.Table:  # Arrow, so that ids beside nulls stay whole numbers
             logs = logs.sort_by("window")
@@ -181,38 +181,57 @@ class Models:
         return per_byte(texts, logs["window"].to_numpy(), logs["log"].to_numpy())
 
 
-def fit(decided: DataFrame, false_block: float = 0.01) -> Models | None:
-    """Models of decided URLs (url, verdict); null if one side has none."""
+def with_sides(decided: DataFrame) -> DataFrame:
+    """url, side (1: accepted) and held (a tenth, by hash, that no model counts) of decided URLs (url, verdict)."""
     sides = decided.where("url is not null").select("url", (F.col("verdict") == "allow").cast("int").alias("side"))
-    held = F.pmod(F.xxhash64("url", F.lit(5)), F.lit(10)) == 0
-    found = sides.where(~held).mapInPandas(counted, "window long, rejected long, accepted long")
+    return sides.withColumn("held", F.pmod(F.xxhash64("url", F.lit(5)), F.lit(10)) == 0)
+
+
+def count_models(sides: DataFrame) -> Models | None:
+    """Models of both sides, without a threshold; null if one side has no URL."""
+    found = sides.where("not held").select("url", "side").mapInPandas(counted, "window long, rejected long, accepted long")
     counts = cut(found.groupBy("window").agg(*[F.sum(side).alias(side) for side in SIDES]))
-    if not all(counts.where(F.col(side) > 0).limit(1).count() for side in SIDES):
-        return None
-    models = Models(counts)
+    return Models(counts) if all(counts.where(F.col(side) > 0).limit(1).count() for side in SIDES) else None
+
+
+def threshold_of(scored: DataFrame, false_block: float) -> float:
+    """The threshold, 0 at most, below which at most a share `false_block` of these accepted URLs (score) lies."""
     bins = F.floor(F.least(F.greatest("score", F.lit(-20.0)), F.lit(20.0)) * 1000).alias("bin")
-    found = sorted((r.bin, r["count"]) for r in models.scored(sides.where(held & (F.col("side") == 1)).select("url")).select(bins).groupBy("bin").count().collect())  # at most 40,001 rows
+    found = sorted((r.bin, r["count"]) for r in scored.select(bins).groupBy("bin").count().collect())  # at most 40,001 rows
     allowed, below = false_block * sum(n for _, n in found), 0
-    threshold = float("-inf")
     for edge, n in found:
         if below + n > allowed:
-            threshold = edge / 1000
-            break
+            return min(edge / 1000, 0.0)
         below += n
-    return Models(models.counts, min(threshold, 0.0))
+    return float("-inf")
+
+
+def fit(decided: DataFrame, false_block: float = 0.01) -> Models | None:
+    """Models of decided URLs (url, verdict) with their threshold; null if one side has none."""
+    sides = with_sides(decided)
+    models = count_models(sides)
+    return models and Models(models.counts, threshold_of(models.scored(sides.where("held and side = 1").select("url")), false_block))
 
 
 def judged(pages: DataFrame, rules: tuple = RULES, false_block: float = 0.01) -> DataFrame:
-    """page_id, host, path, rule, verdict and score (null where a rule decides) of every row of pages (page_id, url)."""
+    """page_id, host, path, rule, verdict and score (null where a rule decides) of every row of pages (page_id, url).
+
+    The URLs held out for the threshold and those to be judged are scored in one pass.
+    """
     urls = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     urls = urls.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))})
     ruled = urls.withColumn("r", rule_for(F.col("host"), F.col("path"), rules)).select("page_id", "url", "host", "path", "r.rule", "r.verdict")
-    models = fit(ruled.where("verdict is not null"), false_block)
     by_rule = ruled.where("rule is not null").withColumn("score", F.lit(None).cast("double"))
-    rest = ruled.where("rule is null")
-    scored = models.scored(rest) if models else rest.withColumn("score", F.lit(None).cast("double"))
-    by_method = F.when(F.col("score") < models.threshold, "block").otherwise("allow") if models else F.lit("allow")
-    return by_rule.unionByName(scored).select("page_id", "host", "path", "rule", F.coalesce("verdict", by_method).alias("verdict"), "score")
+    rest = ruled.where("rule is null").withColumn("held", F.lit(False))
+    sides = with_sides(ruled.where("verdict is not null"))
+    models = count_models(sides)
+    if models:
+        both = cut(models.scored(rest.unionByName(sides.where("held and side = 1").select("url", "held"), allowMissingColumns=True)))
+        threshold = threshold_of(both.where("held"), false_block)
+        scored, by_method = both.where("not held"), F.when(F.col("score") < threshold, "block").otherwise("allow")
+    else:
+        scored, by_method = rest.withColumn("score", F.lit(None).cast("double")), F.lit("allow")
+    return by_rule.unionByName(scored.drop("held")).select("page_id", "host", "path", "rule", F.coalesce("verdict", by_method).alias("verdict"), "score")
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
