@@ -7,7 +7,7 @@ the true neighbours of sampled vectors.  Every row is indexed.
 
 Index: a code is cut into substrings of 8 bits, and each substring position has a table from value to rows.  By the pigeonhole
 principle a code within `radius` of a query's agrees with it up to radius // substrings bits in at least one substring, so probing
-all values that near in every table meets every code within the radius.  Those are checked on the whole code, and the floats of
+all values that near in every table meets every code within the radius; what the probes of a value meet is laid down when a table is built.  Those are checked on the whole code, and the floats of
 those that pass are compared exactly.  A query that meets fewer than k codes in a block takes all rows of the block, so results
 are never short.
 
@@ -57,9 +57,13 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     scaled = vectors / top
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two that brings their largest component near 1: no digit changes, and squares stay finite."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
+
 
 def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Cosines in double precision; the sums of a row do not depend on the rows around it, so equal vectors score alike."""
+    """Cosines in double precision of scaled vectors; the sums of a row do not depend on the rows around it, so equal vectors score alike."""
     dot = (vectors * query).sum(axis=1)
     return dot / (np.sqrt((query * query).sum()) * np.sqrt((vectors * vectors).sum(axis=1)))
 
@@ -94,25 +98,20 @@ def learn(vectors: np.ndarray, rotations: int = 2, rounds: int = 40, k: int = 5,
 
 
 class Tables:
-    """One table per substring position: rows in order of their value, and where each value starts."""
+    """One table per substring position: for each value, the rows met by probing all values near it, as bits."""
 
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes
-        self.words = np.ascontiguousarray(codes)
-        self.rows = [np.argsort(column, kind="stable").astype(np.int32) for column in codes.T]
-        self.starts = [np.searchsorted(column[rows], np.arange(257)) for column, rows in zip(codes.T, self.rows)]
-        weights = np.bitwise_count(np.arange(256, dtype=np.uint8))
-        self.flips = [np.flatnonzero(weights <= d).astype(np.uint8) for d in range(9)]
+    def __init__(self, codes: np.ndarray, radius: int):
+        self.codes, self.radius = codes, radius
+        near = radius // codes.shape[1]  # so far at most in one substring of a code within the radius
+        values = np.arange(256, dtype=np.uint8)
+        probed = np.bitwise_count(values[:, None] ^ values[None, :]) <= near
+        self.met = [np.packbits(probed[:, column], axis=1) for column in codes.T]
 
-    def within(self, code: np.ndarray, radius: int) -> np.ndarray:
+    def within(self, code: np.ndarray) -> np.ndarray:
         """All rows whose code differs from `code` in at most `radius` bits."""
-        near = min(radius // len(self.rows), BITS)
-        met = np.zeros(len(self.words), bool)
-        for value, rows, starts in zip(code, self.rows, self.starts):
-            for probe in value ^ self.flips[near]:
-                met[rows[starts[probe] : starts[int(probe) + 1]]] = True
-        some = np.flatnonzero(met)
-        return some[np.bitwise_count(self.words[some] ^ code).sum(axis=1, dtype=np.int32) <= radius]
+        found = np.bitwise_or.reduce([rows[value] for value, rows in zip(code, self.met)])
+        some = np.flatnonzero(np.unpackbits(found, count=len(self.codes)))
+        return some[np.bitwise_count(self.codes[some] ^ code).sum(axis=1, dtype=np.int32) <= self.radius]
 
 
 def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -130,14 +129,14 @@ def searched(batches: Iterator[pd.DataFrame], codes: Codes, k: int) -> Iterator[
         vectors = np.stack(group["embedding"].to_numpy()).astype(np.float64)
         ids, copies = group["vec_id"].to_numpy(np.int64), group["copy"].to_numpy(np.int64)
         packed = codes.of(vectors)
-        base, base_ids, base_copies = vectors[~is_query], ids[~is_query], copies[~is_query]
+        even = scaled(vectors)
+        base, base_ids, base_copies = even[~is_query], ids[~is_query], copies[~is_query]
         if not len(base):
             continue
-        tables = Tables(packed[~is_query])
+        tables = Tables(packed[~is_query], codes.radius)
         out = []
-        for query, query_id, code in zip(vectors[is_query], ids[is_query], packed[is_query]):
-            for radius in (codes.radius, 8 * packed.shape[1]):
-                some = tables.within(code, radius) if radius < 8 * packed.shape[1] else np.arange(len(base))
+        for query, query_id, code in zip(even[is_query], ids[is_query], packed[is_query]):
+            for some in (tables.within(code), np.arange(len(base))):
                 some = some[base_ids[some] != query_id]
                 if len(some) >= k:
                     break
