@@ -8,8 +8,8 @@ number, or the row number in a slot, can be computed without data.
 The Feistel network acts on pairs (l, r), l < a, r < b, with a * b the least such product of N or more for a = ceil(sqrt(N)), and
 adds a mixing of one half to the other, modulo its size.  Positions of N or more walk on along their cycle until they fall below N.
 
-Numbering shuffles only doc_id, checksum and size.  Equal rows are counted first and numbered together, so repeats of a row do not
-meet in a task; a bucket has some 200,000 rows whatever the input.  All DataFrame functions.
+Numbering shuffles only doc_id, checksum and size.  Equal rows are counted first and numbered together; the numbers of a row repeated
+more than RANGE times are dealt to tasks in ranges.  A bucket has some 200,000 rows whatever the input.  All DataFrame functions.
 
 Defined cases: a null text has size 1 (0 bytes plus 1) and checksum 0, like an empty one; null and repeated doc_ids are rows like
 any other; rows with equal doc_id, checksum and size are interchangeable; an empty table gives an empty result; other columns are
@@ -31,6 +31,8 @@ FACTOR = 48271
 STEP = 1442695041
 ROUNDS = 8
 BUCKET_ROWS = 200_000
+#: Numbers that one task gives to repeats of a row at a time.
+RANGE = 65_536
 
 
 def halves(n: int) -> tuple[int, int]:
@@ -91,8 +93,12 @@ def numbered(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
     before = totals.select("bucket", (F.sum("total").over(Window.orderBy("bucket")) - F.col("total")).alias("before"))  # one row per bucket
     inside = F.sum("copies").over(Window.partitionBy("bucket").orderBy(*[F.col(k).asc_nulls_first() for k in keys])) - F.col("copies")
     first = equal.withColumn("inside", inside).join(before, "bucket")
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("i")
-    return first.select(*keys, (F.col("before") + F.col("inside")).alias("first"), each).select(*keys, (F.col("first") + F.col("i")).alias("row"))
+    first = first.select(*keys, "copies", (F.col("before") + F.col("inside")).alias("first"))
+    each = lambda start, end: F.explode(F.sequence(start, end)).alias("row")
+    few = first.where(F.col("copies") <= RANGE).select(*keys, each(F.col("first"), F.col("first") + F.col("copies") - 1))
+    starts = first.where(F.col("copies") > RANGE).select(*keys, (F.col("first") + F.col("copies")).alias("end"), F.explode(F.sequence(whole(0), F.col("copies") - 1, whole(RANGE))).alias("i"), "first")
+    ranges = starts.select(*keys, "end", (F.col("first") + F.col("i")).alias("start")).repartition(*keys, "start")
+    return few.unionByName(ranges.select(*keys, each(F.col("start"), F.least(F.col("start") + RANGE, "end") - 1)))
 
 
 def sharded(docs: DataFrame, shards: int = 16, seed: int = 11) -> DataFrame:
