@@ -180,14 +180,22 @@ def test_repeated_rows_take_no_places(spark, monkeypatch):
     assert [tuple(r)[:3] for r in ann.nearest(vectors(spark, few), F.col("vec_id") == 0).orderBy("rank").collect()] == [(0, 1, 1), (0, 2, 1), (0, 3, 2)]
 
 
+@pytest.mark.parametrize("power", [0, 200, -200])
+def test_nearest_of_very_large_and_small_components(spark, power):
+    big = 10.0**power
+    rows = [(0, [big, 0.0]), (1, [big, big / 10]), (2, [big, big]), (3, [1.0, 0.0]), (4, [0.0, big])]
+    found = [(r.vec_id, round(r.score, 6)) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert found == [(3, 1.0), (1, 0.995037), (2, 0.707107), (4, 0.0)]
+
+
 def test_probing_meets_every_code_in_the_radius():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, 256, (3000, 8), dtype=np.uint8)
-    tables = ann.Tables(codes)
     for radius in (0, 7, 8, 20, 27):
+        tables = ann.Tables(codes, radius)
         for query in codes[:10]:
             want = np.flatnonzero(np.bitwise_count(codes ^ query).sum(axis=1) <= radius)
-            assert (tables.within(query, radius) == want).all()
+            assert (tables.within(query) == want).all()
 
 
 # -- packing
@@ -341,3 +349,14 @@ def test_shortage_goes_to_siblings_before_ancestors(spark):
 
 def test_mix_of_nothing(spark):
     assert mixing.mixed_ids(documents(spark, [])).count() == 0 and mixing.mixed_docs(documents(spark, [])).count() == 0
+
+
+def test_sharding_of_a_row_repeated_many_times(spark, monkeypatch):
+    """Repeats beyond RANGE are numbered in ranges, by several tasks."""
+    monkeypatch.setattr(sharding, "RANGE", 50)
+    rows = [(1, "again")] * 503 + [(2, "x")] * 50 + [(3, "y")] * 51 + [(i, f"t{i}") for i in range(10, 60)]
+    found = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.row for r in found) == list(range(len(rows)))
+    assert sorted((r.doc_id, r.size) for r in found) == sorted((i, len(t) + 1) for i, t in rows)
+    slots = {s: sorted(r.slot for r in found if r.shard == s) for s in range(16)}
+    assert all(x == list(range(len(x))) for x in slots.values()) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1

@@ -78,7 +78,7 @@ def test_bands_reject_repetition_and_noise():
     assert outside > 0.25 and not kept
     # against a plain reading of the definition
     data = stuffed.encode()
-    chunks = [len(data[i : i + 4096]) / len(compressor.compress(data[i : i + 4096])) for i in range(0, len(data) - 4095, 4096)]
+    chunks = [len(data[i : i + 4096]) / len(compressor.compress(data[i : i + 4096])) for i in [*range(0, len(data) - 4096, 4096), len(data) - 4096]]  # the last one ends with the text
     assert outside == sum(not bands.chunk[0] <= r <= bands.chunk[1] for r in chunks) / len(chunks)
     assert whole == len(data) / len(compressor.compress(data))
 
@@ -94,6 +94,28 @@ def test_bands_are_fitted_on_good_texts_only(spark):
     assert quality_rules.fit_bands(documents(spark, rows), labels.limit(0)) == quality_rules.Bands()
 
 
+def test_noise_at_any_place_of_a_text_is_rejected(spark):
+    """Every byte lies in a judged chunk, whatever a text's length."""
+    rng = random.Random(9)
+    rows = [(i, prose(i, rng.choice([300, 800, 1200, 2500, 9000]))) for i in range(300)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    bands = quality_rules.fit_bands(documents(spark, rows), labels)
+    compressor = zstandard.ZstdCompressor(level=3)
+    good = [quality_rules.verdict(t.encode(), bands, compressor)[2] for _, t in rows]
+    assert sum(good) >= 0.97 * len(rows)
+    noise = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+    for size, bad in ((12_287, 4_095), (12_287, 3_000), (65_536, 16_384), (200_000, 50_000), (5_000, 3_000)):
+        for case in range(5):
+            clean = prose(1000 + case, size // 4)[: size - bad]
+            assert not quality_rules.verdict((clean + noise(bad)).encode(), bands, compressor)[2], (size, bad)
+            assert not quality_rules.verdict((clean[: len(clean) // 2] + noise(bad) + clean[len(clean) // 2 :]).encode(), bands, compressor)[2]
+
+
+def test_limits_of_very_long_texts_are_fitted_too():
+    bands = quality_rules.Bands({0: (0, 1), 20: (1, 2), 23: (3, 4)})
+    assert [bands.limits(n) for n in (1, 1 << 20, 1 << 22, 1 << 23, 1 << 30)] == [(0, 1), (1, 2), (1, 2), (3, 4), (3, 4)]
+
+
 # -- toxicity
 
 
