@@ -4,6 +4,8 @@ A page is read once into a sequence of tags and runs of text, with the usual rep
 tags; raw text of scripts, styles and titles; quoted attribute values; cut-off tags).  Subtrees that markup itself names as
 something else (menus, headers, footers, sidebars, adverts, forms, reader comments, hidden parts) leave the sequence.  By class or id
 only containers do, and not for one word that articles use as well (discussion, related, notice): its words weigh as in a link.
+Inside <article> or <main> a name counts only if all its words say so (`sidebar`, `user-comments`), and of an article's header
+headings and paragraphs stay.
 In the rest each word scores above zero and each tag below, and one linear scan finds the contiguous run of largest sum.
 
 Weights come from labelled pages, those that mark their article with <article> or <main> (at most `sample` of them, those with
@@ -56,6 +58,8 @@ NAMED_OFF = frozenset("article div section ul ol dl table tbody tr td th center
 AMBIGUOUS = frozenset("discussion notice notices share sharing social related recommended menu copyright disclaimer banner promo promotion reply replies respond skip widget navigation subscription consent overlay".split())
 #: What makes an ambiguous name a certain one, beside a second name of OFF_NAMES.
 EVIDENCE = frozenset("top main site bar buttons links icons list box posts articles stories items".split())
+#: Words that stand beside such names in names of parts that belong to a page and not to its article.
+COMPANIONS = EVIDENCE | frozenset("reader readers user users section area block thread form post article".split())
 COMMENT_NAMES = frozenset("comment comments reply replies respond discussion".split())
 LAYOUT_NAMES = frozenset("with has no without layout wrapper container page".split())
 ARTICLE_NAMES = frozenset("article content post entry story main".split())
@@ -141,6 +145,8 @@ def named_off(tag: str, given: dict[str, str], in_article: bool) -> str:
     """"off" if a container's class or id says that it is not part of an article, "doubt" if it may say so, else ""."""
     if tag not in NAMED_OFF:
         return ""
+    if in_article and tag != "article":
+        return named_off_inside(given)
     doubt = False
     for value in (given.get("class", ""), given.get("id", "")):
         for one in value.split():
@@ -157,6 +163,19 @@ def named_off(tag: str, given: dict[str, str], in_article: bool) -> str:
     return "doubt" if doubt else ""
 
 
+def named_off_inside(given: dict[str, str]) -> str:
+    """The same inside <article> or <main>: there a class or id counts only if all its words say so, and not one part of it."""
+    found = ""
+    for one in f"{given.get('class', '')} {given.get('id', '')}".split():
+        parts = {x for x in names_in(one) if not x.isdigit()}
+        telling = parts & OFF_NAMES
+        if telling and parts <= OFF_NAMES | COMPANIONS:
+            if telling - AMBIGUOUS or len(parts) > 1:
+                return "off"
+            found = "doubt"
+    return found
+
+
 def marked_off(tag: str, rest: str, in_article: bool) -> str:
     """Whether an element is not part of an article, by its tag, role, names or style: "off", "doubt" or ""."""
     if tag in OFF_TAGS or (tag == "header" and not in_article):
@@ -240,8 +259,8 @@ class Page:
                 elif not off and names_article(name, rest):
                     self.parents.append(number)
                     number = len(self.parents) - 1
-            elif off and by_header and name in HEADINGS:
-                off = by_header = False  # the title in an article's header
+            elif off and by_header and (name in HEADINGS or name == "p"):
+                off = by_header = False  # the title and the lead in an article's header
             if not off:
                 self.items.append(("tag", name, "", links, number, inside))
             if name in VOID or rest.endswith("/") and name not in BLOCK and name not in RAW and name not in ("a", "b", "i", "span"):
@@ -341,7 +360,7 @@ def fit(pages: DataFrame, sample: int = 1_000, tag_cost: float = 5.0) -> Weights
             yield pd.DataFrame({"name": known, "within": [within[k] for k in known], "outside": [outside[k] for k in known]})
 
     sums = picked.mapInPandas(counted, "name string, within long, outside long").groupBy("name").agg(F.sum("within").alias("within"), F.sum("outside").alias("outside"))
-    found = {r.name: (r.within, r.outside) for r in sums.orderBy(F.desc(F.col("within") + F.col("outside")), "name").limit(1_000).collect()}
+    found = {r.name: (r.within, r.outside) for r in sums.collect()}  # names of the sampled pages
     if not found:
         return Weights()
     share = {k: (a + 1) / (a + b + 2) for k, (a, b) in found.items()}
