@@ -27,12 +27,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         top = tempfile.mkdtemp(prefix="panelwatch-")
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, `name` where it can be."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder, so that later jobs neither repeat the work nor depend on an executor.
 

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, table, unused
 
 LEVELS = ("domain", "lang", "source")
 DIGITS = 3
@@ -138,17 +138,20 @@ def with_plan(rows: DataFrame, plan: DataFrame, more: list[str] | None = None, h
     return joined.select("*", *[F.col(n).alias(c) for c, n in names.items() if c not in keys]).drop(*names.values())
 
 
-def taken(rows: DataFrame, plans: DataFrame, mix: Mix, leaf: dict[str, Column], doc_id: Column) -> DataFrame:
-    """rows once per epoch that takes them, with __epoch.  Columns of rows stay as they are."""
-    side = plans.select([F.col(c).alias(f"__p_{c}") for c in plans.columns])
+def taken(rows: DataFrame, plans: DataFrame, mix: Mix, leaf: dict[str, Column], doc_id: Column, epoch: str = "__epoch") -> DataFrame:
+    """rows once per epoch that takes them, with the epoch in a new column of that name.  Columns of rows stay as they are."""
+    mark = "__p"
+    while any(c.lower().startswith(mark) for c in rows.columns):
+        mark += "_"
+    side = plans.select([F.col(c).alias(f"{mark}_{c}") for c in plans.columns])
     side = F.broadcast(side) if side.count() <= MOST_LEAVES else side
-    joined = rows.join(side, [leaf[k].eqNullSafe(F.col(f"__p_{k}")) for k in LEVELS])
-    rest = order_key(mix.seed, F.col("__p_full"), doc_id) <= F.col("__p_last")
+    joined = rows.join(side, [leaf[k].eqNullSafe(F.col(f"{mark}_{k}")) for k in LEVELS])
+    rest = order_key(mix.seed, F.col(f"{mark}_full"), doc_id) <= F.col(f"{mark}_last")
     epochs = F.concat(
-        F.when(F.col("__p_full") > 0, F.sequence(F.lit(0), F.col("__p_full") - 1)).otherwise(F.array().cast("array<int>")),
-        F.when(rest, F.array("__p_full")).otherwise(F.array().cast("array<int>")),
+        F.when(F.col(f"{mark}_full") > 0, F.sequence(F.lit(0), F.col(f"{mark}_full") - 1)).otherwise(F.array().cast("array<int>")),
+        F.when(rest, F.array(f"{mark}_full")).otherwise(F.array().cast("array<int>")),
     )
-    return joined.withColumn("__epoch", F.explode(epochs)).drop(*side.columns)
+    return joined.withColumn(epoch, F.explode(epochs)).drop(*side.columns)
 
 
 def leaves_of(docs: DataFrame, mix: Mix) -> DataFrame:
@@ -166,7 +169,8 @@ def mixed_docs(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     """The taken rows of docs with their columns as they were, once per epoch that takes them."""
     plans = leaf_plans(cut(leaves_of(docs, mix)), mix)
     leaf = {"domain": domain_of(docs["source"], mix.domains), "lang": docs["lang"], "source": docs["source"]}
-    return taken(docs, plans, mix, leaf, docs["doc_id"]).drop("__epoch")
+    epoch = unused(docs, "__epoch")
+    return taken(docs, plans, mix, leaf, docs["doc_id"], epoch).drop(epoch)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

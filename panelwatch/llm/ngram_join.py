@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, connected_classes, mixed, sorted_groups, table, window_hashes, word_hashes, words_of
+from .common import cut, connected_classes, mixed, sorted_groups, table, unused, window_hashes, word_hashes, words_of
 
 #: Work of one block: its texts, each counted as 800 n-grams at least.
 BLOCK = 400_000
@@ -216,12 +216,13 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float
 
     Rows without words stay; of a class without ids one row stays; of repeated rows (equal doc_id and text) one stays.
     """
+    h1, h2 = unused(docs, "h1"), unused(docs, "h2")
     classes = ngram_classes(docs, n, threshold, recall)
     pick = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h1", "h2")
     alone = F.when(F.col("class_id").isNull() | ((F.col("n_links") == 0) & (F.col("class_id") == F.col("doc_id"))), F.col("h1"))
-    kept = classes.groupBy("class_id", alone.alias("alone")).agg(F.min(pick).alias("k")).select(F.col("k.h1").alias("__h1"), F.col("k.h2").alias("__h2")).distinct()
-    marked = docs.withColumns({"__h1": F.xxhash64("doc_id", "text"), "__h2": F.hash("text")})
-    return marked.join(kept, ["__h1", "__h2"], "left_semi").dropDuplicates(["__h1", "__h2"]).drop("__h1", "__h2")
+    kept = classes.groupBy("class_id", alone.alias("alone")).agg(F.min(pick).alias("k")).select(F.col("k.h1").alias(h1), F.col("k.h2").alias(h2)).distinct()
+    marked = docs.withColumns({h1: F.xxhash64("doc_id", "text"), h2: F.hash("text")})
+    return marked.join(kept, [h1, h2], "left_semi").dropDuplicates([h1, h2]).drop(h1, h2)
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

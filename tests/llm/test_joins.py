@@ -360,3 +360,12 @@ def test_sharding_of_a_row_repeated_many_times(spark, monkeypatch):
     assert sorted((r.doc_id, r.size) for r in found) == sorted((i, len(t) + 1) for i, t in rows)
     slots = {s: sorted(r.slot for r in found if r.shard == s) for s in range(16)}
     assert all(x == list(range(len(x))) for x in slots.values()) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_columns_that_share_a_helpers_name_stay(spark):
+    rows = [(i, f"{prose(i % 9, 30)}", "en", "src1") for i in range(30)]
+    more = documents(spark, rows).selectExpr("*", "'a' AS __h1", "'b' AS h1", "'c' AS __epoch", "'d' AS __p_full", "'e' AS h2")
+    for found in (ngram_join.keep_one(more), mixing.mixed_docs(more)):
+        assert found.columns == more.columns
+        assert {(r["__h1"], r["h1"], r["__epoch"], r["__p_full"], r["h2"]) for r in found.collect()} == {("a", "b", "c", "d", "e")}
+    assert ngram_join.keep_one(more).count() == 9
