@@ -54,14 +54,18 @@ def min_history(panel: DataFrame, n: int, key: str = "gvkey") -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Counts of the non-null values of several columns in one pass: (column, value, n)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    return (
-        df.select(F.inline(pairs))
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """Counts of the non-null values of several columns in one pass: (column, value, n).
+
+    Each column is a grouping set of its own type; values become text when they are counted.
+    """
+    marks = {c: f"_set_{i}" for i, c in enumerate(columns)}
+    counted = df.groupingSets([[F.col(c)] for c in columns], *[F.col(c) for c in columns]).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.grouping(c).alias(mark) for c, mark in marks.items()]
     )
+    here = {c: F.col(mark) == 0 for c, mark in marks.items()}
+    column = F.coalesce(*[F.when(here[c], F.lit(c)) for c in columns])
+    value = F.coalesce(*[F.when(here[c], F.col(c).cast("string")) for c in columns])
+    return counted.select(column.alias("column"), value.alias("value"), F.col("_n").alias("n")).where("value IS NOT NULL")
 
 
 def sum_lines(groups: DataFrame, *lines: tuple[str, str]) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import answers
 from ..functions.scalars import date_or_null, has_name, number_text
 from ..operators import label, verify
 from ..operators.events import confident_verdicts, in_year, value_counts, verified_acquisitions
-from ..operators.ordered import with_prior_sums
+from ..operators.ordered import stored, with_prior_sums
 from ..sources import readers, writers
 from .detectors import union_detections
 
@@ -49,6 +49,18 @@ def reverify_year(
     return verify.upsert_verdicts(events, verify.verdicts_from_answers(admitted))
 
 
+def upsert_stored(events_path: str, verdicts: DataFrame, by: str = "year") -> None:
+    """Write verdicts (see :func:`verify.upsert_verdicts`) onto an events folder laid out by ``by``, rewriting only what they touch.
+
+    The folder's events carry the verdict columns, empty at first (see ``pad_event_schema``).  Two events may share a partition, so a partition that holds one new verdict is written anew as a whole; the others, usually most
+    of the folder, are neither read beyond their keys nor written.
+    """
+    events = verdicts.sparkSession.read.parquet(events_path)
+    touched = stored(events.select("seq", by).join(verdicts.select("seq"), "seq", "left_semi").select(by).distinct(), "touched")
+    changed = verify.upsert_verdicts(events.join(touched, by, "left_semi"), verdicts)
+    writers.overwrite_partitions(stored(changed, "changed"), events_path, by)
+
+
 def reverified_year_summary(updated: DataFrame, year: int) -> DataFrame:
     return verify.year_summary(in_year(updated, year, date_or_null("event_date")))
 

@@ -25,6 +25,12 @@ def write_labeled_parquet(labeled: DataFrame, path: str, by: str = "year") -> No
     ranged.write.mode("overwrite").partitionBy(by).parquet(path)
 
 
+def overwrite_partitions(rows: DataFrame, path: str, by: str = "year") -> None:
+    """Replace only those partitions of a folder of which there are rows; the files of all others stay as they are."""
+    ranged = rows.repartitionByRange(by, "gvkey").sortWithinPartitions(by, "gvkey")
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
 def write_firm_table(panel: DataFrame, table: str, path: str, buckets: int = 200, key: str = "gvkey", order: tuple[str, ...] = ("date", "iid")) -> None:
     """A panel as a table bucketed by firm and sorted inside each bucket.
 

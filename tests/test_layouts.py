@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from panelwatch.operators import events, ordered
+from panelwatch.plans import workflows
 from panelwatch.sources import readers, writers
 
 SCHEMA = "gvkey long, prc double, name string"
@@ -87,3 +88,26 @@ def test_a_table_of_an_earlier_session(spark, tmp_path):
     panel, path = firm_table(spark, tmp_path, "panel_earlier")
     again = readers.read_firm_table(spark, "panel_again", path)
     assert "SelectedBucketsCount: 1 out of 16" in plan_of(events.min_history(again.where(F.col("gvkey") == 4), 1)) and rows(again) == rows(panel)
+
+
+def test_new_verdicts_rewrite_their_years_alone(spark, tmp_path):
+    path = str(tmp_path / "events")
+    events_table = spark.range(90).selectExpr("id AS seq", "id % 7 AS gvkey", "CAST(2000 + id % 3 AS INT) AS year")
+    events_table = events.ensure_columns(events_table, events.VERDICT_SCHEMA)
+    writers.write_labeled_parquet(events_table.withColumn("date", F.lit("2000-01-01")), path)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "events").rglob("*.parquet")}
+    fields = {"verified": "true", "actual_event_type": "'merger'", "actual_date": "'2001-02-03'", "llm_confidence": "'high'", "details": "'d'", "acquirer": "'a'", "acquisition_price": "1.0"}
+    verdicts = spark.range(1).selectExpr("4L AS seq", *[f"{v} AS {c}" for c, v in fields.items()])
+    workflows.upsert_stored(path, verdicts)
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "events").rglob("*.parquet")}
+    kept = {f for f in before if "year=2001" not in str(f)}
+    assert kept and all(after.get(f) == before[f] for f in kept) and kept == {f for f in after if "year=2001" not in str(f)}
+    found = spark.read.parquet(path)
+    assert found.count() == 90 and [(r.seq, r.year, r.details) for r in found.where("verified").collect()] == [(4, 2001, "d")]
+
+
+def test_value_counts_are_grouping_sets(spark):
+    df = spark.createDataFrame([("a", True, 1), ("a", None, 2), (None, False, 1), ("b", True, None)], "k string, b boolean, n int")
+    found = events.value_counts(df, ["k", "b", "n"])
+    assert rows(found) == [("b", "false", 1), ("b", "true", 2), ("k", "a", 2), ("k", "b", 1), ("n", "1", 2), ("n", "2", 1)]
+    assert "Generate" not in plan_of(found) and "Expand" in plan_of(found)
