@@ -137,11 +137,19 @@ def tokens(text: Column) -> Column:
     return F.floor(F.length(text) / 4).cast("long")
 
 
-def request_cost(prompt: Column, answer: Column, model: str = PRICED_MODEL) -> Column:
-    """Exact decimal dollars, so budgets add up the same in any order."""
-    if model not in PRICES:
-        return F.lit(DEFAULT_PRICE).cast("decimal(20,12)")
-    per_input, per_output = (F.lit(p).cast("decimal(8,4)") for p in PRICES[model])
+def call_cost(prompt: Column, answer: Column, per_input: Column, per_output: Column, per_call: Column) -> Column:
+    """Exact decimal dollars, so budgets add up the same in any order.
+
+    Prices are per million tokens; a model without both of them costs ``per_call``, or the default price.
+    """
+    price = lambda c: c.cast("decimal(8,4)")
     million = F.lit("0.000001").cast("decimal(8,6)")
-    dollars = (tokens(prompt).cast("decimal(12,0)") * per_input + tokens(answer).cast("decimal(12,0)") * per_output) * million
-    return dollars.cast("decimal(20,12)")
+    dollars = (tokens(prompt).cast("decimal(12,0)") * price(per_input) + tokens(answer).cast("decimal(12,0)") * price(per_output)) * million
+    other = F.coalesce(per_call.cast("decimal(20,12)"), F.lit(DEFAULT_PRICE).cast("decimal(20,12)"))
+    return F.when(per_input.isNull() | per_output.isNull(), other).otherwise(dollars.cast("decimal(20,12)"))
+
+
+def request_cost(prompt: Column, answer: Column, model: str = PRICED_MODEL) -> Column:
+    """Cost of a call to a model at the built-in prices."""
+    per_input, per_output = PRICES.get(model, (None, None))
+    return call_cost(prompt, answer, F.lit(per_input), F.lit(per_output), F.lit(None))

@@ -15,6 +15,8 @@ from ..functions.scalars import date_or_null
 from .ordered import first_by
 
 DISTRESS_DAYS = 60
+#: Days of a calendar bin in which windows and dates of a firm meet.
+BIN_DAYS = 128
 BEFORE_EVENT = ("bankruptcy", "merger", "acquisition")
 
 # What a labelling summary says about the filters behind it.
@@ -40,12 +42,17 @@ def event_windows(events: DataFrame) -> DataFrame:
     )
 
 
+def _bin(date: str) -> Column:
+    return F.floor(F.unix_date(F.col(date)) / BIN_DAYS)
+
+
 def label_windows(panel: DataFrame, events: DataFrame, key: str = "gvkey") -> DataFrame:
     """Label each panel row with the last event (by ``seq``) whose window holds its date.
 
-    ``events`` has key, seq, actual_event_type, event_date, llm_confidence, details.  Windows
-    become days, only days that occur in the panel are kept, and per (firm, day) the last event
-    wins, so each panel row meets at most one row.
+    ``events`` has key, seq, actual_event_type, event_date, llm_confidence, details.  An interval join
+    by calendar bins: a window has a row per bin it touches, a (firm, date) of the panel lies in one
+    bin, and inside a bin the dates are compared.  Per (firm, date) the last event wins, so each
+    panel row meets at most one row.
     """
     label = F.struct(
         F.col("actual_event_type").alias("event_label"),
@@ -59,13 +66,13 @@ def label_windows(panel: DataFrame, events: DataFrame, key: str = "gvkey") -> Da
         .groupBy(key, "lo", "hi")
         .agg(F.max("seq").alias("seq"), F.max_by(label, "seq").alias("label"))
     )
-    # Only days between the panel's first and last date are made, whatever dates an event names.
+    # Only bins between the panel's first and last date are made, whatever dates an event names.
     first, last = panel.agg(F.min("date")).scalar(), panel.agg(F.max("date")).scalar()
     windows = windows.withColumns({"lo": F.greatest("lo", first), "hi": F.least("hi", last)}).where("lo <= hi")
-    # The distinct dates of a panel are calendar days, a few ten thousand at most: safe to broadcast.
-    calendar = F.broadcast(panel.select("date").distinct())
-    days = windows.withColumn("date", F.explode(F.sequence("lo", "hi"))).join(calendar, "date", "left_semi")
-    winners = days.groupBy(key, "date").agg(F.max_by("label", "seq").alias("_label"))
+    binned = windows.withColumn("_bin", F.explode(F.sequence(_bin("lo"), _bin("hi"))))
+    dates = panel.select(key, "date").distinct().withColumn("_bin", _bin("date"))
+    covered = dates.join(binned, [key, "_bin"]).where(F.col("date").between(F.col("lo"), F.col("hi")))
+    winners = covered.groupBy(key, "date").agg(F.max_by("label", "seq").alias("_label"))
     labeled = panel.join(winners, [key, "date"], "left")
     return labeled.withColumns(
         {

@@ -119,11 +119,23 @@ def with_metadata(verdicts: DataFrame, events: DataFrame, on: str = "seq") -> Da
     return verdicts.drop(*known).withColumnRenamed("response_text", "llm_response").join(detected, on)
 
 
-def with_cost(responses: DataFrame, model: str = answers.PRICED_MODEL) -> DataFrame:
-    """Add the cost of each answered call; a failed call costs nothing."""
-    cost = answers.request_cost(F.col("prompt"), F.col("response_text"), model)
+def with_cost(responses: DataFrame, model: str = answers.PRICED_MODEL, prices: DataFrame | None = None) -> DataFrame:
+    """Add the cost of each answered call; a failed call costs nothing.
+
+    With a table ``prices`` (model, per_input, per_output, per_call), each call is priced by the model
+    named in its row (``model`` where the row names none), and models outside the table cost the
+    default.  A model listed more than once takes its dearest prices, and no call is counted twice.
+    """
     free = F.lit(0).cast("decimal(20,12)")
-    return responses.withColumn("cost", F.when(F.col("error_text").isNull(), cost).otherwise(free))
+    if prices is None:
+        cost = answers.request_cost(F.col("prompt"), F.col("response_text"), model)
+        return responses.withColumn("cost", F.when(F.col("error_text").isNull(), cost).otherwise(free))
+    columns = ("per_input", "per_output", "per_call")
+    listed = prices.groupBy(F.col("model").alias("_model")).agg(*[F.max(F.col(c).cast("decimal(20,12)")).alias(f"_{c}") for c in columns])
+    named = F.coalesce("model", F.lit(model)) if "model" in responses.columns else F.lit(model)
+    cost = answers.call_cost(F.col("prompt"), F.col("response_text"), *[F.col(f"_{c}") for c in columns])
+    priced = responses.withColumn("_model", named).join(listed, "_model", "left")
+    return priced.withColumn("cost", F.when(F.col("error_text").isNull(), cost).otherwise(free)).drop("_model", *[f"_{c}" for c in columns])
 
 
 def admit_within_budget(

@@ -125,6 +125,23 @@ def test_cost_uses_quarter_length_tokens(spark):
     assert float(other) == pytest.approx(0.0003)
 
 
+def test_prices_of_many_models_from_a_table(spark):
+    listed = [("small", "0.25", "1.25", None), ("small", "0.20", "1.25", None), ("flat", None, None, "0.003"), ("half", "1", None, None), (None, "9", "9", None)]
+    prices = spark.createDataFrame(listed, "model string, per_input string, per_output string, per_call string")
+    calls = [(1, "small", None), (2, "flat", None), (3, "half", None), (4, "unlisted", None), (5, None, None), (6, "small", "timeout")]
+    df = spark.createDataFrame([(s, m, "x" * 4003, "y" * 399, e) for s, m, e in calls], "seq long, model string, prompt string, response_text string, error_text string")
+    by_tokens = 1000 / 1e6 * 0.25 + 99 / 1e6 * 1.25
+    got = verify.with_cost(df, "small", prices)
+    assert got.columns == [*df.columns, "cost"] and got.schema["cost"].dataType.simpleString() == "decimal(20,12)"
+    want = {1: by_tokens, 2: 0.003, 3: 0.0003, 4: 0.0003, 5: by_tokens, 6: 0}
+    assert {r.seq: float(r.cost) for r in got.collect()} == pytest.approx(want)
+    assert rows(got.where("model = 'small'").select("cost")) == rows(verify.with_cost(df).where("model = 'small'").select("cost"))
+    one = verify.with_cost(df.drop("model"), "flat", prices)  # no model in the rows: one for all
+    assert {float(r.cost) for r in one.where("seq < 6").collect()} == {0.003}
+    none = verify.with_cost(df, "small", prices.limit(0))
+    assert {float(r.cost) for r in none.where("seq < 6").collect()} == {0.0003}
+
+
 def test_reverify_year_against_a_loop(spark):
     rnd = random.Random(2)
     events, responses = [], []

@@ -57,6 +57,31 @@ def test_windows(spark, seed):
     assert rows(got) == sorted(((*k, *v) for k, v in want.items()), key=str)
 
 
+def test_long_windows_make_few_rows(spark):
+    """A halt over decades, one without end and events far outside the panel; firm 0 has most rows and 400 events."""
+    rnd = random.Random(7)
+    panel = [(g, i, START + timedelta(days=7 * d)) for g in range(3) for d in range(1000) for i in range(3 if g == 0 else 1)]
+    far = [(1, 1, START - timedelta(days=40_000), START + timedelta(days=2_000_000)), (2, 2, date(1600, 1, 1), date(1700, 1, 1)), (3, 2, START, START + timedelta(days=7000))]
+    many = []
+    for seq in range(10, 410):
+        lo = START + timedelta(days=rnd.randint(0, 7000))
+        many.append((seq, 0, lo, lo + timedelta(days=rnd.choice([0, 1, 127, 128, 129, 900]))))
+    events = far + many
+    table = [(s, g, "halt", lo, hi, "high", "d") for s, g, lo, hi in events]
+    schema = "seq long, gvkey long, actual_event_type string, event_date date, halt_end_date date, llm_confidence string, details string"
+    got = label.label_windows(spark.createDataFrame(panel, "gvkey long, iid int, date date"), spark.createDataFrame(table, schema))
+    want = []
+    for g, iid, day in panel:
+        last = max(((s, lo) for s, f, lo, hi in events if f == g and lo <= day <= hi), default=None)
+        want.append((g, iid, day, last and last[1]))
+    assert rows(got.select("gvkey", "iid", "date", "event_date")) == sorted(want, key=str)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "Cartesian" not in plan
+    bins = label._bin("lo"), label._bin("hi")
+    halt = spark.createDataFrame([(START, START + timedelta(days=7305))], "lo date, hi date")
+    assert 50 < halt.select(bins[1] - bins[0]).collect()[0][0] < 70  # 20 years
+
+
 @pytest.mark.parametrize("seed", [4, 5, 6])
 def test_acquisitions(spark, seed):
     panel, events = make(seed)
