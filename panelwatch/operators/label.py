@@ -15,7 +15,7 @@ from ..functions.scalars import date_or_null
 from .ordered import first_by
 
 DISTRESS_DAYS = 60
-#: Days of a calendar bin in which windows and dates of a firm meet.
+#: Days of a calendar bin in which windows and the panel's dates meet.
 BIN_DAYS = 128
 BEFORE_EVENT = ("bankruptcy", "merger", "acquisition")
 
@@ -50,9 +50,9 @@ def label_windows(panel: DataFrame, events: DataFrame, key: str = "gvkey") -> Da
     """Label each panel row with the last event (by ``seq``) whose window holds its date.
 
     ``events`` has key, seq, actual_event_type, event_date, llm_confidence, details.  An interval join
-    by calendar bins: a window has a row per bin it touches, a (firm, date) of the panel lies in one
-    bin, and inside a bin the dates are compared.  Per (firm, date) the last event wins, so each
-    panel row meets at most one row.
+    by calendar bins: a window has a row per bin it touches, a date of the panel lies in one bin, and
+    inside a bin the dates are compared, so no day without rows is ever made.  Per (firm, date) the
+    last event wins, and each panel row meets at most one row.
     """
     label = F.struct(
         F.col("actual_event_type").alias("event_label"),
@@ -70,8 +70,9 @@ def label_windows(panel: DataFrame, events: DataFrame, key: str = "gvkey") -> Da
     first, last = panel.agg(F.min("date")).scalar(), panel.agg(F.max("date")).scalar()
     windows = windows.withColumns({"lo": F.greatest("lo", first), "hi": F.least("hi", last)}).where("lo <= hi")
     binned = windows.withColumn("_bin", F.explode(F.sequence(_bin("lo"), _bin("hi"))))
-    dates = panel.select(key, "date").distinct().withColumn("_bin", _bin("date"))
-    covered = dates.join(binned, [key, "_bin"]).where(F.col("date").between(F.col("lo"), F.col("hi")))
+    # The distinct dates of a panel are calendar days, a few ten thousand at most: safe to broadcast.
+    calendar = F.broadcast(panel.select("date").distinct().withColumn("_bin", _bin("date")))
+    covered = binned.join(calendar, "_bin").where(F.col("date").between(F.col("lo"), F.col("hi")))
     winners = covered.groupBy(key, "date").agg(F.max_by("label", "seq").alias("_label"))
     labeled = panel.join(winners, [key, "date"], "left")
     return labeled.withColumns(
