@@ -89,6 +89,12 @@ def test_price_given_as_text(spark):
     assert [r.v.acquisition_price for r in df.select(answers.parse_verdict(F.col("t")).alias("v")).collect()] == [12.5, None]
 
 
+def test_of_a_repeated_key_the_last_counts(spark):
+    df = spark.createDataFrame([('{"verified": true, "details": "a", "verified": false}',)], "t string")
+    got = df.select(answers.parse_verdict(F.col("t")).alias("v")).collect()[0].v
+    assert got.verified is False and got.details == "a"
+
+
 def test_errors_and_stops(spark):
     table = [
         (1, GOOD, None),
