@@ -5,8 +5,10 @@ is one n-gram.  Two texts are linked if the Jaccard similarity of their n-gram s
 
 1. Texts with equal n-gram sets are one node.  Each node gets a MinHash signature, cut into bands.  `choose_bands` takes the rows
    per band and then the fewest bands that find a pair at the threshold with the target recall (0.99999 gives 22 bands of 4).
-2. Nodes meet in buckets by band hash.  A bucket yields one edge per node, to its smallest node, and edges make candidate groups:
-   so neither a large bucket nor a large group ever becomes all its pairs.
+2. Nodes meet in buckets by band hash.  Two that meet are candidates if their sizes allow the threshold and their whole signatures
+   agree as often as linked sets do but for a chance of `miss`; so weakly similar texts that share a bucket make no chains.  Each node
+   of a bucket is tried with the bucket's smallest node first.  Buckets that still hold several groups are dealt into blocks, where
+   only nodes outside the largest group meet all others, and a task returns a spanning forest of the groups, no pairs.
 3. Nodes of a candidate group are verified on their full n-gram sets (64-bit hashes of all n-grams), each pair once: inside the
    group, whether or not the two share a bucket.  A large group is dealt into blocks of some 500 texts, and pairs of blocks go to
    separate tasks; a task counts intersections by matrix products and returns a count per text and a spanning forest, no pairs.
@@ -31,12 +33,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, connected_classes, mixed, sorted_groups, table, unused, window_hashes, word_hashes, words_of
+from .common import connected_classes, cut, mixed, sorted_groups, table, unused, window_hashes, word_hashes, words_of
+from .minhash_index import match_threshold
 
 #: Work of one block: its texts, each counted as 800 n-grams at least.
 BLOCK = 400_000
 LEAST = 800
 
+#: Nodes on each side of a meeting inside a bucket.
+MEETING = 500
+
 
 def choose_bands(threshold: float = 0.8, recall: float = 0.99999, most_hashes: int = 128) -> tuple[int, int]:
     """(bands, rows per band): the most rows, for few chance meetings, whose bands reach the recall at the threshold within `most_hashes`."""
@@ -63,13 +69,13 @@ def set_key(grams: np.ndarray) -> bytes:
 
 
 def signer(bands: int, rows: int, seed: int = 1):
-    """grams -> one 64-bit hash per band."""
+    """grams -> one 64-bit hash per band, and a byte per signature coordinate."""
     rng = np.random.default_rng(seed)
     flips = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)[:, None]
     factors = (rng.integers(0, 1 << 31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
     salt = mixed(np.arange(1, bands + 1, dtype=np.uint64))
 
-    def sign(grams: np.ndarray) -> np.ndarray:
+    def sign(grams: np.ndarray) -> tuple[np.ndarray, bytes]:
         low = np.full(bands * rows, 0xFFFFFFFF, np.uint32)
         short = (grams >> np.uint64(32)).astype(np.uint32)
         for i in range(0, len(short), 4096):
@@ -77,28 +83,93 @@ def signer(bands: int, rows: int, seed: int = 1):
         out = salt.copy()
         for column in low.reshape(bands, rows).T.astype(np.uint64):
             out = mixed(out * np.uint64(31) + column)
-        return out.view(np.int64)
+        return out.view(np.int64), ((low * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
 
     return sign
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, h1 and h2 (which tell rows by id and text), node, n_grams, bands.  node and bands are null without n-grams."""
+    """doc_id, h1 and h2 (which tell rows by id and text), node, n_grams, bands, sketch.  node, bands and sketch are null without n-grams."""
 
-    @F.pandas_udf("node binary, n_grams int, bands array<long>")
+    @F.pandas_udf("node binary, n_grams int, bands array<long>, sketch binary")
     def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes, sign = word_hashes(), signer(bands, rows)
         for texts in batches:
             found = []
             for text in texts:
                 grams = gram_set(text, n, hashes)
-                found.append((set_key(grams), len(grams), sign(grams)) if len(grams) else (None, 0, None))
-            yield pd.DataFrame(found, columns=["node", "n_grams", "bands"])
+                found.append((set_key(grams), len(grams), *sign(grams)) if len(grams) else (None, 0, None, None))
+            yield pd.DataFrame(found, columns=["node", "n_grams", "bands", "sketch"])
 
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("h1"), F.hash("text").alias("h2"), signed("text").alias("s"))
     return keyed.select("doc_id", "h1", "h2", "s.*")
 
 
+def sketch_rows(sketches: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+
+
+def close_groups(meeting: pd.DataFrame, least: int, threshold: float) -> list[tuple[bytes, bytes]]:
+    """Edges (a, b) that connect the groups of one meeting whose nodes may be linked."""
+    other = meeting["other"].to_numpy(bool)
+    left, right = meeting[other], meeting[~other]
+    if not len(left) or not len(right):
+        return []
+    a, b = sketch_rows(left["sketch"]), sketch_rows(right["sketch"])
+    names, codes = np.unique(np.concatenate([left["group"], right["group"]]), return_inverse=True)
+    of_a, of_b = codes[: len(left)], codes[len(left) :]
+    n_a, n_b = left["n_grams"].to_numpy()[:, None], right["n_grams"].to_numpy()[None, :]
+    may = (of_a[:, None] != of_b[None, :]) & (np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b) - 1e-9)
+    x, y = np.nonzero(may)
+    linked = np.zeros((len(names), len(names)), bool)
+    for i in range(0, len(x), 65_536):
+        p, q = x[i : i + 65_536], y[i : i + 65_536]
+        hit = np.count_nonzero(a[p] == b[q], axis=1) >= least
+        linked[of_a[p[hit]], of_b[q[hit]]] = True
+    return [(names[i], names[r]) for i, r in enumerate(forest(linked | linked.T)) if i != r]
+
+
+def candidate_groups(nodes: DataFrame, bands: int, rows: int, threshold: float, miss: float = 1e-6) -> DataFrame:
+    """(node, class): nodes (node, n_grams, bands, sketch) that share a bucket and may be linked share a class; lone nodes are left out."""
+    least = max(1, match_threshold(bands * rows, threshold, miss))
+    signed = nodes.select("node", "n_grams", "sketch")
+    listed = nodes.select("node", F.explode("bands").alias("bucket"))
+    met = listed.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("high"), F.count("*").alias("n")).where("head <> high").drop("high")
+    placed = cut(listed.join(met, "bucket"))
+
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        if not len(a):
+            return pd.Series([], dtype=bool)
+        return pd.Series(np.count_nonzero(sketch_rows(a) == sketch_rows(b), axis=1) >= least)
+
+    heads = signed.select(F.col("node").alias("head"), F.col("n_grams").alias("head_n"), F.col("sketch").alias("head_sketch"))
+    sized = F.least("n_grams", "head_n") >= F.lit(threshold) * F.greatest("n_grams", "head_n") - 1e-9
+    tried = placed.where("node <> head").select("node", "head").distinct().join(signed, "node").join(heads, "head").where(sized)
+    groups = connected_classes(tried.where(alike("sketch", "head_sketch")).select(F.col("node").alias("a"), F.col("head").alias("b")))
+
+    grouped = placed.where("n > 2").join(groups, "node", "left").select("bucket", "node", F.coalesce("class", "node").alias("group"))
+    sizes = grouped.groupBy("bucket", "group").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("group", F.struct("n", "group")).alias("major"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    open_buckets = sizes.where("n > most").select("bucket", "major", F.ceil((F.col("n") - F.col("most")) / MEETING).cast("int").alias("wide"), F.ceil(F.col("n") / MEETING).cast("int").alias("deep"))
+    block = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+    up_to = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+    as_one_of_all = F.transform(up_to("wide"), lambda i: F.struct(i.alias("i"), block("deep").alias("j"), F.lit(False).alias("other")))
+    as_other = F.transform(up_to("deep"), lambda j: F.struct(block("wide").alias("i"), j.alias("j"), F.lit(True).alias("other")))
+    seats = F.when(F.col("group") == F.col("major"), as_one_of_all).otherwise(F.concat(as_one_of_all, as_other))
+    keys = ["bucket", "i", "j"]
+    meetings = grouped.join(open_buckets, "bucket").join(signed, "node").withColumn("seat", F.explode(seats)).select("bucket", "seat.*", "group", "n_grams", "sketch")
+
+    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for meeting in sorted_groups(batches, keys):
+            if edges := close_groups(meeting, least, threshold):
+                yield pd.DataFrame(edges, columns=["a", "b"])
+
+    between = connected_classes(meetings.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(joined, "a binary, b binary"))
+    lone = between.join(groups, "node", "left_anti").select("node", F.col("node").alias("class"))
+    upper = between.select(F.col("node").alias("class"), F.col("class").alias("top"))
+    return groups.unionByName(lone).join(upper, "class", "left").select("node", F.coalesce("top", "class").alias("class"))
+
+
 def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all left with all right sets, by matrix products over the n-grams that both sides hold."""
     a, b = np.concatenate(left), np.concatenate(right)
@@ -169,18 +240,18 @@ def ngram_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: f
     """doc_id, h1, h2, class_id, n_links, n_text_links of every row of docs (doc_id, text)."""
     bands, rows = choose_bands(threshold, recall)
     keyed = cut(signatures(docs, n, bands, rows))
-    nodes = keyed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.min(F.struct("h1", "h2")).alias("row"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"))
-    signed = keyed.where("node is not null").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket"))
-    met = signed.groupBy("bucket").agg(F.min("node").alias("b"), F.max("node").alias("high")).where("b <> high").drop("high")
-    candidates = connected_classes(signed.join(met, "bucket").select(F.col("node").alias("a"), "b"))
+    some = keyed.where("node is not null").groupBy("node")
+    nodes = cut(some.agg(F.min("doc_id").alias("doc"), F.min(F.struct("h1", "h2")).alias("row"), F.count("*").alias("copies"), F.first(F.struct("n_grams", "bands", "sketch")).alias("s")).select("node", "doc", "row", "copies", "s.*"))
+    candidates = candidate_groups(nodes, bands, rows, threshold)
 
-    members = cut(candidates.join(nodes, "node"))
+    members = cut(candidates.join(nodes.drop("bands", "sketch"), "node"))
     work = F.greatest(F.col("n_grams"), F.lit(LEAST))
     spread = members.groupBy("class").agg(F.ceil(F.sum(work) / BLOCK).cast("int").alias("blocks"))
     placed = members.join(spread, "class").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = docs.select(F.struct(F.xxhash64("doc_id", "text").alias("h1"), F.hash("text").alias("h2")).alias("row"), "text").dropDuplicates(["row"])  # one text of repeated rows
+    texts = docs.select(F.struct(F.xxhash64("doc_id", "text").alias("h1"), F.hash("text").alias("h2")).alias("row"), "text")
     meeting = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, "block").alias("p"), F.greatest(i, "block").alias("q"))))
-    pairs = texts.join(placed, "row").select("class", "node", "text", "copies", "block", meeting.alias("m")).select("class", "m.p", "m.q", "node", "text", "copies", "block")
+    of_members = texts.join(placed, "row").dropDuplicates(["row"])  # one text of repeated rows
+    pairs = of_members.select("class", "node", "text", "copies", "block", meeting.alias("m")).select("class", "m.p", "m.q", "node", "text", "copies", "block")
     keys = ["class", "p", "q"]
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

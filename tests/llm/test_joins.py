@@ -110,6 +110,41 @@ def test_near_copies_without_ids_are_linked(spark):
     assert len(kept) == classes - sum(i % 3 == 0 and not (t or "").split() for i, t, *_ in with_ids) + len({t for i, t, *_ in with_ids if i % 3 == 0 and not (t or "").split()})
 
 
+def test_weakly_similar_texts_make_no_chain(spark):
+    words = prose(78, 4_100).split()
+    rows = [(i, " ".join(words[20 * i : 20 * i + 60]), "en", "s") for i in range(200)]  # neighbours at 0.47, most of them share a bucket
+    bands, width = ngram_join.choose_bands()
+    keyed = ngram_join.signatures(documents(spark, rows), 5, bands, width)
+    shared = keyed.select("node", F.explode("bands").alias("b")).groupBy("b").count().where("count > 1").count()
+    sizes = [r["count"] for r in ngram_join.candidate_groups(keyed, bands, width, 0.8).groupBy("class").count().collect()]
+    assert shared > 100 and sum(sizes) < 40 and max(sizes, default=0) <= 4
+
+
+@pytest.mark.parametrize("meeting", [ngram_join.MEETING, 3])
+def test_groups_of_a_bucket_meet_beside_its_smallest_node(spark, monkeypatch, meeting):
+    monkeypatch.setattr(ngram_join, "MEETING", meeting)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, (4, 88), dtype=np.uint8)
+    base[3, :44], base[3, 44:] = base[1, :44], rng.integers(0, 256, 44)  # like family 1 in half of the coordinates
+    nodes, expected = [], defaultdict(set)
+    for i in range(40):
+        family = i % 4
+        sketch = base[family].copy()
+        sketch[rng.integers(0, 88, 4)] = 7
+        size = 1_000 if i == 38 else 100  # the sizes of node 38 and its family forbid a link
+        nodes.append((bytes([i] * 16), size, [1, 2 + family], sketch.tobytes()))
+        expected["alone" if i == 38 else family].add(bytes([i] * 16))
+    bridge = base[1].copy()
+    bridge[:30] = base[0, :30]
+    nodes += [(bytes([200] * 16), 100, [1], bridge.tobytes())]
+    expected[1].add(bytes([200] * 16))
+    found = ngram_join.candidate_groups(spark.createDataFrame(nodes, "node binary, n_grams int, bands array<long>, sketch binary"), 22, 4, 0.8)
+    classes = defaultdict(set)
+    for r in found.collect():
+        classes[bytes(r["class"])].add(bytes(r["node"]))
+    assert sorted(map(sorted, classes.values())) == sorted(sorted(x) for k, x in expected.items() if k != "alone")
+
+
 def test_bands_reach_the_recall():
     for recall in (0.9, 0.999, 0.99999):
         bands, rows = ngram_join.choose_bands(0.8, recall)
