@@ -6,9 +6,9 @@ its length (one pair of limits per power of two bytes), and so must the ratios o
 4,096 bytes or more are cut into chunks of that size, the last of which ends with the text and may overlap the one before, so
 every byte is judged.
 
-Limits are fitted on labelled good texts, at most `sample` of them (10,000; those with the smallest hash of doc_id): the 0.5 % and
-99.5 % quantiles of a length, widened by `margin`; for chunks, of each text's lowest and highest chunk; and the share of chunks that 99.5 %
-of the good texts keep inside.  Lengths with fewer than `least` labelled texts use the limits of the next shorter length
+Limits are fitted on all labelled good texts: the exact 0.5 % and 99.5 % quantiles of a length, widened by `margin`; for chunks, of each
+text's lowest and highest chunk; and the share of chunks that 99.5 % of the good texts keep inside.  Every text is measured where it
+lies and only its ratios meet the labels, so no text is shuffled; quantiles are taken over sorted ranges, so no task holds all ratios.  Lengths with fewer than `least` labelled texts use the limits of the next shorter length
 that has any, fitted or DEFAULT_BANDS.
 
 Defined cases: a null text is an empty one: no words, base_failed, not kept.  Rows are judged one by one, so repeated rows and
@@ -27,7 +27,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Remembered, cut, hash_sample, table, window_hashes, word_hashes
+from ..operators.quantiles import column_quantile, group_quantiles
+from .common import Remembered, cut, table, window_hashes, word_hashes
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -128,33 +129,36 @@ def verdict_of(bands: Bands):
     return judged
 
 
-def fit_bands(docs: DataFrame, labels: DataFrame, sample: int = 10_000, least: int = 40, margin: float = 0.04, base: Bands = Bands()) -> Bands:
-    """Limits from labelled good texts (quality = 1), at most `sample` of them."""
-    good = hash_sample(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", sample)
-    texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(good), "doc_id").select("text")
+def fit_bands(docs: DataFrame, labels: DataFrame, least: int = 40, margin: float = 0.04, base: Bands = Bands()) -> Bands:
+    """Limits from all labelled good texts (quality = 1)."""
 
     def measured(batches):
         compressor = zstandard.ZstdCompressor(level=base.level)
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for i, text in zip(batch["doc_id"], batch["text"]):
                 data = text.encode("utf-8", "surrogatepass")
                 whole, chunks = ratios(data, base, compressor)
-                rows.append((max(len(data), 1).bit_length() - 1, whole, chunks))
-            yield pd.DataFrame(rows, columns=["k", "ratio", "chunks"])
-
-    found = cut(texts.mapInPandas(measured, "k int, ratio double, chunks array<double>"))  # one row per sampled text
-    edges = lambda low, high: F.array(F.percentile(low, 0.005), F.percentile(high, 0.995)).alias("q")
-    widened = lambda q: (q[0] * (1 - margin), q[1] * (1 + margin))
-    stats = found.groupBy("k").agg(F.count("*").alias("n"), edges("ratio", "ratio"))
-    whole = dict(base.whole) | {r.k: widened(r.q) for r in stats.collect() if r.n >= least}  # one row per power of two
+                rows.append((i, max(len(data), 1).bit_length() - 1, whole, chunks))
+            yield pd.DataFrame(rows, columns=["doc_id", "k", "ratio", "chunks"])
+
+    texts = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    each = texts.mapInPandas(measured, f"doc_id {kind}, k int, ratio double, chunks array<double>")
+    found = cut(each.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi").drop("doc_id"))  # one row per good text
+    counts = {r.k: r.n for r in found.groupBy("k").agg(F.count("*").alias("n")).collect()}  # one row per power of two
     cut_up = found.where(F.size("chunks") > 0)
-    long = cut_up.agg(F.count("*").alias("n"), edges(F.array_min("chunks"), F.array_max("chunks"))).first()
-    if long.n < least:
+    wholes = found.select("k", F.col("ratio").alias("low"), F.col("ratio").alias("high"))
+    chunks = cut_up.select(F.lit(-1).alias("k"), F.array_min("chunks").alias("low"), F.array_max("chunks").alias("high"))
+    edges = group_quantiles(wholes.unionByName(chunks), "k", ["low", "high"], [0.005, 0.995])
+    widened = {r.k: (r.low * (1 - margin), r.high * (1 + margin)) for r in edges.collect()}  # and one of the chunks
+    whole = dict(base.whole) | {k: widened[k] for k, n in counts.items() if n >= least}
+    if cut_up.count() < least:
         return Bands(whole, base.chunk, base.size, base.chunk_share, base.level, base.least_bytes)
-    low, high = widened(long.q)
+    low, high = widened[-1]
     outside = F.size(F.filter("chunks", lambda r: ~r.between(low, high))) / F.size("chunks")
-    return Bands(whole, (low, high), base.size, cut_up.agg(F.percentile(outside, 0.995)).first()[0], base.level, base.least_bytes)
+    share = column_quantile(cut_up.select(outside.alias("outside")), "outside", 0.995).first()[0]
+    return Bands(whole, (low, high), base.size, share, base.level, base.least_bytes)
 
 
 def quality_rules(docs: DataFrame, bands: Bands) -> DataFrame:

@@ -9,33 +9,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import in_ranges
 
 
-def group_quantiles(df: DataFrame, key: str, columns: Sequence[str], p: float) -> DataFrame:
-    """Per key, the quantile ``p`` of each column; NULL where a key has no value.  Keys without any value are absent."""
+def group_quantiles(df: DataFrame, key: str, columns: Sequence[str], p: float | Sequence[float]) -> DataFrame:
+    """Per key, the quantile ``p`` of each column (one share for all, or one per column); NULL where a key has no value.
+
+    Keys without any value are absent.
+    """
     each = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("value")) for n, c in enumerate(columns)])
-    ends = _ends(df.select(key, F.inline(each)), [key, "metric"], p)
     metric = F.col("metric")
+    share = F.lit(float(p)) if isinstance(p, (int, float)) else F.get(F.array(*[F.lit(float(x)) for x in p]), metric)
+    ends = _ends(df.select(key, F.inline(each)), [key, "metric"], share)
     return ends.groupBy(key).agg(*[_between(lambda x, n=n: F.when(metric == n, F.col(x))).alias(c) for n, c in enumerate(columns)])
 
 
 def column_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
     """One row: the quantile ``p`` over all rows of the column."""
-    ends = _ends(df.select(F.col(column).cast("double").alias("value")), [], p)
+    ends = _ends(df.select(F.col(column).cast("double").alias("value")), [], F.lit(float(p)))
     return ends.agg(_between(F.col).alias("quantile"))
 
 
-def _ends(values: DataFrame, keys: list[str], p: float) -> DataFrame:
-    """keys, value, share: the one or two values per group between which the quantile lies."""
+def _ends(values: DataFrame, keys: list[str], p: Column) -> DataFrame:
+    """keys, value, share: the one or two values per group between which the quantile lies; ``p`` may depend on the keys."""
     sorted_once = in_ranges(values.where("value IS NOT NULL").withColumn("_tie", F.spark_partition_id()), *keys, "value", "_tie")
     spans = sorted_once.groupBy(*keys, F.shiftright("_at", 33).alias("_range")).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"))
     group = Window.partitionBy(*keys)
     before = F.coalesce(F.sum("n").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    spans = spans.withColumns({"before": before, "position": (F.sum("n").over(group) - 1) * F.lit(float(p))})
+    spans = spans.withColumns({"before": before, "position": (F.sum("n").over(group) - 1) * p})
     low, high = F.floor("position"), F.ceil("position")
     place = lambda rank: F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("n")), F.col("first") + rank - F.col("before"))
     wanted = spans.select((F.col("position") - low).alias("share"), F.explode(F.array_distinct(F.array_compact(F.array(place(low), place(high))))).alias("_at"))

@@ -94,6 +94,26 @@ def test_bands_are_fitted_on_good_texts_only(spark):
     assert quality_rules.fit_bands(documents(spark, rows), labels.limit(0)) == quality_rules.Bands()
 
 
+def test_bands_are_fitted_on_every_good_text(spark):
+    """Beyond 10,000 good texts too; labels may repeat, and texts that are bad or not labelled do not count."""
+    rng = random.Random(5)
+    rows = [(i, prose(i % 700, 24)[: rng.randint(64, 127)]) for i in range(11_000)]
+    rows += [(20_000 + i, prose(i, 2500)) for i in range(60)] + [(30_000 + i, "x" * 100) for i in range(300)]
+    marks = [(i, 1, 0) for i, _ in rows[:11_060]] + [(5, 1, 0)] + [(30_000 + i, 0, 0) for i in range(150)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    bands = quality_rules.fit_bands(documents(spark, rows), labels, margin=0.0)
+    compressor = zstandard.ZstdCompressor(level=3)
+    found = [quality_rules.ratios(t.encode(), quality_rules.Bands(), compressor) for _, t in rows[:11_060]]
+    whole = [r for (_, t), (r, _) in zip(rows, found) if len(t) < 128]
+    assert len(whole) == 11_000
+    assert bands.whole[6] == pytest.approx(tuple(np.quantile(whole, [0.005, 0.995])), rel=1e-12)
+    chunks = [c for _, c in found if c]
+    low, high = np.quantile([min(c) for c in chunks], 0.005), np.quantile([max(c) for c in chunks], 0.995)
+    assert len(chunks) == 60 and bands.chunk == pytest.approx((low, high), rel=1e-12)
+    outside = [sum(not bands.chunk[0] <= r <= bands.chunk[1] for r in c) / len(c) for c in chunks]
+    assert bands.chunk_share == pytest.approx(np.quantile(outside, 0.995), rel=1e-12)
+
+
 def test_noise_at_any_place_of_a_text_is_rejected(spark):
     """Every byte lies in a judged chunk, whatever a text's length."""
     rng = random.Random(9)
