@@ -28,7 +28,7 @@ CELL_BITS = 20
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written once to the shared folder: what reads them repeats no work."""
     path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,7 +20,7 @@ from ..operators.features import (
     global_quantile,
 )
 from ..operators.names import attach_names
-from ..operators.ordered import ROW_ORDER, date_cells, with_previous
+from ..operators.ordered import ROW_ORDER, date_cells, stored, with_previous
 from . import rules
 
 SPREAD_QUANTILE = 0.85
@@ -409,7 +409,17 @@ def detect_merger_simple(
 
 
 def union_detections(panel: DataFrame, names: DataFrame, thresholds: dict[str, int] | None = None) -> DataFrame:
-    """All six full detectors on the shared columns, over one feature table and one table of previous rows."""
+    """All six full detectors on the shared columns, over one feature table and one table of previous rows.
+
+    The columns they read are written once, so that what makes the panel is not shuffled again for each detector.
+    """
+    wanted = rules.BANKRUPTCY_FEATURES | rules.MERGER_FEATURES
+    read = {"gvkey", *ROW_ORDER, "price", "volume", "age", "bidaskhl_21d", *wanted.last, *wanted.recent, *wanted.medians, *wanted.before_last}
+    return stored_detections(stored(panel.select(*[c for c in panel.columns if c in read]), "panel"), names, thresholds)
+
+
+def stored_detections(panel: DataFrame, names: DataFrame, thresholds: dict[str, int] | None = None) -> DataFrame:
+    """:func:`union_detections` over a panel that is a table already."""
     limits = {"bankruptcy": 50, "merger": 40, "halt": 30, "data_error": 10, **(thresholds or {})}
     rows = rows_with_previous(panel, "gvkey")
     errors = data_error_rows(rows, "gvkey", rules.DATA_ERROR, limits["data_error"])

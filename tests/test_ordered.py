@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from panelwatch.operators import ordered
+from panelwatch.operators import ordered, quantiles
 from panelwatch.operators.quantiles import column_quantile, group_quantiles
 
 START = date(2000, 1, 1)
@@ -152,3 +152,18 @@ def test_quantiles_where_one_group_holds_most_rows(spark):
     for got, expected in zip(small, sorted(want, key=str)):
         assert got[0] == expected[0]
         assert got[1:] == pytest.approx(expected[1:], nan_ok=True) or None in expected
+
+
+def test_short_and_long_keys_have_the_same_quantiles(spark, monkeypatch):
+    """Keys above and below the bound, a null key, keys without values, and the whole table by ranges."""
+    rng = random.Random(3)
+    data = [(k, rng.choice([None, 1.0, 2.5, float("inf"), rng.random()]), rng.random() * 9) for k in [None, *range(6)] for _ in range(40 * (k or 1))]
+    data += [(77, None, None)] * 9 + [(78, None, 1.5)]
+    df = spark.createDataFrame(data, "k int, a double, b double")
+    got = {}
+    for bound in (4096, 100, 0):
+        monkeypatch.setattr(quantiles, "WHOLE", bound)
+        got[bound] = rows(quantiles.group_quantiles(df, "k", ["a", "b"], [0.25, 0.9]))
+    assert len(got[0]) == 8
+    near = lambda found: [tuple(x if x is None else round(x, 12) for x in r) for r in found]
+    assert near(got[4096]) == near(got[0]) and near(got[100]) == near(got[0])
