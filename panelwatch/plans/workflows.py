@@ -11,7 +11,7 @@ from ..operators import label, verify
 from ..operators.events import confident_verdicts, in_year, value_counts, verified_acquisitions
 from ..operators.ordered import stored, with_prior_sums
 from ..sources import readers, writers
-from .detectors import union_detections
+from .detectors import stored_detections
 
 REPORT = ("section", "metric", "key", "value")
 
@@ -145,18 +145,19 @@ def full_run(
     """Detect, verify, label and export: four outputs below ``folder``, each returned as read back.
 
     ``responses`` holds a firm's answer (gvkey, response_text, error_text); an event of a firm
-    without one gets an error verdict.  Each step starts from the file of the step before.
+    without one gets an error verdict.  Each step starts from the file of the step before; the panel is written once, for all steps.
     """
     spark = panel.sparkSession
+    panel = stored(panel, "panel")
 
-    def stored(df: DataFrame, name: str, write) -> DataFrame:
+    def exported(df: DataFrame, name: str, write) -> DataFrame:
         write(df, f"{folder}/{name}")
         return readers.read_table(spark, f"{folder}/{name}", df.schema, free_text=True)
 
-    detected = stored(union_detections(panel, names, WIDE_NET), "detected_events.csv", writers.write_events_csv)
+    detected = exported(stored_detections(panel, names, WIDE_NET), "detected_events.csv", writers.write_events_csv)
     asked = detected.withColumn("seq", F.col("gvkey"))
     verified = verify_queue(asked, responses.withColumn("seq", F.col("gvkey")), batch_size)
-    verified = stored(verified, "verified_events.csv", writers.write_events_csv)
+    verified = exported(verified, "verified_events.csv", writers.write_events_csv)
     # Events of one firm share its answer, so what comes last among equals makes no difference.
     last = F.struct("detected_date", "detected_event_type")
     dated = verified.withColumns(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from panelwatch.plans import detectors
+from panelwatch.plans import detectors, workflows
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -60,3 +60,12 @@ def test_the_panel_is_made_once_for_all_detectors(spark):
     names = spark.createDataFrame([(0, "A"), (1, "B")], "gvkey long, company_name string")
     assert detectors.union_detections(panel, names).count() > 0
     assert made.value == 240
+
+
+def test_the_panel_is_made_once_for_a_full_run(spark, tmp_path):
+    panel, made = counted_panel(spark)
+    names = spark.createDataFrame([(0, "A"), (1, "B")], "gvkey long, company_name string")
+    answers = spark.createDataFrame([(0, "{}", None)], "gvkey long, response_text string, error_text string")
+    outputs = workflows.full_run(panel, names, answers, str(tmp_path))
+    assert outputs["labeled"].count() == 240 and outputs["detected"].count() > 0
+    assert made.value == 240
